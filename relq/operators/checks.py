@@ -20,26 +20,33 @@ _TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
     """One row per column: type, rows, non-NULL, distinct, min and max.
 
-    All statistics come from a single aggregate over one scan.  Exact
-    distinct counts are planned by Spark as an expand + two-phase aggregate
-    keyed by (column, value), so a frequent value is de-duplicated map-side;
-    ``exact_distinct=False`` switches to HyperLogLog++ sketches, which never
-    shuffle more than one sketch per task.
+    Two kinds of job, both fully distributed:
+
+    * one global aggregate over a single scan gives row count, non-NULL
+      count, min and max of every column (one partial row per task);
+    * the distinct count of each column is its own single-distinct aggregate
+      over that column alone (a columnar read of one column): values are
+      de-duplicated map-side, shuffled by value, counted.  Keeping them apart
+      avoids the expand-by-column-count and wide sort that several
+      ``COUNT(DISTINCT)`` in one aggregate would force.
+      ``exact_distinct=False`` uses HyperLogLog++ sketches in the first pass
+      instead and shuffles nothing per value.
 
     Numeric columns report ``min_num``/``max_num``; text and time columns
     report ``min_text``/``max_text`` (time as ``yyyy-MM-dd HH:mm:ss``).
     """
     cols = list(cols or df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
+
+    def source(c):
+        return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") if isinstance(fields[c], _TIME) else F.col(c)
+
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        dt = fields[c]
-        src = F.col(c)
-        if isinstance(dt, _TIME):
-            src = F.date_format(src, "yyyy-MM-dd HH:mm:ss")
-        distinct = F.count_distinct(src) if exact_distinct else F.approx_count_distinct(src)
-        aggs += [F.count(src).alias(f"__nn{i}"), distinct.alias(f"__nd{i}"),
-                 F.min(src).alias(f"__mn{i}"), F.max(src).alias(f"__mx{i}")]
+        src = source(c)
+        aggs += [F.count(src).alias(f"__nn{i}"), F.min(src).alias(f"__mn{i}"), F.max(src).alias(f"__mx{i}")]
+        if not exact_distinct:
+            aggs.append(F.approx_count_distinct(src).alias(f"__nd{i}"))
     one_row = df.agg(*aggs)
 
     entries = []
@@ -47,19 +54,33 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
         dt = fields[c]
         numeric = isinstance(dt, _NUMERIC)
         mn, mx = F.col(f"__mn{i}"), F.col(f"__mx{i}")
-        entries.append(F.struct(
+        none_num, none_text = F.lit(None).cast(T.DoubleType()), F.lit(None).cast(T.StringType())
+        fields_out = [
             F.lit(i).alias("ordinal"),
             F.lit(c).alias("column_name"),
             F.lit(dt.simpleString()).alias("data_type"),
             F.col("__rows").alias("row_count"),
             F.col(f"__nn{i}").alias("non_null"),
-            F.col(f"__nd{i}").cast(T.LongType()).alias("distinct_values"),
-            (mn.cast(T.DoubleType()) if numeric else F.lit(None).cast(T.DoubleType())).alias("min_num"),
-            (mx.cast(T.DoubleType()) if numeric else F.lit(None).cast(T.DoubleType())).alias("max_num"),
-            (F.lit(None).cast(T.StringType()) if numeric else mn.cast(T.StringType())).alias("min_text"),
-            (F.lit(None).cast(T.StringType()) if numeric else mx.cast(T.StringType())).alias("max_text"),
-        ))
-    return one_row.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+            (mn.cast(T.DoubleType()) if numeric else none_num).alias("min_num"),
+            (mx.cast(T.DoubleType()) if numeric else none_num).alias("max_num"),
+            (none_text if numeric else mn.cast(T.StringType())).alias("min_text"),
+            (none_text if numeric else mx.cast(T.StringType())).alias("max_text"),
+        ]
+        if not exact_distinct:
+            fields_out.append(F.col(f"__nd{i}").cast(T.LongType()).alias("distinct_values"))
+        entries.append(F.struct(*fields_out))
+    stats = one_row.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    if not exact_distinct:
+        return stats
+
+    distinct = None
+    for i, c in enumerate(cols):
+        part = df.agg(F.lit(i).alias("ordinal"), F.count_distinct(source(c)).alias("distinct_values"))
+        distinct = part if distinct is None else distinct.unionByName(part)
+    # Both sides hold one row per profiled column.
+    return stats.join(distinct, "ordinal").select(
+        "ordinal", "column_name", "data_type", "row_count", "non_null", "distinct_values",
+        "min_num", "max_num", "min_text", "max_text")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

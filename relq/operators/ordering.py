@@ -32,7 +32,7 @@ def order_by(df: DataFrame, specs: Sequence[str | Column]) -> DataFrame:
     Output aliases (O4) and source columns absent from the final projection
     (O5) are both sortable as long as the sort runs before that projection.
     """
-    return df.orderBy(*[sort_key(s) for s in specs])
+    return df.orderBy(*[sort_key(s) for s in specs]) if specs else df
 
 
 def top_k(df: DataFrame, k: int, specs: Sequence[str | Column]) -> DataFrame:

@@ -277,7 +277,7 @@ def like_single_char(spark, d):
 def like_or_range(spark, d):
     df = P.where(t(spark, d, "part"), P.all_of(
         P.any_of(P.like("p_name", "blue%"), P.like("p_name", "cold%")),
-        P.compare("p_retailprice", ">=", 1500)))
+        P.compare("p_retailprice", ">=", 980)))
     return O.order_by(_parts(df), ["-p_retailprice", "p_partkey"])
 
 

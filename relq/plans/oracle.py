@@ -130,7 +130,7 @@ SQL: dict[str, str] = {
     "like_contains": "SELECT doc_id, lang, n_chars FROM documents WHERE text LIKE '%license%'",
     "like_single_char": "SELECT c_custkey, c_name FROM customer WHERE c_name LIKE 'Customer#_________'",
     "like_or_range": (f"SELECT {PARTS} FROM part WHERE (p_name LIKE 'blue%' OR p_name LIKE 'cold%') "
-                      "AND p_retailprice >= 1500 ORDER BY p_retailprice DESC, p_partkey"),
+                      "AND p_retailprice >= 980 ORDER BY p_retailprice DESC, p_partkey"),
     "filter_eq_null": "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = NULL",
     "like_ci": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment ILIKE 'build%'",
     # J

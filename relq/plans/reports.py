@@ -77,9 +77,11 @@ def integrated_detail(head: DataFrame, amount: DataFrame, dim: DataFrame, detail
     default) for the optional side.
     """
     base = head.filter(since)
-    joined = equi_join(base, amount, list(head_keys), list(amount_keys))
+    same = list(head_keys) == list(amount_keys)
+    joined = equi_join(base, amount, list(head_keys), None if same else list(amount_keys))
     joined = dim_lookup(joined, dim, head_region, dim_key, dim_filter=dim_filter)
-    joined = equi_join(joined, detail, head_detail_key, detail_key, how="left")
+    joined = equi_join(joined, detail, head_detail_key,
+                       None if head_detail_key == detail_key else detail_key, how="left")
     extra = [coalesce_default(src, default).alias(name) for name, (src, default) in coalesce.items()]
     return order_by(joined.select(*select, *extra), sort)
 
@@ -106,5 +108,5 @@ def price_detail(prices: DataFrame, people: DataFrame, *, key: str, people_key:
     """Price by priority chain x unit, source label, LEFT JOIN person attributes."""
     price = (F.coalesce(*chain, F.lit(default)) * F.lit(unit)).alias(price_name)
     source = F.when(flag, F.lit(flag_labels[0])).otherwise(F.lit(flag_labels[1])).alias(flag_name)
-    joined = equi_join(prices, people, key, people_key, how="left")
+    joined = equi_join(prices, people, key, None if key == people_key else people_key, how="left")
     return order_by(joined.select(*keep, price, source, *person_cols), sort)
