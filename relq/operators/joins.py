@@ -28,13 +28,24 @@ from relq.operators.filters import all_of
 DIM_MAX_ROWS = 1_000_000
 
 
+_PROVEN: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
+
+
 def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
     Runs ``df.limit(max_rows + 1).count()``: tasks stop once the bound is
-    passed, so the check never reads more than ``max_rows + 1`` rows.
+    passed, so the check never reads more than ``max_rows + 1`` rows.  The
+    answer is remembered for the session per plan (``semanticHash`` plus
+    ``sameSemantics``), so a dimension reused by many queries is proven once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    for seen, answer in _PROVEN.get(key, []):
+        if seen.sameSemantics(df):
+            return answer
+    answer = df.limit(max_rows + 1).count() <= max_rows
+    _PROVEN.setdefault(key, []).append((df, answer))
+    return answer
 
 
 def small_side(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:

@@ -1,0 +1,10 @@
+"""Streaming: nothing to provide.
+
+The course's engine loads its tables once and only answers batch queries:
+there are no streams, watermarks, windows over event time or state anywhere
+in it (SURVEY §2.10), so this package adds no streaming operator.
+
+The operators in ``relq.operators`` are plain DataFrame transformations; the
+stateless ones (projections, filters, CASE/COALESCE, dimension lookups) apply
+unchanged to a DataFrame from ``spark.readStream``.
+"""
