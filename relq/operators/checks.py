@@ -38,13 +38,15 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
     cols = list(cols or df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
 
-    def source(c):
-        return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") if isinstance(fields[c], _TIME) else F.col(c)
+    def shown(c, value):
+        # time values are formatted once per group (min/max), not per row
+        return F.date_format(value, "yyyy-MM-dd HH:mm:ss") if isinstance(fields[c], _TIME) else value
 
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
-        src = source(c)
-        aggs += [F.count(src).alias(f"__nn{i}"), F.min(src).alias(f"__mn{i}"), F.max(src).alias(f"__mx{i}")]
+        src = F.col(c)
+        aggs += [F.count(src).alias(f"__nn{i}"), shown(c, F.min(src)).alias(f"__mn{i}"),
+                 shown(c, F.max(src)).alias(f"__mx{i}")]
         if not exact_distinct:
             aggs.append(F.approx_count_distinct(src).alias(f"__nd{i}"))
     one_row = df.agg(*aggs)
@@ -75,7 +77,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
 
     distinct = None
     for i, c in enumerate(cols):
-        part = df.agg(F.lit(i).alias("ordinal"), F.count_distinct(source(c)).alias("distinct_values"))
+        part = df.agg(F.lit(i).alias("ordinal"), F.count_distinct(F.col(c)).alias("distinct_values"))
         distinct = part if distinct is None else distinct.unionByName(part)
     # Both sides hold one row per profiled column.
     return stats.join(distinct, "ordinal").select(

@@ -10,9 +10,9 @@ Physical strategy is left to Catalyst and adaptive execution:
 * fact-to-fact joins shuffle both sides on the key.  AQE's skew handling
   splits an oversized partition (a hot key) of the side that may be split:
   both sides for INNER, the preserved side for LEFT/RIGHT;
-* FULL OUTER cannot be split by AQE, so ``full_outer_join`` is built from a
-  LEFT join plus an anti join of the other side against the *distinct* keys,
-  two shapes AQE can split.
+* FULL OUTER cannot be split by AQE, so ``full_outer_join`` is built from an
+  INNER join plus, for each side, an anti join against the other side's
+  *distinct* keys: shapes AQE can split whichever side holds a hot key.
 """
 
 from __future__ import annotations
@@ -105,15 +105,33 @@ def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     return equi_join(fact, small_side(dim, max_rows), fact_key, dim_key, how)
 
 
+def _distinct_keys(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]).distinct()
+
+
+def _unmatched(side: DataFrame, side_keys: list[str], other: DataFrame, other_keys: list[str],
+               prefix: str) -> DataFrame:
+    """Rows of ``side`` whose key has no match in ``other`` (anti join on distinct keys)."""
+    probe = _distinct_keys(other, other_keys, prefix)
+    cond = all_of(*[side[k] == probe[f"{prefix}{i}"] for i, k in enumerate(side_keys)])
+    return side.join(probe, cond, "left_anti")
+
+
 def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
                     right_keys: str | Sequence[str] | None = None) -> DataFrame:
     """``left FULL OUTER JOIN right ON ..`` (J5), keeping duplicate rows.
 
-    Computed as ``left LEFT JOIN right`` plus the right rows whose key has no
-    match, found by an anti join against the distinct left keys.  Both parts
-    are join types whose skewed partitions AQE splits, and the distinct keys
-    collapse a hot key before its shuffle.  With equal key names and no
-    ``right_keys`` the output has one (coalesced) key column, like
+    Built from three parts whose skewed partitions AQE can split, whichever
+    side holds the hot key:
+
+    * matched pairs: an INNER join (either side splittable);
+    * left rows without a match: left ANTI JOIN the distinct right keys;
+    * right rows without a match: right ANTI JOIN the distinct left keys.
+
+    The distinct key sets are two-phase aggregates, so a key repeated by a
+    third of a table is one row before it is shuffled.  NULL keys never
+    match and land in the unmatched parts, as in SQL.  With equal key names
+    and no ``right_keys`` the output has one key column, like
     ``JOIN .. USING``.
     """
     lkeys = _as_list(left_keys)
@@ -123,21 +141,22 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
         raise ValueError("join needs a non-empty, equal-length key list on both sides")
 
     if using:
-        matched = left.join(right, on=lkeys, how="left")
+        matched = left.join(right, on=lkeys, how="inner")
     else:
-        matched = left.join(right, _condition(left, right, lkeys, rkeys), "left")
-
-    probe = left.select(*[F.col(k).alias(f"__fk_{i}") for i, k in enumerate(lkeys)]).distinct()
-    cond = all_of(*[right[rk] == probe[f"__fk_{i}"] for i, rk in enumerate(rkeys)])
-    right_only = right.join(probe, cond, "left_anti")
-
-    cols = []
-    for name in matched.columns:
-        if name in right.columns and (using and name in lkeys or name not in left.columns):
-            cols.append(F.col(name))
-        else:
-            cols.append(F.lit(None).cast(left.schema[name].dataType).alias(name))
-    return matched.unionByName(right_only.select(*cols))
+        matched = left.join(right, _condition(left, right, lkeys, rkeys), "inner")
+    left_only = _unmatched(left, lkeys, right, rkeys, "__rk_")
+    right_only = _unmatched(right, rkeys, left, lkeys, "__lk_")
+
+    def pad(part: DataFrame, own: DataFrame, other: DataFrame) -> DataFrame:
+        cols = []
+        for name in matched.columns:
+            if name in own.columns:
+                cols.append(F.col(name))
+            else:
+                cols.append(F.lit(None).cast(other.schema[name].dataType).alias(name))
+        return part.select(*cols)
+
+    return matched.unionByName(pad(left_only, left, right)).unionByName(pad(right_only, right, left))
 
 
 def full_outer_distinct(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],

@@ -68,7 +68,7 @@ def _profile_sql() -> str:
         num = kind == "num"
         parts.append(
             f"SELECT {i} AS ordinal, '{c}' AS column_name, '{dtype}' AS data_type, COUNT(*) AS row_count, "
-            f"COUNT({src}) AS non_null, COUNT(DISTINCT {src}) AS distinct_values, "
+            f"COUNT({c}) AS non_null, COUNT(DISTINCT {c}) AS distinct_values, "
             f"{f'CAST(MIN({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS min_num, "
             f"{f'CAST(MAX({c}) AS DOUBLE)' if num else 'CAST(NULL AS DOUBLE)'} AS max_num, "
             f"{'CAST(NULL AS VARCHAR)' if num else f'CAST(MIN({src}) AS VARCHAR)'} AS min_text, "
