@@ -117,23 +117,9 @@ def _unmatched(side: DataFrame, side_keys: list[str], other: DataFrame, other_ke
     return side.join(probe, cond, "left_anti")
 
 
-def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
-                    right_keys: str | Sequence[str] | None = None) -> DataFrame:
-    """``left FULL OUTER JOIN right ON ..`` (J5), keeping duplicate rows.
-
-    Built from three parts whose skewed partitions AQE can split, whichever
-    side holds the hot key:
-
-    * matched pairs: an INNER join (either side splittable);
-    * left rows without a match: left ANTI JOIN the distinct right keys;
-    * right rows without a match: right ANTI JOIN the distinct left keys.
-
-    The distinct key sets are two-phase aggregates, so a key repeated by a
-    third of a table is one row before it is shuffled.  NULL keys never
-    match and land in the unmatched parts, as in SQL.  With equal key names
-    and no ``right_keys`` the output has one key column, like
-    ``JOIN .. USING``.
-    """
+def _outer_parts(left: DataFrame, right: DataFrame, left_keys, right_keys):
+    """Matched pairs, unmatched left rows and unmatched right rows, in the
+    column layout of the corresponding SQL outer join."""
     lkeys = _as_list(left_keys)
     using = right_keys is None
     rkeys = lkeys if using else _as_list(right_keys)
@@ -144,8 +130,6 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
         matched = left.join(right, on=lkeys, how="inner")
     else:
         matched = left.join(right, _condition(left, right, lkeys, rkeys), "inner")
-    left_only = _unmatched(left, lkeys, right, rkeys, "__rk_")
-    right_only = _unmatched(right, rkeys, left, lkeys, "__lk_")
 
     def pad(part: DataFrame, own: DataFrame, other: DataFrame) -> DataFrame:
         cols = []
@@ -156,7 +140,46 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
                 cols.append(F.lit(None).cast(other.schema[name].dataType).alias(name))
         return part.select(*cols)
 
-    return matched.unionByName(pad(left_only, left, right)).unionByName(pad(right_only, right, left))
+    left_only = pad(_unmatched(left, lkeys, right, rkeys, "__rk_"), left, right)
+    right_only = pad(_unmatched(right, rkeys, left, lkeys, "__lk_"), right, left)
+    return matched, left_only, right_only
+
+
+def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
+                    right_keys: str | Sequence[str] | None = None) -> DataFrame:
+    """``left FULL OUTER JOIN right ON ..`` (J5), keeping duplicate rows.
+
+    Built from three parts whose skewed partitions AQE can split, whichever
+    side holds the hot key:
+
+    * matched pairs: an INNER join (either side splittable);
+    * left rows without a match: left ANTI JOIN the distinct right keys;
+    * right rows without a match: right ANTI JOIN the distinct left keys.
+
+    The distinct key sets are two-phase aggregates, so a key repeated by a
+    third of a table is one row before it is shuffled.  NULL keys never
+    match and land in the unmatched parts, as in SQL.  With equal key names
+    and no ``right_keys`` the output has one key column, like
+    ``JOIN .. USING``.
+    """
+    matched, left_only, right_only = _outer_parts(left, right, left_keys, right_keys)
+    return matched.unionByName(left_only).unionByName(right_only)
+
+
+def left_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
+                    right_keys: str | Sequence[str] | None = None) -> DataFrame:
+    """``left LEFT JOIN right ON ..`` that stays balanced when the *optional*
+    side holds a hot key.
+
+    AQE splits only the preserved side of a LEFT join.  Built as INNER join
+    (both sides splittable) plus the left rows whose key is absent from the
+    distinct right keys, it splits a hot key on either side.  Use it when the
+    optional side is a raw table whose keys may repeat (labels, events);
+    for a unique-keyed or aggregated optional side ``equi_join(how="left")``
+    is the cheaper plan.
+    """
+    matched, left_only, _ = _outer_parts(left, right, left_keys, right_keys)
+    return matched.unionByName(left_only)
 
 
 def full_outer_distinct(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],

@@ -55,9 +55,13 @@ def nation_dim(spark: SparkSession, d: str) -> DataFrame:
 
 
 def docs_labels(spark: SparkSession, d: str) -> DataFrame:
-    """documents LEFT JOIN labels: the sparse optional detail (601 of 1000 unlabeled at sf0.01)."""
+    """documents LEFT JOIN labels: the sparse optional detail (601 of 1000 unlabeled at sf0.01).
+
+    labels is a raw table whose doc_id may repeat, so the join is the form
+    that splits a hot key on either side.
+    """
     docs = t(spark, d, "documents")
-    return J.equi_join(docs, t(spark, d, "labels"), "doc_id", how="left")
+    return J.left_outer_join(docs, t(spark, d, "labels"), "doc_id")
 
 
 def order_totals(spark: SparkSession, d: str) -> DataFrame:

@@ -88,3 +88,13 @@ def test_hot_group_is_combined_before_the_shuffle(skew_session):
     text, got = final_plan(out)
     assert "partial_count" in text or text.count("HashAggregate") >= 2
     assert dict(map(tuple, got))[0] == 10000
+
+
+def test_left_join_splits_hot_optional_side(skew_session):
+    spark = skew_session
+    docs = plain(spark, name="k", val="v")
+    labels = hot(spark, name="rk", val="w")
+    text, got = final_plan(J.left_outer_join(docs, labels, "k", "rk"))
+    assert "SortMergeJoin(skew=true)" in text
+    native = docs.join(labels, docs["k"] == labels["rk"], "left").select("k", "v", "rk", "w")
+    assert canon(got) == canon(native.collect())
