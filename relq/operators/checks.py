@@ -99,6 +99,18 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def null_markers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Replace ``cols`` by one-byte markers with the same NULL pattern.
+
+    A NULL check needs only null-ness, so wide columns (whole texts) can be
+    shrunk before a join or shuffle and ``null_counts`` gives the same answer.
+    """
+    wanted = set(cols)
+    return df.select(*[
+        F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.lit(1)).cast(T.ByteType()).alias(c)
+        if c in wanted else F.col(c) for c in df.columns])
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows") -> DataFrame:
     """Primary-key check (S9): every key value held by more than one row.
 

@@ -111,10 +111,18 @@ def _distinct_keys(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
 
 def _unmatched(side: DataFrame, side_keys: list[str], other: DataFrame, other_keys: list[str],
                prefix: str) -> DataFrame:
-    """Rows of ``side`` whose key has no match in ``other`` (anti join on distinct keys)."""
+    """Rows of ``side`` whose key has no match in ``other``.
+
+    Rows with a NULL key never match and are passed through by a filter.
+    The rest are anti-joined against the distinct keys of ``other``.  They
+    carry the same ``IS NOT NULL`` filter Catalyst adds to the inner branch,
+    so both branches share one shuffle of ``side``.
+    """
+    keyed = side.filter(all_of(*[F.col(k).isNotNull() for k in side_keys]))
     probe = _distinct_keys(other, other_keys, prefix)
-    cond = all_of(*[side[k] == probe[f"{prefix}{i}"] for i, k in enumerate(side_keys)])
-    return side.join(probe, cond, "left_anti")
+    cond = all_of(*[keyed[k] == probe[f"{prefix}{i}"] for i, k in enumerate(side_keys)])
+    null_keyed = side.filter(~all_of(*[F.col(k).isNotNull() for k in side_keys]))
+    return keyed.join(probe, cond, "left_anti").unionByName(null_keyed)
 
 
 def _outer_parts(left: DataFrame, right: DataFrame, left_keys, right_keys):
