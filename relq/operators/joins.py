@@ -41,8 +41,11 @@ def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
     """
     key = (id(df.sparkSession), df.semanticHash(), max_rows)
     for seen, answer in _PROVEN.get(key, []):
-        if seen.sameSemantics(df):
-            return answer
+        try:
+            if seen.sameSemantics(df):
+                return answer
+        except Exception:  # noqa: BLE001 - a frame of a stopped session never matches
+            continue
     answer = df.limit(max_rows + 1).count() <= max_rows
     _PROVEN.setdefault(key, []).append((df, answer))
     return answer
