@@ -178,17 +178,24 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
 
 
 def left_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
-                    right_keys: str | Sequence[str] | None = None) -> DataFrame:
+                    right_keys: str | Sequence[str] | None = None,
+                    max_rows: int = DIM_MAX_ROWS) -> DataFrame:
     """``left LEFT JOIN right ON ..`` that stays balanced when the *optional*
     side holds a hot key.
 
-    AQE splits only the preserved side of a LEFT join.  Built as INNER join
-    (both sides splittable) plus the left rows whose key is absent from the
-    distinct right keys, it splits a hot key on either side.  Use it when the
-    optional side is a raw table whose keys may repeat (labels, events);
-    for a unique-keyed or aggregated optional side ``equi_join(how="left")``
-    is the cheaper plan.
+    * ``right`` proven to hold at most ``max_rows`` rows: a broadcast hash
+      LEFT join.  The big side is never shuffled, so no key can concentrate
+      it in one task.
+    * otherwise: an INNER join (AQE splits a hot key on either side) plus
+      the left rows whose key is absent from the distinct right keys.  A
+      plain shuffled LEFT join could only split the preserved side.
+
+    Use it when the optional side is a raw table whose keys may repeat
+    (labels, events); for a unique-keyed or aggregated optional side
+    ``equi_join(how="left")`` is the cheaper plan.
     """
+    if bounded(right, max_rows):
+        return equi_join(left, F.broadcast(right), left_keys, right_keys, how="left")
     matched, left_only, _ = _outer_parts(left, right, left_keys, right_keys)
     return matched.unionByName(left_only)
 

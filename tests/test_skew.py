@@ -90,11 +90,21 @@ def test_hot_group_is_combined_before_the_shuffle(skew_session):
     assert dict(map(tuple, got))[0] == 10000
 
 
+def test_left_join_broadcasts_small_optional_side(skew_session):
+    spark = skew_session
+    docs = hot(spark, name="k", val="v")
+    labels = plain(spark, n=100, name="rk", val="w")
+    text, got = final_plan(J.left_outer_join(docs, labels, "k", "rk"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning(k" not in text
+    native = docs.join(labels, docs["k"] == labels["rk"], "left").select("k", "v", "rk", "w")
+    assert canon(got) == canon(native.collect())
+
+
 def test_left_join_splits_hot_optional_side(skew_session):
     spark = skew_session
     docs = plain(spark, name="k", val="v")
     labels = hot(spark, name="rk", val="w")
-    text, got = final_plan(J.left_outer_join(docs, labels, "k", "rk"))
+    text, got = final_plan(J.left_outer_join(docs, labels, "k", "rk", max_rows=1000))
     assert "SortMergeJoin(skew=true)" in text
     native = docs.join(labels, docs["k"] == labels["rk"], "left").select("k", "v", "rk", "w")
     assert canon(got) == canon(native.collect())
