@@ -28,16 +28,23 @@ from relq.operators.filters import all_of
 DIM_MAX_ROWS = 1_000_000
 
 
+# A dimension spread over more input partitions than this is not probed; the
+# probe then reads at most MAX_PROBE_PARTITIONS * (max_rows + 1) rows.
+MAX_PROBE_PARTITIONS = 64
+
 _PROVEN: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
 
 
 def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
-
-    Runs ``df.limit(max_rows + 1).count()``: tasks stop once the bound is
-    passed, so the check never reads more than ``max_rows + 1`` rows.  The
-    answer is remembered for the session per plan (``semanticHash`` plus
-    ``sameSemantics``), so a dimension reused by many queries is proven once.
+    """True when ``df`` is proven to hold at most ``max_rows`` rows.
+
+    Runs ``df.limit(max_rows + 1).count()``: every task stops after
+    ``max_rows + 1`` rows.  Inputs with more than ``MAX_PROBE_PARTITIONS``
+    partitions are not probed and count as unproven (False), so the check
+    itself stays bounded however large a table is passed in; Spark's own
+    size statistics and AQE then pick the join.  The answer is remembered
+    for the session per plan (``semanticHash`` plus ``sameSemantics``), so a
+    dimension reused by many queries is proven once.
     """
     key = (id(df.sparkSession), df.semanticHash(), max_rows)
     for seen, answer in _PROVEN.get(key, []):
@@ -46,7 +53,10 @@ def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
                 return answer
         except Exception:  # noqa: BLE001 - a frame of a stopped session never matches
             continue
-    answer = df.limit(max_rows + 1).count() <= max_rows
+    if df.rdd.getNumPartitions() > MAX_PROBE_PARTITIONS:
+        answer = False
+    else:
+        answer = df.limit(max_rows + 1).count() <= max_rows
     _PROVEN.setdefault(key, []).append((df, answer))
     return answer
 
@@ -200,6 +210,20 @@ def left_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
     return matched.unionByName(left_only)
 
 
+def right_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
+                     right_keys: str | Sequence[str] | None = None,
+                     max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+    """``left RIGHT JOIN right ON ..`` (J4), written as the swapped LEFT join.
+
+    Same rows as a RIGHT join, with ``left``'s columns first; built on
+    ``left_outer_join`` so a hot key on either side is split.
+    """
+    swapped = left_outer_join(right, left, right_keys if right_keys is not None else left_keys,
+                              left_keys if right_keys is not None else None, max_rows)
+    order = [c for c in left.columns] + [c for c in right.columns if c not in left.columns]
+    return swapped.select(*order)
+
+
 def full_outer_distinct(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
                         right_keys: str | Sequence[str] | None, cols: Sequence[str | Column]) -> DataFrame:
     """``(A LEFT JOIN B) UNION (B LEFT JOIN A)`` projected to ``cols``.

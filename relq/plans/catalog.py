@@ -82,6 +82,8 @@ PRIORITY_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium"}
 STATUS_LABELS = {"F": "finished", "O": "open", "P": "partial"}
 LANG_LABELS = {"en": "English", "fr": "French", "de": "German"}
 SIZE_BANDS = [(300000, "large"), (100000, "medium")]
+
+
 def rate_chain() -> list[Column]:
     """Discount if non-zero, else tax if non-zero (the priority chain of C6)."""
     return [F.nullif(F.col("l_discount"), F.lit(0.0)), F.nullif(F.col("l_tax"), F.lit(0.0))]
@@ -323,8 +325,8 @@ def join_left(spark, d):
 @query
 def join_right(spark, d):
     labels, docs = t(spark, d, "labels"), t(spark, d, "documents")
-    j = J.equi_join(labels, docs, "doc_id", "doc_id", how="right")
-    return j.select(docs["doc_id"], docs["lang"], labels["quality"], labels["toxic"])
+    j = J.right_outer_join(labels.withColumnRenamed("doc_id", "label_doc_id"), docs, "label_doc_id", "doc_id")
+    return j.select("doc_id", "lang", "quality", "toxic")
 
 
 def _full_inputs(spark, d):

@@ -34,6 +34,16 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in ADAPTIVE_DEFAULTS.items():
         if key not in launched:
             spark.conf.set(key, value)
+    # On a cluster, start shuffles wide and let AQE coalesce them down to
+    # the advisory partition size, so a terabyte-scale shuffle never lands in
+    # a few hundred oversized, spilling partitions.
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        sc = spark.sparkContext
+        if initial not in launched and not sc.master.startswith("local"):
+            spark.conf.set(initial, str(4 * sc.defaultParallelism))
+    except Exception:  # pragma: no cover - Spark Connect
+        pass
     return spark
 
 

@@ -179,3 +179,18 @@ def test_run_sql_contract(spark, fact):
         df, err = run_sql(spark, bad)
         assert df is None and err, bad
     assert spark.catalog.tableExists("fact_t")
+
+
+def test_right_outer_join_is_swapped_left(fact, dim):
+    ours = J.right_outer_join(fact, dim, "ZONE", "CD_ID")
+    native = fact.join(dim, fact["ZONE"] == dim["CD_ID"], "right")
+    assert ours.columns == native.columns
+    assert sorted(rows(ours), key=str) == sorted(rows(native), key=str)
+    split = J.right_outer_join(fact, dim, "ZONE", "CD_ID", max_rows=0)
+    assert sorted(rows(split), key=str) == sorted(rows(native), key=str)
+
+
+def test_bounded_declines_to_probe_many_partitions(spark):
+    wide = spark.range(0, 1000, numPartitions=J.MAX_PROBE_PARTITIONS + 1)
+    assert not J.bounded(wide, 10_000)
+    assert J.bounded(spark.range(0, 1000, numPartitions=4), 10_000)
