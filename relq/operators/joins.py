@@ -53,7 +53,11 @@ def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
                 return answer
         except Exception:  # noqa: BLE001 - a frame of a stopped session never matches
             continue
-    if df.rdd.getNumPartitions() > MAX_PROBE_PARTITIONS:
+    try:
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): probe anyway
+        partitions = 0
+    if partitions > MAX_PROBE_PARTITIONS:
         answer = False
     else:
         answer = df.limit(max_rows + 1).count() <= max_rows
