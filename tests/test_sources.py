@@ -49,3 +49,27 @@ def test_scans_and_result_sink(spark, housing):
     path = os.path.join(tempfile.mkdtemp(prefix="relq-out-"), "r")
     write_result(reg.filter(F.col("ZONE_TYPE").isNotNull()), path)
     assert spark.read.parquet(path).count() == 8
+
+
+def test_reports_over_written_and_reread_course_tables(spark, housing):
+    """S2 + S1 + S3 end to end: write the course tables, read them back with
+    their declared schemas, and the status report still gives the course's answer."""
+    from relq.plans import reports as R
+    from relq.sources.tables import read_table
+    from relq.functions import expressions as X
+
+    base = tempfile.mkdtemp(prefix="relq-course-")
+    write_snapshots(housing["status"], os.path.join(base, S.GUARANTEE_STATUS + ".parquet"), "BASIS_DY")
+    write_result(housing["region"], os.path.join(base, S.REGION_CODE + ".parquet"))
+    status = read_table(spark, base, S.GUARANTEE_STATUS)
+    region = read_table(spark, base, S.REGION_CODE)
+    assert dict(status.dtypes)["BASIS_DY"] == "string"
+    out = R.status_report(
+        status, region, fact_region="HS_LOC_ZONE_DVCD", dim_key="CD_ID", dim_cols=["CD_NM", "ZONE_TYPE"],
+        date_col="BASIS_DY", product_code="PNSN_GV_METH_DVCD", product_labels={"07": "a", "08": "b", "09": "c"},
+        other_label="z", dim_filter=P.eq("CD_GRP_ID", "COA0083"),
+        aggs=[F.sum("GRNT_SPLY_CNT").alias("supply"),
+              X.round_to(X.money_sum("APRS_EVAL_AMT"), 1).alias("appraisal")],
+        sort=["-BASIS_DY", "-supply"])
+    got = out.collect()
+    assert len(got) == 29 and tuple(got[0])[:5] == ("20230630", "서울", "수도권", "a", 38000)
