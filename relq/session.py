@@ -21,6 +21,13 @@ ADAPTIVE_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # ANSI semantics: text/number mixes fail loudly instead of turning NULL.
     "spark.sql.ansi.enabled": "true",
+    # Broadcast only what is proven small.  The static threshold trusts a
+    # size estimate taken from compressed file sizes, so it is switched off;
+    # sides are broadcast either by an explicit hint after ``joins.bounded``
+    # has proven the row bound, or by AQE once a shuffle stage has *measured*
+    # a side below the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
