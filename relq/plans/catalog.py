@@ -660,19 +660,20 @@ ZONES = {"africa_price": "AFRICA", "america_price": "AMERICA", "asia_price": "AS
 
 
 def _zone_pivot(spark, d):
-    fact = _orders_with_nation(spark, d).withColumn("price", X.money("o_totalprice"))
+    fact = _orders_with_nation(spark, d).withColumn("price", X.cents("o_totalprice"))
     return R.zone_pivot(fact, nation_dim(spark, d), fact_region="c_nationkey", dim_key="n_nationkey",
                         zone_col="zone", date_col="basis_year", zones=ZONES, value="price",
                         total="total_price")
 
 
-def _as_double(df: DataFrame, keep: list[str]) -> DataFrame:
-    return df.select(*keep, *[X.to_double(F.col(c)).alias(c) for c in df.columns if c not in keep])
+def _cents_as_money(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Whole-cent totals (every column but ``keep``) as money, returned as DOUBLE."""
+    return df.select(*keep, *[X.to_double(X.from_cents(F.col(c))).alias(c) for c in df.columns if c not in keep])
 
 
 @query
 def report_zone_pivot(spark, d):
-    return _as_double(_zone_pivot(spark, d), ["basis_year"])
+    return _cents_as_money(_zone_pivot(spark, d), ["basis_year"])
 
 
 @query
@@ -689,9 +690,9 @@ def report_price(spark, d):
 @query
 def report_above_average(spark, d):
     base = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy")).withColumn(
-        "price", X.money("o_totalprice"))
+        "price", X.cents("o_totalprice"))
     kept = R.above_average(_zone_pivot(spark, d), "total_price", base, "basis_year", "price")
-    return _as_double(kept, ["basis_year"])
+    return _cents_as_money(kept, ["basis_year"])
 
 
 @query
@@ -706,8 +707,8 @@ def report_label_totals(spark, d):
 @query
 def report_product_pivot(spark, d):
     orders = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy")).withColumn(
-        "price", X.money("o_totalprice"))
+        "price", X.cents("o_totalprice"))
     out = R.product_pivot(orders, date_col="basis_year", code="o_orderstatus",
                           products={"finished_price": "F", "open_price": "O"}, value="price",
                           total="total_price")
-    return _as_double(out, ["basis_year"])
+    return _cents_as_money(out, ["basis_year"])
