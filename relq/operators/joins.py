@@ -21,32 +21,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relq.operators.filters import all_of
 
-# Largest dimension we broadcast: a code table is bounded by its code domain.
+# Largest side we broadcast: at most this many rows and this many bytes of
+# row data.  A code table is bounded by its code domain, far below both.
 DIM_MAX_ROWS = 1_000_000
+DIM_MAX_BYTES = 64 * 1024 * 1024
 
-
-# A dimension spread over more input partitions than this is not probed; the
+# A side spread over more input partitions than this is not probed; the
 # probe then reads at most MAX_PROBE_PARTITIONS * (max_rows + 1) rows.
 MAX_PROBE_PARTITIONS = 64
 
-_PROVEN: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
-
-
-def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
-    """True when ``df`` is proven to hold at most ``max_rows`` rows.
-
-    Runs ``df.limit(max_rows + 1).count()``: every task stops after
-    ``max_rows + 1`` rows.  Inputs with more than ``MAX_PROBE_PARTITIONS``
-    partitions are not probed and count as unproven (False), so the check
-    itself stays bounded however large a table is passed in; Spark's own
-    size statistics and AQE then pick the join.  The answer is remembered
-    for the session per plan (``semanticHash`` plus ``sameSemantics``), so a
-    dimension reused by many queries is proven once.
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+_PROVEN: dict[tuple[int, int, int, int], list[tuple[DataFrame, bool]]] = {}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: 8 per fixed-width value, the encoded length of text
+    and binary, the JSON length of nested values."""
+    parts = []
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, _FIXED_WIDTH):
+            parts.append(F.lit(8))
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    total = F.lit(8)
+    for part in parts:
+        total = total + part
+    return total.cast(T.LongType())
+
+
+def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS, max_bytes: int = DIM_MAX_BYTES) -> bool:
+    """True when ``df`` is proven to hold at most ``max_rows`` rows and at
+    most ``max_bytes`` bytes of row data.
+
+    One job over ``df.limit(max_rows + 1)`` counts the rows and sums their
+    sizes (fixed widths plus the byte length of strings), so a side of few
+    but very wide rows (whole texts) is not mistaken for small.  Every task
+    stops after ``max_rows + 1`` rows.  Inputs with more than
+    ``MAX_PROBE_PARTITIONS`` partitions are not probed and count as
+    unproven (False), so the check itself stays bounded however large a
+    table is passed in; Spark's AQE then picks the join from measured sizes.
+    The answer is remembered for the session per plan (``semanticHash`` plus
+    ``sameSemantics``), so a dimension reused by many queries is proven once.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (id(df.sparkSession), df.semanticHash(), max_rows, max_bytes)
     for seen, answer in _PROVEN.get(key, []):
         try:
             if seen.sameSemantics(df):
@@ -60,7 +86,9 @@ def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> bool:
     if partitions > MAX_PROBE_PARTITIONS:
         answer = False
     else:
-        answer = df.limit(max_rows + 1).count() <= max_rows
+        probe = df.limit(max_rows + 1)
+        stats = probe.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+        answer = stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
     _PROVEN.setdefault(key, []).append((df, answer))
     return answer
 

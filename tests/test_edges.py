@@ -194,3 +194,9 @@ def test_bounded_declines_to_probe_many_partitions(spark):
     wide = spark.range(0, 1000, numPartitions=J.MAX_PROBE_PARTITIONS + 1)
     assert not J.bounded(wide, 10_000)
     assert J.bounded(spark.range(0, 1000, numPartitions=4), 10_000)
+
+
+def test_bounded_also_bounds_bytes(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    assert J.bounded(wide, 100)
+    assert not J.bounded(wide, 100, max_bytes=5_000)
