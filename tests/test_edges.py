@@ -200,3 +200,14 @@ def test_bounded_also_bounds_bytes(spark):
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("text"))
     assert J.bounded(wide, 100)
     assert not J.bounded(wide, 100, max_bytes=5_000)
+
+
+def test_label_codes_case_and_lookup_agree(spark):
+    from relq.operators import projections as PR
+    df = spark.createDataFrame([(f"{i:03d}",) for i in range(100)] + [(None,), ("zzz",)], "code string")
+    small = {f"{i:03d}": f"L{i}" for i in range(10)}
+    large = {f"{i:03d}": f"L{i}" for i in range(80)}
+    for mapping in (small, large):
+        got = {r["code"]: r["label"] for r in PR.label_codes(df, "code", mapping, "label", "other").collect()}
+        want = {c: mapping.get(c, "other") if c is not None else "other" for c in got}
+        assert got == want and len(got) == 102
