@@ -230,3 +230,12 @@ def test_select_arith_alias_display(housing):
     assert shown.columns == ["보증번호", "해지건수합계"]
     first = rows(O.order_by(out, ["grnt_no"]))[0]
     assert first == ("G-2020-0001", 160)
+
+
+def test_table_alias_and_qualified_columns(housing):
+    a, b = housing["status"].alias("A"), housing["amount"].alias("B")
+    j = J.equi_join(a, b, "GRNT_NO", "GRNT_NO")
+    out = O.order_by(j.select(F.col("A.BASIS_DY").alias("basis_dy"), F.col("A.GRNT_NO").alias("grnt_no"),
+                              F.col("B.GRNT_AMT").alias("grnt_amt")), ["basis_dy", "-grnt_amt"])
+    got = rows(out)
+    assert len(got) == 32 and got[0] == ("20200630", "G-2020-0005", 4200.0)
