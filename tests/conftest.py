@@ -26,6 +26,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="relq-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)

@@ -73,3 +73,19 @@ def test_reports_over_written_and_reread_course_tables(spark, housing):
         sort=["-BASIS_DY", "-supply"])
     got = out.collect()
     assert len(got) == 29 and tuple(got[0])[:5] == ("20230630", "서울", "수도권", "a", 38000)
+
+
+def test_bucketed_facts_join_without_shuffle(spark, housing):
+    from relq.operators import joins as J
+    from relq.sources.tables import write_bucketed
+
+    keys = ["GRNT_NO", "BASIS_DY"]
+    status = write_bucketed(housing["status"], "status_bucketed", keys, 4)
+    amount = write_bucketed(housing["amount"], "amount_bucketed", keys, 4)
+    joined = J.equi_join(status, amount, keys)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        joined.explain(mode="formatted")
+    text = buf.getvalue()
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert joined.count() == 32
