@@ -159,6 +159,30 @@ def date_text(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
     return F.date_format(col(c), fmt)
 
 
+_KEY_WIDTH = {"yyyy": 4, "yyyyMM": 6, "yyyyMMdd": 8}
+
+
+def date_key(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
+    """Integer grouping key with the order and values of ``date_text`` (years 1-9999).
+
+    Group by this, then turn the few result rows into text with ``key_text``:
+    no per-row string formatting or string hashing in the aggregation.
+    """
+    src = col(c)
+    if fmt == "yyyy":
+        return F.year(src)
+    if fmt == "yyyyMM":
+        return F.year(src) * 100 + F.month(src)
+    if fmt == "yyyyMMdd":
+        return F.year(src) * 10000 + F.month(src) * 100 + F.dayofmonth(src)
+    raise ValueError(f"unsupported date key format {fmt!r}")
+
+
+def key_text(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
+    """The ``date_text`` form of a ``date_key`` value."""
+    return F.lpad(col(c).cast(T.StringType()), _KEY_WIDTH[fmt], "0")
+
+
 def ts(text: str) -> Column:
     """A ``TIMESTAMP_NTZ`` literal; compares with the raw column so it is pushed to the scan."""
     return F.lit(text).cast(T.TimestampNTZType())

@@ -183,9 +183,10 @@ def distinct_one(spark, d):
 
 @query
 def distinct_multi(spark, d):
-    return PR.distinct_values(t(spark, d, "orders"),
-                              ["o_orderpriority", "o_orderstatus", X.date_text("o_orderdate", "yyyy").alias("basis_year")],
-                              where=P.like("o_orderpriority", "%H%"))
+    out = PR.distinct_values(t(spark, d, "orders"),
+                             ["o_orderpriority", "o_orderstatus", X.date_key("o_orderdate", "yyyy").alias("basis_year")],
+                             where=P.like("o_orderpriority", "%H%"))
+    return out.withColumn("basis_year", X.key_text("basis_year", "yyyy"))
 
 
 # --- F: filters --------------------------------------------------------------
@@ -403,11 +404,11 @@ def join_left_coalesce(spark, d):
 
 @query
 def agg_basic(spark, d):
-    li = t(spark, d, "lineitem").withColumn("basis_ym", X.date_text("l_shipdate", "yyyyMM"))
+    li = t(spark, d, "lineitem").withColumn("basis_ym", X.date_key("l_shipdate", "yyyyMM"))
     out = A.group_agg(li, ["basis_ym"], [
         A.count_rows("n_lines"), F.sum("l_quantity").alias("sum_qty"),
         X.round_to(X.money_sum("l_extendedprice"), 1).alias("total_price")])
-    return O.order_by(out, ["basis_ym"])
+    return O.order_by(out.withColumn("basis_ym", X.key_text("basis_ym", "yyyyMM")), ["basis_ym"])
 
 
 @query
@@ -439,9 +440,10 @@ def agg_round(spark, d):
 def agg_multi_key(spark, d):
     li = P.where(t(spark, d, "lineitem"), P.between(
         "l_shipdate", X.ts("1996-01-01 00:00:00"), X.ts("2000-12-31 00:00:00")))
-    li = li.withColumn("basis_year", X.date_text("l_shipdate", "yyyy"))
+    li = li.withColumn("basis_year", X.date_key("l_shipdate", "yyyy"))
     out = A.having(A.group_agg(li, ["basis_year", "l_returnflag"], [F.sum("l_quantity").alias("sum_qty")]),
                    F.col("sum_qty") >= 70000)
+    out = out.withColumn("basis_year", X.key_text("basis_year", "yyyy"))
     return O.order_by(out, ["-sum_qty", "basis_year", "l_returnflag"])
 
 
@@ -464,7 +466,7 @@ def where_group_having(spark, d):
 
 
 def _monthly_qty(spark, d):
-    return t(spark, d, "lineitem").withColumn("basis_ym", X.date_text("l_shipdate", "yyyyMM"))
+    return t(spark, d, "lineitem").withColumn("basis_ym", X.date_key("l_shipdate", "yyyyMM"))
 
 
 @query
@@ -474,24 +476,25 @@ def having_scalar_subquery(spark, d):
     # The subquery averages the same per-month totals, so it is derived from
     # the same frame and Spark reuses one shuffle of lineitem for both.
     avg = totals.agg(F.avg("sum_qty").alias("avg_total"))
-    return O.order_by(A.at_least_scalar(totals, "sum_qty", avg), ["-sum_qty", "basis_ym"])
+    kept = A.at_least_scalar(totals, "sum_qty", avg).withColumn("basis_ym", X.key_text("basis_ym", "yyyyMM"))
+    return O.order_by(kept, ["-sum_qty", "basis_ym"])
 
 
 @query
 def cond_agg_pivot(spark, d):
-    li = t(spark, d, "lineitem").withColumn("basis_year", X.date_text("l_shipdate", "yyyy"))
+    li = t(spark, d, "lineitem").withColumn("basis_year", X.date_key("l_shipdate", "yyyy"))
     out = A.pivot_sums(li, ["basis_year"], "l_returnflag",
                        {"returned_qty": "R", "accepted_qty": "A", "none_qty": "N"}, "l_quantity", "total_qty")
-    return O.order_by(out, ["basis_year"])
+    return O.order_by(out.withColumn("basis_year", X.key_text("basis_year", "yyyy")), ["basis_year"])
 
 
 @query
 def group_code_label(spark, d):
-    li = t(spark, d, "lineitem").withColumn("basis_year", X.date_text("l_shipdate", "yyyy"))
+    li = t(spark, d, "lineitem").withColumn("basis_year", X.date_key("l_shipdate", "yyyy"))
     label = X.case_map("l_returnflag", {"R": "returned"}, "other")
     out = A.group_then_label(li, ["basis_year"], "l_returnflag", label, "return_name",
                              [F.sum("l_quantity").alias("sum_qty")])
-    return O.order_by(out, ["basis_year", "-sum_qty"])
+    return O.order_by(out.withColumn("basis_year", X.key_text("basis_year", "yyyy")), ["basis_year", "-sum_qty"])
 
 
 @query
@@ -525,9 +528,9 @@ def order_mixed(spark, d):
 
 @query
 def order_alias(spark, d):
-    orders = t(spark, d, "orders").withColumn("basis_ym", X.date_text("o_orderdate", "yyyyMM"))
+    orders = t(spark, d, "orders").withColumn("basis_ym", X.date_key("o_orderdate", "yyyyMM"))
     out = A.group_agg(orders, ["basis_ym"], [money_total("o_totalprice", "total_price")])
-    return O.order_by(out, ["-total_price", "basis_ym"])
+    return O.order_by(out.withColumn("basis_ym", X.key_text("basis_ym", "yyyyMM")), ["-total_price", "basis_ym"])
 
 
 @query
@@ -626,20 +629,25 @@ def coalesce_case(spark, d):
 
 def _orders_with_nation(spark, d):
     """orders JOIN customer: the snapshot fact with its region code attached."""
-    orders = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy"))
+    orders = t(spark, d, "orders").withColumn("basis_year", X.date_key("o_orderdate", "yyyy"))
     return J.equi_join(orders, t(spark, d, "customer").select("c_custkey", "c_nationkey"),
                        "o_custkey", "c_custkey")
 
 
+def _year_text(df: DataFrame) -> DataFrame:
+    """The integer year key of a (small) result back as ``YYYY`` text; order is kept."""
+    return df.withColumn("basis_year", X.key_text("basis_year", "yyyy"))
+
+
 @query
 def report_status(spark, d):
-    return R.status_report(
+    return _year_text(R.status_report(
         _orders_with_nation(spark, d), nation_dim(spark, d),
         fact_region="c_nationkey", dim_key="n_nationkey", dim_cols=["n_name", "zone"],
         date_col="basis_year", product_code="o_orderstatus", product_labels=STATUS_LABELS,
         other_label="other", label_name="status_name",
         aggs=[A.count_rows("n_orders"), X.round_to(X.money_sum("o_totalprice"), 1).alias("total_price")],
-        sort=["-basis_year", "-n_orders", "n_name", "status_name"])
+        sort=["-basis_year", "-n_orders", "n_name", "status_name"]))
 
 
 @query
@@ -673,7 +681,7 @@ def _cents_as_money(df: DataFrame, keep: list[str]) -> DataFrame:
 
 @query
 def report_zone_pivot(spark, d):
-    return _cents_as_money(_zone_pivot(spark, d), ["basis_year"])
+    return _year_text(_cents_as_money(_zone_pivot(spark, d), ["basis_year"]))
 
 
 @query
@@ -689,26 +697,26 @@ def report_price(spark, d):
 
 @query
 def report_above_average(spark, d):
-    base = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy")).withColumn(
+    base = t(spark, d, "orders").withColumn("basis_year", X.date_key("o_orderdate", "yyyy")).withColumn(
         "price", X.cents("o_totalprice"))
     kept = R.above_average(_zone_pivot(spark, d), "total_price", base, "basis_year", "price")
-    return _cents_as_money(kept, ["basis_year"])
+    return _year_text(_cents_as_money(kept, ["basis_year"]))
 
 
 @query
 def report_label_totals(spark, d):
-    orders = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy"))
-    return R.label_totals(orders, date_col="basis_year", code="o_orderpriority", labels=PRIORITY_LABELS,
-                          other_label="other", label_name="priority_name",
-                          aggs=[A.count_rows("n_orders"), money_total("o_totalprice", "total_price")],
-                          sort=["basis_year", "-total_price"])
+    orders = t(spark, d, "orders").withColumn("basis_year", X.date_key("o_orderdate", "yyyy"))
+    return _year_text(R.label_totals(orders, date_col="basis_year", code="o_orderpriority", labels=PRIORITY_LABELS,
+                                     other_label="other", label_name="priority_name",
+                                     aggs=[A.count_rows("n_orders"), money_total("o_totalprice", "total_price")],
+                                     sort=["basis_year", "-total_price"]))
 
 
 @query
 def report_product_pivot(spark, d):
-    orders = t(spark, d, "orders").withColumn("basis_year", X.date_text("o_orderdate", "yyyy")).withColumn(
+    orders = t(spark, d, "orders").withColumn("basis_year", X.date_key("o_orderdate", "yyyy")).withColumn(
         "price", X.cents("o_totalprice"))
     out = R.product_pivot(orders, date_col="basis_year", code="o_orderstatus",
                           products={"finished_price": "F", "open_price": "O"}, value="price",
                           total="total_price")
-    return _cents_as_money(out, ["basis_year"])
+    return _year_text(_cents_as_money(out, ["basis_year"]))
