@@ -1,9 +1,9 @@
 """Session settings the operators rely on.
 
 Every operator is a lazy DataFrame transformation; nothing here runs a job.
-``configure`` only fills in settings the cluster has left unset, so a
-production session keeps whatever its operators chose (shuffle partitions,
-broadcast threshold, checkpoint folder).
+``configure`` only fills in settings the launcher left unset, so a
+production session keeps whatever its administrators chose (shuffle
+partitions, broadcast thresholds, checkpoint folder).
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ ADAPTIVE_DEFAULTS = {
     # Broadcast only what is proven small.  The static threshold trusts a
     # size estimate taken from compressed file sizes, so it is switched off;
     # sides are broadcast either by an explicit hint after ``joins.bounded``
-    # has proven the row bound, or by AQE once a shuffle stage has *measured*
-    # a side below the adaptive threshold.
+    # has proven a row and byte bound, or by AQE once a shuffle stage has
+    # *measured* a side below the adaptive threshold.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
