@@ -1,18 +1,21 @@
 """Joins (J1-J11) and the Cartesian-product guard.
 
-Physical strategy is left to Catalyst and adaptive execution:
-
-* a side is broadcast only after ``bounded`` has proven its row count is at
-  most ``max_rows`` (a ``LIMIT max_rows+1`` count, which stops reading as soon
-  as the bound is exceeded).  Beyond the bound the join is planned as a
-  shuffled sort-merge join, and AQE may still switch it to a broadcast join
-  from measured sizes;
+Physical strategy is left to Catalyst and adaptive execution, within these
+rules:
+
+* a side is broadcast only after ``bounded`` has proven it holds at most
+  ``max_rows`` rows and ``max_bytes`` bytes (one job over ``LIMIT
+  max_rows+1``, which stops reading as soon as the bound is exceeded).
+  Beyond the bound the join is a shuffled sort-merge join, and AQE may still
+  switch it to a broadcast join once a shuffle has measured a side small;
 * fact-to-fact joins shuffle both sides on the key.  AQE's skew handling
   splits an oversized partition (a hot key) of the side that may be split:
   both sides for INNER, the preserved side for LEFT/RIGHT;
-* FULL OUTER cannot be split by AQE, so ``full_outer_join`` is built from an
-  INNER join plus, for each side, an anti join against the other side's
-  *distinct* keys: shapes AQE can split whichever side holds a hot key.
+* where a hot key may sit on a side AQE cannot split -- either side of a
+  FULL OUTER join, the optional side of a LEFT/RIGHT join over a raw table --
+  the join is built from an INNER join plus anti joins against the other
+  side's *distinct* keys (``full_outer_join``, ``left_outer_join``,
+  ``right_outer_join``): shapes AQE can split whichever side holds the key.
 """
 
 from __future__ import annotations
