@@ -62,3 +62,15 @@ def test_ordered_results_come_back_in_order(spark):
     df = E.queries()["report_status"](spark, SF_SMALL)
     got = [(r["basis_year"], r["n_orders"]) for r in df.collect()]
     assert all(a[0] > b[0] or (a[0] == b[0] and a[1] >= b[1]) for a, b in zip(got, got[1:]))
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark, con):
+    for name, fn in E.queries().items():
+        ours = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                for f in fn(spark, SF_SMALL).schema}
+        rel = con.sql(E.oracle_sql()[name])
+        assert ours == {c: str(t) for c, t in zip(rel.columns, rel.types)}, name
