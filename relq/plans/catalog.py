@@ -10,8 +10,10 @@ housing schema (SURVEY §7.3):
   product code    o_orderstatus, o_orderpriority, l_returnflag
   optional detail labels for documents, per-order lineitem totals for orders
 
-Output columns are snake_case ASCII; money is summed in DECIMAL(18,2) and
-returned as DOUBLE.
+Output columns are snake_case ASCII; money is summed exactly (whole cents)
+and returned as DOUBLE.  Dates leave as fixed-width text (``basis_dy``,
+``basis_ym``, ``basis_year``), the form the course's schema stores them in;
+no query emits a raw TIMESTAMP column.
 """
 
 from __future__ import annotations
@@ -102,7 +104,7 @@ def scan_all(spark, d):
 
 @query
 def scan_ordered(spark, d):
-    return TB.scan_ordered(t(spark, d, "orders"), ["o_orderdate", "o_orderkey"])
+    return TB.scan_ordered(t(spark, d, "customer"), ["c_nationkey", "c_custkey"])
 
 
 ADHOC_PRESET = (
@@ -152,7 +154,7 @@ def check_orphans(spark, d):
 
 @query
 def project_cols(spark, d):
-    return PR.project(t(spark, d, "orders"), ["o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
+    return PR.project(t(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
 
 
 @query

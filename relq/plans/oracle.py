@@ -89,7 +89,7 @@ def _null_sql() -> str:
 SQL: dict[str, str] = {
     # S
     "scan_all": "SELECT * FROM nation",
-    "scan_ordered": "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey",
+    "scan_ordered": "SELECT * FROM customer ORDER BY c_nationkey, c_custkey",
     "adhoc_sql": ("SELECT o_orderstatus, COUNT(*) AS n_orders, "
                   "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price "
                   "FROM orders GROUP BY o_orderstatus ORDER BY o_orderstatus"),
@@ -100,7 +100,7 @@ SQL: dict[str, str] = {
     "check_orphans": ("SELECT doc_id, lang, source, n_chars FROM documents d "
                       "WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"),
     # P
-    "project_cols": "SELECT o_orderkey, o_orderdate, o_orderstatus, o_totalprice FROM orders",
+    "project_cols": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "project_alias": (f"SELECT o_orderkey AS order_no, {_dy('o_orderdate')} AS basis_dy, "
                       "o_totalprice AS total_price, o_orderpriority AS priority FROM orders"),
     "project_arith": ("SELECT l_orderkey, l_linenumber, l_quantity, "

@@ -74,3 +74,9 @@ def test_column_types_match_oracle(spark, con):
                 for f in fn(spark, SF_SMALL).schema}
         rel = con.sql(E.oracle_sql()[name])
         assert ours == {c: str(t) for c, t in zip(rel.columns, rel.types)}, name
+
+
+def test_no_query_emits_raw_timestamps(spark):
+    for name, fn in E.queries().items():
+        types = [f.dataType.simpleString() for f in fn(spark, SF_SMALL).schema]
+        assert not any(t.startswith("timestamp") for t in types), name
