@@ -1,0 +1 @@
+"""Scalar expressions built from Spark's built-in functions."""

@@ -148,10 +148,6 @@ def to_double(c: Column) -> Column:
     return c.cast(T.DoubleType())
 
 
-def to_long(c: Column) -> Column:
-    return c.cast(T.LongType())
-
-
 # --- snapshot date text ------------------------------------------------------
 
 def date_text(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:

@@ -1,0 +1 @@
+"""DataFrame-to-DataFrame operators: filters, projections, joins, aggregates, ordering, checks."""

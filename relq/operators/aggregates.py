@@ -63,7 +63,7 @@ def pivot_sums(df: DataFrame, keys: Sequence[ColumnOrName], category: ColumnOrNa
 
 
 def group_then_label(df: DataFrame, keys: Sequence[str], code: str, label: Column,
-                     label_name: str, aggs: Sequence[Column], out_keys: Sequence[str] | None = None) -> DataFrame:
+                     label_name: str, aggs: Sequence[Column]) -> DataFrame:
     """Group by the raw code, then label it.
 
     Grouping by the label would merge two unknown codes into one "other"
@@ -73,7 +73,7 @@ def group_then_label(df: DataFrame, keys: Sequence[str], code: str, label: Colum
     """
     grouped = df.groupBy(*keys, code).agg(*aggs)
     agg_names = [c for c in grouped.columns if c not in set(keys) | {code}]
-    return grouped.select(*(out_keys or keys), label.alias(label_name), *agg_names)
+    return grouped.select(*keys, label.alias(label_name), *agg_names)
 
 
 def avg_of_group_totals(df: DataFrame, keys: Sequence[ColumnOrName], value: ColumnOrName,

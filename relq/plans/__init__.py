@@ -1,0 +1 @@
+"""Composite reports, the registered driver queries and their oracle SQL."""
