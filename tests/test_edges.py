@@ -211,3 +211,13 @@ def test_label_codes_case_and_lookup_agree(spark):
         got = {r["code"]: r["label"] for r in PR.label_codes(df, "code", mapping, "label", "other").collect()}
         want = {c: mapping.get(c, "other") if c is not None else "other" for c in got}
         assert got == want and len(got) == 102
+
+
+def test_run_sql_comments_and_cte(spark, fact):
+    fact.createOrReplaceTempView("fact_t")
+    df, err = run_sql(spark, "SELECT COUNT(*) AS n FROM fact_t -- trailing comment")
+    assert err is None and df.first()["n"] == 6
+    df, err = run_sql(spark, "WITH c AS (SELECT CODE FROM fact_t WHERE CNT > 10) SELECT COUNT(*) AS n FROM c;")
+    assert err is None and df.first()["n"] == 3          # CNT 100, 20, 50
+    df, err = run_sql(spark, "SELECT 1 /* unclosed")
+    assert df is None and err
