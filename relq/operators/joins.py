@@ -181,6 +181,9 @@ def _outer_parts(left: DataFrame, right: DataFrame, left_keys, right_keys):
     rkeys = lkeys if using else _as_list(right_keys)
     if not lkeys or len(lkeys) != len(rkeys):
         raise ValueError("join needs a non-empty, equal-length key list on both sides")
+    shared = (set(left.columns) & set(right.columns)) - (set(lkeys) if using else set())
+    if shared:
+        raise ValueError(f"columns {sorted(shared)} exist on both sides; rename them before an outer join")
 
     if using:
         matched = left.join(right, on=lkeys, how="inner")

@@ -221,3 +221,12 @@ def test_run_sql_comments_and_cte(spark, fact):
     assert err is None and df.first()["n"] == 3          # CNT 100, 20, 50
     df, err = run_sql(spark, "SELECT 1 /* unclosed")
     assert df is None and err
+
+
+def test_outer_join_refuses_ambiguous_columns(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, "y")], "kb int, v string")
+    with pytest.raises(ValueError):
+        J.full_outer_join(a, b, "k", "kb")
+    with pytest.raises(ValueError):
+        J.left_outer_join(a, b, "k", "kb", max_rows=0)
