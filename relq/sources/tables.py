@@ -78,11 +78,13 @@ def scan_ordered(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
 def write_snapshots(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
     """Persist a snapshot fact laid out by its date column.
 
-    ``repartition(date_col)`` groups each snapshot's rows before the write so
-    every task writes few files; a later ``WHERE date_col BETWEEN ..`` prunes
-    folders instead of reading them.
+    The ``rebalance`` hint clusters each snapshot's rows before the write so
+    tasks write few files, and lets AQE split a partition that outgrows the
+    advisory size: a date holding a third of all rows is written by many
+    tasks, not one.  A later ``WHERE date_col BETWEEN ..`` prunes folders
+    instead of reading them.
     """
-    df.repartition(date_col).write.mode(mode).partitionBy(date_col).parquet(path)
+    df.hint("rebalance", date_col).write.mode(mode).partitionBy(date_col).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
@@ -95,7 +97,11 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     ``(BASIS_DY, GRNT_NO)``, is the case in point).  The table lives in the
     session's warehouse (``spark.sql.warehouse.dir``), the shared location
     the cluster configures.  Pick ``buckets`` so one bucket of the larger
-    table is a few hundred MB.
+    table is a few hundred MB.  The write itself adds no shuffle, so every
+    task writes its own slice of each bucket.  A join of bucketed tables has
+    no shuffle for AQE to split, so a key holding a large share of the rows
+    makes its bucket's task long; for such keys the shuffled join with AQE
+    skew splitting is the safer plan.
     """
     writer = df.write.mode(mode).bucketBy(buckets, *keys)
     if sort:

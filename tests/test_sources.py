@@ -89,3 +89,19 @@ def test_bucketed_facts_join_without_shuffle(spark, housing):
     text = buf.getvalue()
     assert "SortMergeJoin" in text and "Exchange" not in text
     assert joined.count() == 32
+
+
+def test_snapshot_write_spreads_a_hot_date(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("20230630")).otherwise(F.lit("20220630")).alias("BASIS_DY"),
+        F.col("id").alias("v"))
+    out = os.path.join(tempfile.mkdtemp(prefix="relq-hot-"), "snap")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_snapshots(hot, out, "BASIS_DY")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(os.path.join(out, "BASIS_DY=20230630")) if f.endswith(".parquet")]
+    assert len(files) > 1                     # the hot date was written by several tasks
+    assert spark.read.parquet(out).count() == 30000
