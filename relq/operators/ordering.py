@@ -1,9 +1,9 @@
 """Sorts, limits, top-k (O1-O7) and UNION.
 
 A global ``ORDER BY`` range-partitions rows by sampled sort-key bounds and
-sorts each range; it is the last step of a query.  Sort keys should end in a
-unique key: the order is then total, and rows sharing a hot leading value can
-still be spread over several range partitions.
+sorts each range; it is the last step of a query.  ``order_by`` appends the
+other columns as tiebreakers, so rows sharing a hot leading value are still
+spread over several range partitions.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def sort_key(spec: str | Column) -> Column:
@@ -26,13 +27,29 @@ def sort_key(spec: str | Column) -> Column:
     return F.col(spec).asc_nulls_first()
 
 
-def order_by(df: DataFrame, specs: Sequence[str | Column]) -> DataFrame:
+def _named(spec: str | Column) -> str | None:
+    return (spec[1:] if spec.startswith("-") else spec) if isinstance(spec, str) else None
+
+
+def order_by(df: DataFrame, specs: Sequence[str | Column], tiebreak: bool = True) -> DataFrame:
     """``ORDER BY k1 [ASC|DESC], k2 ...``.
 
     Output aliases (O4) and source columns absent from the final projection
     (O5) are both sortable as long as the sort runs before that projection.
+
+    With ``tiebreak`` the remaining orderable columns are appended as
+    ascending keys.  SQL leaves the order of ties open, so the result is the
+    same ORDER BY; but rows that share a hot sort value no longer all fall
+    into one range partition, they are split wherever they differ.
     """
-    return df.orderBy(*[sort_key(s) for s in specs]) if specs else df
+    if not specs:
+        return df
+    keys = [sort_key(s) for s in specs]
+    if tiebreak:
+        used = {_named(s) for s in specs}
+        keys += [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
+                 if f.name not in used and not isinstance(f.dataType, T.MapType)]
+    return df.orderBy(*keys)
 
 
 def top_k(df: DataFrame, k: int, specs: Sequence[str | Column]) -> DataFrame:

@@ -537,8 +537,8 @@ def order_alias(spark, d):
 
 @query
 def order_hidden_col(spark, d):
-    df = P.where(docs_labels(spark, d), P.is_not_null("quality"))
-    df = O.order_by(df, ["quality", "doc_id"])
+    df = P.where(docs_labels(spark, d), P.is_not_null("quality")).select("doc_id", "lang", "quality")
+    df = O.order_by(df, ["quality", "doc_id"])   # sorts on a column the output drops (O5)
     return df.select("doc_id", "lang", X.coalesce_default(F.col("quality").cast("string"), "unlabeled").alias("quality_text"))
 
 
