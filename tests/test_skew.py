@@ -108,3 +108,16 @@ def test_left_join_splits_hot_optional_side(skew_session):
     assert "SortMergeJoin(skew=true)" in text
     native = docs.join(labels, docs["k"] == labels["rk"], "left").select("k", "v", "rk", "w")
     assert canon(got) == canon(native.collect())
+
+
+def test_sort_spreads_a_hot_value_over_range_partitions(skew_session):
+    from relq.operators import ordering as O
+    spark = skew_session
+    df = hot(spark)
+    spread = O.order_by(df, ["k"]).withColumn("pid", F.spark_partition_id())
+    plain_sort = O.order_by(df, ["k"], tiebreak=False).withColumn("pid", F.spark_partition_id())
+    hot_parts = spread.filter(F.col("k") == 0).select("pid").distinct().count()
+    assert hot_parts > 1
+    assert plain_sort.filter(F.col("k") == 0).select("pid").distinct().count() == 1
+    keys = [r["k"] for r in O.order_by(df, ["k"]).select("k").collect()]
+    assert keys == sorted(keys)
