@@ -14,7 +14,7 @@ left_rows = st.lists(st.tuples(keys, st.sampled_from(["a", "b", "c"])), max_size
 right_rows = st.lists(st.tuples(keys, st.sampled_from(["x", "y"])), max_size=12)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(left_rows, right_rows)
 def test_full_outer_matches_native_and_union_form(spark, lrows, rrows):
     a = spark.createDataFrame(lrows, "k int, a string")
@@ -48,7 +48,7 @@ def test_like_prefix_equals_startswith(spark, values, prefix):
     assert got == sorted(v for v in values if v.startswith(prefix))
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(left_rows, right_rows)
 def test_left_outer_join_matches_native(spark, lrows, rrows):
     a = spark.createDataFrame(lrows, "k int, a string")
