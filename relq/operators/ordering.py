@@ -27,6 +27,10 @@ def sort_key(spec: str | Column) -> Column:
     return F.col(spec).asc_nulls_first()
 
 
+# Types Spark cannot sort by; they are never used as tiebreakers.
+_UNORDERED = tuple(t for t in (T.MapType, getattr(T, "VariantType", None), T.CalendarIntervalType) if t)
+
+
 def _named(spec: str | Column) -> str | None:
     return (spec[1:] if spec.startswith("-") else spec) if isinstance(spec, str) else None
 
@@ -48,7 +52,7 @@ def order_by(df: DataFrame, specs: Sequence[str | Column], tiebreak: bool = True
     if tiebreak:
         used = {_named(s) for s in specs}
         keys += [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
-                 if f.name not in used and not isinstance(f.dataType, T.MapType)]
+                 if f.name not in used and not isinstance(f.dataType, _UNORDERED)]
     return df.orderBy(*keys)
 
 

@@ -230,3 +230,8 @@ def test_outer_join_refuses_ambiguous_columns(spark):
         J.full_outer_join(a, b, "k", "kb")
     with pytest.raises(ValueError):
         J.left_outer_join(a, b, "k", "kb", max_rows=0)
+
+
+def test_order_by_skips_unorderable_tiebreakers(spark):
+    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "k int, m map<string,int>")
+    assert [r["k"] for r in O.order_by(df, ["k"]).collect()] == [1, 2]
