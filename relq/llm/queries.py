@@ -7,16 +7,19 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, simhash, url_filter
+from . import bpe, exact_dedup, html_main, license_scan, packing, simhash, url_filter
+from .shipping import ship
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
@@ -29,10 +32,18 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), tokenizer)
 
 
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_pages(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(_documents(spark, sf_dir))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, sf_dir))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_pages(spark, sf_dir), URL_RULES)
 
@@ -42,13 +53,14 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
-REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op4_exact_dedup, op8_url_filter, op9_bpe)}
+REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op8_url_filter, op9_bpe)}
 
 SQL = {
     "op4_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
 g AS (SELECT doc_id, body, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g""",
+    "op5_license_scan": license_scan.oracle_sql(),
     "op8_url_filter": r"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
