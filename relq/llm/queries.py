@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_main, license_scan, packing, simhash, url_filter
+from . import bpe, exact_dedup, html_main, langid, license_scan, minhash, packing, simhash, url_filter
 from .shipping import ship
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -44,6 +44,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_documents(spark, sf_dir))
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_documents(spark, sf_dir))
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_pages(spark, sf_dir), URL_RULES)
 
@@ -53,7 +61,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
-REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op8_url_filter, op9_bpe)}
+REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op6_langid, op7_minhash, op8_url_filter, op9_bpe)}
 
 SQL = {
     "op4_exact_dedup": r"""
