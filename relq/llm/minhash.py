@@ -277,7 +277,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # links confirmed on full sets
     wanted = clusters.join(classes, F.col("node") == F.col("cid")).select("cid", F.col("component").alias("cluster"), F.col("doc_id").alias("wid"), F.col("body").alias("wbody"), "signature")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wid")) & (F.col("body") == F.col("wbody"))).select("cid", "cluster", "signature", "text").dropDuplicates(["cid"])
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wid")) & (F.col("body") == F.col("wbody"))).select("cid", "cluster", "signature", "text")
     sets = staged(texts.mapInArrow(_sets, "cid long, cluster long, signature binary, own binary"), "sets")
     links = _tasks(blocked(sets, "cluster", "cid").select("task", "side", "cid", "signature", "own")).mapInArrow(_confirmed, "u long, v long")
     linked = connected_components(links)

@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_main, langid, license_scan, minhash, packing, simhash, url_filter
+from . import bpe, exact_dedup, html_main, langid, license_scan, minhash, packing, simhash, suffix_dedup, url_filter
 from .shipping import ship
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -61,7 +61,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
-REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op6_langid, op7_minhash, op8_url_filter, op9_bpe)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+
+
+REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op6_langid, op7_minhash, op8_url_filter, op9_bpe, op10_suffix_dedup)}
 
 SQL = {
     "op4_exact_dedup": r"""
