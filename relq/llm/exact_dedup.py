@@ -193,3 +193,41 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     keep = groups.repartition("sha").mapInArrow(_across_tasks, "leader long, keep_rid long, keep_id long, group_size long")
     out = local.select("rid", "doc_id", "sha", "leader").join(keep, "leader")
     return out.select(F.col("doc_id").alias(id_col), "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay, with all of their columns.
+
+    A task's distinct texts are sent once, by content hash; the task that gets
+    all rows of a content returns the one that stays.
+    """
+    names = df.columns
+    id_at, text_at = names.index(id_col), names.index(text_col)
+
+    def records(batches, first):
+        for part in slices(batches, f"c{text_at}"):
+            for row in zip(*(part.column(c).to_pylist() for c in part.schema.names)):
+                content = normalised((row[text_at] or "").encode())
+                yield int.from_bytes(hashlib.sha256(content).digest()[:8], "big"), content, (row[id_at], row[first], row)
+
+    def run(width):
+        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            batch, schema = next(batches, None), None
+            if batch is None:
+                return
+            schema = pa.schema(list(batch.schema)[:width] + [("h", pa.int64())])
+            stay = ((_first([m[:2] for m in members]), members, h) for h, _, members in grace_groups(records(_chain(batch, batches), len(names))))
+            rows = (next(m[2] for m in members if m[:2] == best)[:width] + (h - (1 << 63),) for best, members, h in stay)
+            yield from _batches((r for r in rows), schema, text_at)
+        return within
+
+    numbered = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.monotonically_increasing_id().alias("rid"))
+    own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema))
+    leaders = numbered.mapInArrow(run(len(names) + 1), f"{own}, rid long, h long")
+    kept = leaders.repartition("h").drop("h").mapInArrow(run(len(names) + 1), f"{own}, rid long, h long")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+
+
+def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield first
+    yield from rest

@@ -214,13 +214,8 @@ def predict(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     def run(batches):
         net = shared.value
         for part in slices(batches, "text", 2 << 20):
-            texts, ids = part.column("text").to_pylist(), part.column("id").to_pylist()
-            letters = [bool(t) and any(map(str.isalpha, t)) for t in texts]
-            if net.languages:
-                y = document_scores(net, *column_bytes(part.column("text")))
-                best, score = y.argmax(1), y.max(1)
-            lang = [net.languages[best[i]] if ok and net.languages else "und" for i, ok in enumerate(letters)]
-            score = [float(score[i]) if ok and net.languages else 0.0 for i, ok in enumerate(letters)]
+            ids = part.column("id").to_pylist()
+            lang, score = judge(net, part.column("text"))
             held = [i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in ids]
             yield pa.record_batch({"id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
 
@@ -228,6 +223,33 @@ def predict(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, SCHEMA).withColumnRenamed("id", id_col)
 
 
+MIN_SCORE = 0.35
+
+
+def judge(net: Network, texts: pa.Array) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    values = texts.to_pylist()
+    letters = [bool(t) and any(map(str.isalpha, t)) for t in values]
+    if not net.languages:
+        return ["und"] * len(values), [0.0] * len(values)
+    y = document_scores(net, *column_bytes(texts))
+    best, score = y.argmax(1), y.max(1)
+    return ([net.languages[b] if ok else "und" for b, ok in zip(best, letters)], [float(x) if ok else 0.0 for x, ok in zip(score, letters)])
+
+
+def accepted(df: DataFrame, net: Network, text_col: str = "text", least: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``df`` whose language is told: not ``und``, and with a score
+    of at least ``least`` (below it no language holds a fair share of the text)."""
+    shared = df.sparkSession.sparkContext.broadcast(net)
+
+    def run(batches):
+        for part in slices(batches, text_col, 2 << 20):
+            lang, score = judge(shared.value, part.column(text_col))
+            yield part.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score)]))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Learn from the labelled rows of ``df`` and predict all of them."""
     return predict(df, fit(df, id_col, text_col, lang_col), id_col, text_col)

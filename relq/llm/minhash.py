@@ -9,16 +9,18 @@ ASCII white space); a shorter text is one shingle.  Two texts are linked when
 2. Texts with equal sets are one class; classes that share a band's key are
    candidates.  In a bucket similarities are estimated by counting equal
    signature entries, corrected for chance agreement of the low bits, and
-   classes at ``ESTIMATE`` or above are joined in a tree (never as all pairs).
+   classes estimated at the share less ``MARGIN`` or above are joined in a tree
+   (never as all pairs).
    The clusters of these trees hold every pair that can be linked.
 3. The full sets of a cluster meet, and links are confirmed on them; pairs
    already connected are skipped.  A tree of confirmed links leaves the task.
 
 A bucket or cluster above ``BLOCK`` classes is cut into blocks, and each pair
 of blocks is one task's work: nothing is capped, and no task holds more than
-two blocks.  A pair at the threshold shares no band with a probability of
-``(1 - 0.85 ** ROWS) ** BANDS`` (2e-7), and is estimated below ``ESTIMATE``
-with one of about 2e-6; more similar pairs far less often.
+two blocks.  A pair exactly at 0.85 shares no band with a probability of
+``(1 - 0.85 ** ROWS) ** BANDS`` (6e-11; at 0.8: 1e-7), and its estimate is off
+by ``MARGIN`` (over six and five standard deviations) with one below 1e-8;
+more similar pairs far less often.
 
 Equal sets leave each task once (the ``leader``), so that a hot group of
 copies costs a row for each task.  Shingles are compared by 64-bit hashes.
@@ -42,9 +44,9 @@ from .components import connected_components
 from .staging import staged
 
 SHINGLE = 5
-BANDS, ROWS, BITS = 26, 5, 4
-ESTIMATE = 0.70
+BANDS, ROWS, BITS = 40, 5, 4
 SHARE, OF = 85, 100  # linked: OF * both >= SHARE * either
+MARGIN = 0.17  # estimates this far below the share are still looked at
 BLOCK = 4096
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240229)
@@ -155,7 +157,7 @@ class Forest:
         return np.array([self.find(i) for i in range(len(self.parent))])
 
 
-def _tree(signature: np.ndarray, side: np.ndarray | None, confirm=None, step: int = 512) -> list[tuple[int, int]]:
+def _tree(signature: np.ndarray, side: np.ndarray | None, least: float, confirm=None, step: int = 512) -> list[tuple[int, int]]:
     """Pairs that connect what the estimates (and ``confirm``) connect.
 
     ``side``: with two blocks, only pairs across are looked at."""
@@ -163,7 +165,7 @@ def _tree(signature: np.ndarray, side: np.ndarray | None, confirm=None, step: in
     for a in range(0, n, step):
         for b in range(a, n, step):
             near = estimates(signature[a:a + step], signature[b:b + step])
-            i, j = np.nonzero(near >= ESTIMATE)
+            i, j = np.nonzero(near >= least)
             order = np.argsort(-near[i, j], kind="stable")
             i, j = i[order] + a, j[order] + b
             keep = i < j if side is None else (i < j) & (side[i] != side[j])
@@ -226,28 +228,34 @@ def _bits(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in _groups(batches, "task"):
-        pairs = _tree(_bits(table.column("signature")), _sides(table))
-        if pairs:
-            yield _edges(table.column("cid").to_numpy(), pairs)
+def _estimated(share: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "task"):
+            pairs = _tree(_bits(table.column("signature")), _sides(table), share / OF - MARGIN)
+            if pairs:
+                yield _edges(table.column("cid").to_numpy(), pairs)
 
+    return run
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in _groups(batches, "task"):
-        cid, at = np.unique(table.column("cid").to_numpy(), return_index=True)  # rows that share id and text come twice
-        if len(cid) < 2:
-            continue
-        table = table.take(at)
-        sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in table.column("own").to_pylist()]
 
-        def linked(x: int, y: int) -> bool:
-            both = len(sets[x] & sets[y])
-            return OF * both >= SHARE * (len(sets[x]) + len(sets[y]) - both)
+def _confirmed(share: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "task"):
+            cid, at = np.unique(table.column("cid").to_numpy(), return_index=True)  # rows that share id and text come twice
+            if len(cid) < 2:
+                continue
+            table = table.take(at)
+            sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in table.column("own").to_pylist()]
+
+            def linked(x: int, y: int) -> bool:
+                both = len(sets[x] & sets[y])
+                return OF * both >= share * (len(sets[x]) + len(sets[y]) - both)
+
+            pairs = _tree(_bits(table.column("signature")), _sides(table), share / OF - MARGIN, linked)
+            if pairs:
+                yield _edges(cid, pairs)
 
-        pairs = _tree(_bits(table.column("signature")), _sides(table), linked)
-        if pairs:
-            yield _edges(cid, pairs)
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,9 +268,9 @@ def _tasks(rows: DataFrame) -> DataFrame:
     return rows.repartition("task").sortWithinPartitions("task")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of each row; ``kept`` marks one row
-    of each component, that of the smallest id."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, keep_body: bool = False) -> DataFrame:
+    """(id, n_shingles, component_id, kept[, body]) of each row; ``kept`` marks one row
+    of each component, that of the smallest id; ``keep_body`` adds the text's hash."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("body", F.xxhash64("text"))
     sketch = staged(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "body", "text").mapInArrow(_sketch, _SKETCH), "sketch")
     leaders = sketch.where(F.col("rid") == F.col("leader"))
@@ -272,19 +280,27 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = classes.select("cid", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = buckets.join(shared, "bucket").join(classes.select("cid", "signature"), "cid")
-    tree = _tasks(blocked(members, "bucket", "cid").select("task", "side", "cid", "signature")).mapInArrow(_estimated, "u long, v long")
+    tree = _tasks(blocked(members, "bucket", "cid").select("task", "side", "cid", "signature")).mapInArrow(_estimated(share), "u long, v long")
     clusters = connected_components(tree)
 
     # links confirmed on full sets
     wanted = clusters.join(classes, F.col("node") == F.col("cid")).select("cid", F.col("component").alias("cluster"), F.col("doc_id").alias("wid"), F.col("body").alias("wbody"), "signature")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wid")) & (F.col("body") == F.col("wbody"))).select("cid", "cluster", "signature", "text")
     sets = staged(texts.mapInArrow(_sets, "cid long, cluster long, signature binary, own binary"), "sets")
-    links = _tasks(blocked(sets, "cluster", "cid").select("task", "side", "cid", "signature", "own")).mapInArrow(_confirmed, "u long, v long")
+    links = _tasks(blocked(sets, "cluster", "cid").select("task", "side", "cid", "signature", "own")).mapInArrow(_confirmed(share), "u long, v long")
     linked = connected_components(links)
 
     # every row: leader -> class -> component -> smallest id
     of_class = classes.join(linked, F.col("cid") == F.col("node"), "left").select("keyed", F.coalesce("component", "cid").alias("part"))
     of_leader = leaders.select("rid", "keyed").join(of_class, "keyed", "left").select(F.col("rid").alias("leader"), F.coalesce("part", "rid").alias("part"))
-    rows = staged(sketch.select("rid", "doc_id", "n_shingles", "leader").join(of_leader, "leader").drop("leader"), "rows")
+    rows = staged(sketch.select("rid", "doc_id", "body", "n_shingles", "leader").join(of_leader, "leader").drop("leader"), "rows")
     first = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")).select(F.col("part"), F.col("least.doc_id").alias("component_id"), F.col("least.rid").alias("first_rid"))
-    return rows.join(first, "part").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", (F.col("rid") == F.col("first_rid")).alias("kept"))
+    return rows.join(first, "part").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", (F.col("rid") == F.col("first_rid")).alias("kept"), *(["body"] if keep_body else []))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
+    """The rows of ``df`` that are kept, with all of their columns (rows that
+    share id and text are kept or dropped together)."""
+    kept = near_duplicates(df, id_col, text_col, share, keep_body=True).where("kept").select(F.col(id_col).alias("kept_id"), "body").distinct()
+    body = F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
+    return df.join(kept, df[id_col].cast("long").eqNullSafe(kept["kept_id"]) & (body == kept["body"]), "left_semi")

@@ -36,6 +36,7 @@ import struct
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -472,3 +473,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.when(gone, F.lit(_EMPTY)).otherwise(F.col("kept_sha256")).alias("own_sha256"), *([F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if keep_bytes else []))
     out = sketch.select("doc_id", "n_bytes", "whole", "leader").join(result, "leader")
     return out.select(F.col("doc_id").alias(id_col), "n_bytes", "n_removed", "n_spans", F.coalesce("own_sha256", "whole").alias("kept_sha256"), *(["kept"] if keep_bytes else []))
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with repeated bytes taken out of its texts.  A character that a
+    repeat's edge cuts through goes as a whole; a null text stays null."""
+    sketch, classes, cut = repeats(df, id_col, text_col)
+
+    @F.pandas_udf("string")
+    def as_text(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: b.decode(errors="ignore"))
+
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
+    changed = (classes.drop("grams").join(cut.select("cid", as_text("kept").alias("rest")).dropDuplicates(["cid"]), "cid", "left").where(gone | F.col("rest").isNotNull())
+               .select(F.col("rid").alias("leader"), F.when(gone, F.lit("")).otherwise(F.col("rest")).alias("rest")))
+    of_row = sketch.join(changed, "leader").select(F.col("doc_id").alias("cut_id"), "body", F.col("rest").alias("rest_of_text")).dropDuplicates(["cut_id", "body"])
+    own = F.xxhash64(F.coalesce(df[text_col].cast("string"), F.lit("")))
+    both = df.join(of_row, df[id_col].cast("long").eqNullSafe(of_row["cut_id"]) & (own == of_row["body"]), "left")
+    return both.select(*[F.coalesce(of_row["rest_of_text"], df[c]).alias(c) if c == text_col else df[c] for c in df.columns])
