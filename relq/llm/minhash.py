@@ -95,24 +95,31 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+_WORDS = -(-_HASHES // 64)  # 64-bit words of a bit plane
+
+
 def packed(least: np.ndarray) -> np.ndarray:
-    """(texts, bytes): the low ``BITS`` bits of each minimum."""
-    low = np.unpackbits(least.astype("<u4").view(np.uint8).reshape(*least.shape, 4)[:, :, :1], axis=2, bitorder="little")[:, :, :BITS]
-    return np.packbits(low.reshape(len(least), -1), axis=1)
+    """(texts, bytes): the low ``BITS`` bits of each minimum, a plane of bits
+    for each, padded to whole words."""
+    planes = (least[:, None, :] >> np.arange(BITS, dtype=np.uint32)[None, :, None] & 1).astype(np.uint8)
+    padded = np.zeros((len(least), BITS, _WORDS * 64), np.uint8)
+    padded[:, :, :_HASHES] = planes
+    return np.packbits(padded, axis=2).reshape(len(least), -1)
 
 
 def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """(len(a), len(b)): similarities by the share of equal signature entries."""
-    apart = np.zeros((len(a), len(b)), np.int32)
-    for x, y in zip(a.T, b.T):  # a byte holds two entries
-        d = x[:, None] ^ y[None]
-        apart += _APART[d]
+    """Similarities of signatures (.., words), broadcast against each other: the
+    share of entries that are equal in all planes, less chance agreement."""
+    apart = 0
+    for w in range(_WORDS):
+        differ = a[..., w] ^ b[..., w]
+        for plane in range(1, BITS):
+            differ |= a[..., plane * _WORDS + w] ^ b[..., plane * _WORDS + w]
+        apart = apart + np.bitwise_count(differ).astype(np.int16)
     equal, chance = 1 - apart / _HASHES, 1 / (1 << BITS)
     return (equal - chance) / (1 - chance)
 
 
-_APART = ((np.arange(256) & 15) > 0).astype(np.int8) + ((np.arange(256) >> 4) > 0).astype(np.int8)
-
 _SKETCH = "rid long, doc_id long, body long, n_shingles long, leader long, keyed binary, bands array<long>, signature binary"
 
 
@@ -137,53 +144,43 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "leader": pa.array(out["leader"], pa.int64()), "keyed": pa.array(out["keyed"], pa.binary()), "bands": pa.array(out["bands"], pa.list_(pa.int64())), "signature": pa.array(out["signature"], pa.binary())})
 
 
-class Forest:
-    """Union-find over a task's members."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
+_PIVOTS = 32
 
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = i = self.parent[self.parent[i]]
-        return i
 
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.parent[max(a, b)] = min(a, b)
-        return a != b
-
-    def roots(self) -> np.ndarray:
-        return np.array([self.find(i) for i in range(len(self.parent))])
-
-
-def _tree(signature: np.ndarray, side: np.ndarray | None, least: float, confirm=None, step: int = 512) -> list[tuple[int, int]]:
+def _tree(signature: np.ndarray, side: np.ndarray | None, least: float, confirm=None) -> list[tuple[int, int]]:
     """Pairs that connect what the estimates (and ``confirm``) connect.
 
-    ``side``: with two blocks, only pairs across are looked at."""
-    n, forest, out = len(signature), Forest(len(signature)), []
-    for a in range(0, n, step):
-        for b in range(a, n, step):
-            near = estimates(signature[a:a + step], signature[b:b + step])
-            i, j = np.nonzero(near >= least)
-            order = np.argsort(-near[i, j], kind="stable")
-            i, j = i[order] + a, j[order] + b
-            keep = i < j if side is None else (i < j) & (side[i] != side[j])
-            i, j = i[keep], j[keep]
-            while len(i):  # drop what is connected meanwhile, then look at some more
-                root = forest.roots()
-                open_ = root[i] != root[j]
-                i, j = i[open_], j[open_]
-                for x, y in zip(i[:4 * step].tolist(), j[:4 * step].tolist()):
-                    if forest.find(x) != forest.find(y) and (confirm is None or confirm(x, y)):
-                        forest.join(x, y)
-                        out.append((x, y))
-                i, j = i[4 * step:], j[4 * step:]
+    Grown from one member at a time: a member that has been reached is compared
+    with those that have not, so a dense group takes few comparisons and each
+    pair at most one.  ``side``: with two blocks, only pairs across count."""
+    waiting, out = np.arange(len(signature)), []
+    while len(waiting):
+        reached, waiting = [int(waiting[0])], waiting[1:]
+        while reached and len(waiting):
+            own, reached = np.array(reached[:_PIVOTS]), reached[_PIVOTS:]
+            value = estimates(signature[own][:, None], signature[waiting][None])
+            near = value >= least
+            if side is not None:
+                near &= side[own][:, None] != side[waiting][None]
+            hit = near.any(0)
+            if confirm is None:
+                out += zip(own[near[:, hit].argmax(0)].tolist(), waiting[hit].tolist())
+            else:
+                for c in np.flatnonzero(hit).tolist():
+                    rows = np.flatnonzero(near[:, c])
+                    found = next((r for r in rows[np.argsort(-value[rows, c], kind="stable")].tolist() if confirm(int(own[r]), int(waiting[c]))), None)
+                    if found is None:
+                        hit[c] = False
+                    else:
+                        out.append((int(own[found]), int(waiting[c])))
+            reached += waiting[hit].tolist()
+            waiting = waiting[~hit]
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Runs of equal keys of sorted batches; runs of one row are left out."""
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows in tables that end with a group, and where groups begin
+    (with the number of rows at the end)."""
     rest: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
@@ -192,12 +189,11 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         table = table if rest is None else pa.concat_tables([rest, table])
         own = table.column(key).to_numpy()
         cut = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1])
-        for a, b in zip(cut[:-1], cut[1:]):
-            if b - a > 1:
-                yield table.slice(a, b - a)
+        if cut[-1]:
+            yield table.slice(0, cut[-1]), cut
         rest = table.slice(cut[-1]).combine_chunks()
-    if rest is not None and rest.num_rows > 1:
-        yield rest
+    if rest is not None:
+        yield rest, np.array([0, rest.num_rows])
 
 
 def blocked(rows: DataFrame, group: str, member: str, block: int = BLOCK) -> DataFrame:
@@ -215,45 +211,56 @@ def blocked(rows: DataFrame, group: str, member: str, block: int = BLOCK) -> Dat
             .withColumn("side", F.when(F.col("part") != F.col("other"), (F.col("part") == two).cast("int"))).drop("members", "parts", "part", "other"))
 
 
-def _sides(table: pa.Table) -> np.ndarray | None:
-    side = table.column("side")
-    return None if side.null_count else side.to_numpy()
+def _signatures(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint64).reshape(table.num_rows, -1)
 
 
-def _edges(cid: np.ndarray, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.record_batch({"u": pa.array([int(cid[x]) for x, _ in pairs], pa.int64()), "v": pa.array([int(cid[y]) for _, y in pairs], pa.int64())})
+def _sides(table: pa.Table) -> np.ndarray:
+    """0 or 1, and -1 where a block stands alone."""
+    return table.column("side").fill_null(-1).to_numpy()
 
 
-def _bits(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+def _edges(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
 def _estimated(share: int):
+    least = share / OF - MARGIN
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, "task"):
-            pairs = _tree(_bits(table.column("signature")), _sides(table), share / OF - MARGIN)
-            if pairs:
-                yield _edges(table.column("cid").to_numpy(), pairs)
+        for table, cut in _whole_groups(batches, "task"):
+            cid, signature, side = table.column("cid").to_numpy(), _signatures(table), _sides(table)
+            size = np.diff(cut)
+            two = cut[:-1][size == 2]  # most groups: all at once
+            two = two[(estimates(signature[two], signature[two + 1]) >= least) & ((side[two] < 0) | (side[two] != side[two + 1]))]
+            if len(two):
+                yield _edges(cid[two], cid[two + 1])
+            for a, b in zip(cut[:-1][size > 2].tolist(), cut[1:][size > 2].tolist()):
+                pairs = np.array(_tree(signature[a:b], side[a:b] if side[a] >= 0 else None, least), np.int64).reshape(-1, 2) + a
+                if len(pairs):
+                    yield _edges(cid[pairs[:, 0]], cid[pairs[:, 1]])
 
     return run
 
 
 def _confirmed(share: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, "task"):
-            cid, at = np.unique(table.column("cid").to_numpy(), return_index=True)  # rows that share id and text come twice
-            if len(cid) < 2:
-                continue
-            table = table.take(at)
-            sets = [frozenset(np.frombuffer(x, np.uint64).tolist()) for x in table.column("own").to_pylist()]
-
-            def linked(x: int, y: int) -> bool:
-                both = len(sets[x] & sets[y])
-                return OF * both >= share * (len(sets[x]) + len(sets[y]) - both)
-
-            pairs = _tree(_bits(table.column("signature")), _sides(table), share / OF - MARGIN, linked)
-            if pairs:
-                yield _edges(cid, pairs)
+        for table, cut in _whole_groups(batches, "task"):
+            every, signatures, sides, own = table.column("cid").to_numpy(), _signatures(table), _sides(table), table.column("own")
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                cid, at = np.unique(every[a:b], return_index=True)  # rows that share id and text come twice
+                if len(cid) < 2:
+                    continue
+                at += a
+                sets = [frozenset(np.frombuffer(own[i].as_py(), np.uint64).tolist()) for i in at.tolist()]
+
+                def linked(x: int, y: int) -> bool:
+                    both = len(sets[x] & sets[y])
+                    return OF * both >= share * (len(sets[x]) + len(sets[y]) - both)
+
+                pairs = np.array(_tree(signatures[at], sides[at] if sides[a] >= 0 else None, share / OF - MARGIN, linked), np.int64).reshape(-1, 2)
+                if len(pairs):
+                    yield _edges(cid[pairs[:, 0]], cid[pairs[:, 1]])
 
     return run
 
