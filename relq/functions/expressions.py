@@ -109,30 +109,45 @@ def money(c: ColumnOrName) -> Column:
     return col(c).cast(MONEY)
 
 
-CENTS_TO_MONEY = T.DecimalType(38, 2)
+def units(c: ColumnOrName, digits: int = 2) -> Column:
+    """A value with at most ``digits`` decimals as exact whole units (BIGINT).
+
+    A value with more decimals raises instead of being rounded unseen; what a
+    DOUBLE cannot tell from a fitting value counts as fitting.
+    """
+    scaled = col(c).cast(T.DoubleType()) * F.lit(float(10 ** digits))
+    whole = F.round(scaled)
+    fits = F.abs(scaled - whole) <= F.greatest(F.lit(1e-4), F.abs(scaled) * F.lit(1e-15))
+    odd = F.raise_error(F.concat(F.lit(f"more than {digits} decimals: "), col(c).cast(T.StringType())))
+    return F.when(fits | scaled.isNull(), whole.cast(T.LongType())).otherwise(odd.cast(T.LongType()))
 
 
 def cents(c: ColumnOrName) -> Column:
     """A money value with at most two decimals as exact whole cents (BIGINT)."""
-    return F.round(col(c) * F.lit(100)).cast(T.LongType())
+    return units(c, 2)
+
+
+def from_units(c: Column, digits: int = 2) -> Column:
+    """A total of whole units back as an exact DECIMAL(38, digits)."""
+    return (c.cast(T.DecimalType(38, 0)) / F.lit(10 ** digits)).cast(T.DecimalType(38, digits))
 
 
 def from_cents(c: Column) -> Column:
     """A whole-cents total back as exact DECIMAL(38,2)."""
-    return (c.cast(T.DecimalType(38, 0)) / F.lit(100)).cast(CENTS_TO_MONEY)
+    return from_units(c, 2)
 
 
-def money_sum(c: ColumnOrName) -> Column:
-    """Exact ``SUM`` of a money column (at most two decimals), as DECIMAL(38,2).
+def money_sum(c: ColumnOrName, digits: int = 2) -> Column:
+    """Exact ``SUM`` of a column of at most ``digits`` decimals, as DECIMAL(38, digits).
 
-    Each value is turned into whole cents and summed as BIGINT, which is
+    Each value is turned into whole units and summed as BIGINT, which is
     exact, independent of partitioning and ~1.7x cheaper than accumulating
     a DECIMAL(28,2) (Spark keeps decimals above 18 digits as BigDecimal).
-    Under ANSI mode a sum beyond +/-9.2e16 currency units raises instead of
-    wrapping.  The total is turned back into DECIMAL so ``round_to`` rounds
-    the decimal value.
+    A value that has more decimals raises, and so does (under ANSI mode) a sum
+    beyond +/-9.2e18 units.  The total is turned back into DECIMAL so that
+    ``round_to`` rounds the decimal value, once.
     """
-    return from_cents(F.sum(cents(c)))
+    return from_units(F.sum(units(c, digits)), digits)
 
 
 def round_to(c: Column, digits: int) -> Column:
@@ -175,8 +190,10 @@ def date_key(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
 
 
 def key_text(c: ColumnOrName, fmt: str = "yyyyMMdd") -> Column:
-    """The ``date_text`` form of a ``date_key`` value."""
-    return F.lpad(col(c).cast(T.StringType()), _KEY_WIDTH[fmt], "0")
+    """The ``date_text`` form of a ``date_key`` value; a longer year keeps all digits."""
+    text = col(c).cast(T.StringType())
+    width = _KEY_WIDTH[fmt]
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
 def ts(text: str) -> Column:

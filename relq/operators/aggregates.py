@@ -10,6 +10,7 @@ scalar subquery of A12 stays inside the plan.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,33 @@ from pyspark.sql import functions as F
 from relq.functions.expressions import ColumnOrName, col
 
 
+@dataclass(frozen=True)
+class Measure:
+    """A total that can be summed in two steps: ``partial`` (an aggregate) by
+    fine keys, then the sum of the partials by coarse keys, then ``finish``."""
+
+    partial: Column
+    finish: Callable[[Column], Column] = lambda total: total
+
+
+def counted() -> Measure:
+    """``COUNT(*)`` as a two-step total."""
+    return Measure(F.count(F.lit(1)))
+
+
+def aggregate_then_look_up(df: DataFrame, keys: Sequence[str], code: str, dim: DataFrame, dim_key: str,
+                           out_keys: Sequence[str], measures: Mapping[str, Measure]) -> DataFrame:
+    """``df JOIN dim ON code = dim_key GROUP BY out_keys``, aggregated first.
+
+    The rows are summed by ``keys`` and the code, so that only a row for each
+    of these meets the dimension; names are looked up there, and the sums are
+    added up by ``out_keys`` (names may repeat).
+    """
+    fine = df.groupBy(*keys, code).agg(*[m.partial.alias(f"__{n}") for n, m in measures.items()])
+    named = fine.join(dim, fine[code] == dim[dim_key], "inner")
+    return named.groupBy(*out_keys).agg(*[m.finish(F.sum(f"__{n}")).alias(n) for n, m in measures.items()])
+
+
 def group_agg(df: DataFrame, keys: Sequence[ColumnOrName], aggs: Sequence[Column]) -> DataFrame:
     """``SELECT keys, aggs FROM df GROUP BY keys`` (A1-A9); no keys = one global row."""
     return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-            T.DoubleType, T.DecimalType)
+from relq.operators.filters import all_of
+from relq.operators.joins import key_probe
+
+_FLOATING = (T.FloatType, T.DoubleType)
 _TIME = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -32,8 +34,9 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
       ``exact_distinct=False`` uses HyperLogLog++ sketches in the first pass
       instead and shuffles nothing per value.
 
-    Numeric columns report ``min_num``/``max_num``; text and time columns
-    report ``min_text``/``max_text`` (time as ``yyyy-MM-dd HH:mm:ss``).
+    Floating-point columns report ``min_num``/``max_num``; all others report
+    ``min_text``/``max_text`` in full: whole numbers and decimals digit by
+    digit, time as ``yyyy-MM-dd HH:mm:ss``.
     """
     cols = list(cols or df.columns)
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -54,7 +57,7 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
     entries = []
     for i, c in enumerate(cols):
         dt = fields[c]
-        numeric = isinstance(dt, _NUMERIC)
+        numeric = isinstance(dt, _FLOATING)
         mn, mx = F.col(f"__mn{i}"), F.col(f"__mx{i}")
         none_num, none_text = F.lit(None).cast(T.DoubleType()), F.lit(None).cast(T.StringType())
         fields_out = [
@@ -99,16 +102,26 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def null_markers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace ``cols`` by one-byte markers with the same NULL pattern.
+def validate(df: DataFrame, name: str, not_null: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Check one table against its declaration: its NOT NULL columns (S8) and key.
 
-    A NULL check needs only null-ness, so wide columns (whole texts) can be
-    shrunk before a join or shuffle and ``null_counts`` gives the same answer.
+    One row for each declared column with its NULL count, and one for the key
+    (``a,b``) with the number of key values that more than one row holds.  A
+    single scan: NULLs are counted by key, keys are counted from these groups
+    (each task sums its own rows of a key first), no join.
     """
-    wanted = set(cols)
-    return df.select(*[
-        F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.lit(1)).cast(T.ByteType()).alias(c)
-        if c in wanted else F.col(c) for c in df.columns])
+    flags = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__n{i}") for i, c in enumerate(not_null)]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *flags)
+    one = groups.agg(F.sum("__rows").alias("__all"), F.sum(F.when(F.col("__rows") > 1, 1).otherwise(0)).alias("__twice"),
+                     *[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(not_null))])
+
+    def entry(rule: str, columns: str, count: str) -> Column:
+        total = [F.coalesce(F.col(c), F.lit(0)).cast(T.LongType()) for c in (count, "__all")]
+        return F.struct(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), F.lit(columns).alias("columns"),
+                        total[0].alias("violations"), total[1].alias("row_count"))
+
+    entries = [entry("not null", c, f"__n{i}") for i, c in enumerate(not_null)] + [entry("unique", ",".join(keys), "__twice")]
+    return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows") -> DataFrame:
@@ -123,18 +136,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows") ->
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str],
-            dim_keys: Sequence[str] | None = None) -> DataFrame:
+            dim_keys: Sequence[str] | None = None, report_nulls: bool = False) -> DataFrame:
     """Reference check (S10): fact rows whose key has no row in ``dim``.
 
-    An anti join against the distinct dimension keys; the distinct step
-    collapses repeated keys before they are shuffled.  Spark broadcasts the
-    key set when it is measured small and otherwise shuffles both sides,
-    splitting skewed fact partitions.
+    A row with a NULL in its key refers to nothing and passes, as a foreign
+    key constraint has it; ``report_nulls`` reports it as well.  An anti join
+    against the distinct dimension keys: repeated keys are collapsed before
+    they are shuffled, and a hot fact key is split.
     """
-    dim_keys = list(dim_keys or fact_keys)
-    probe = dim.select(*[F.col(k).alias(f"__rk_{i}") for i, k in enumerate(dim_keys)]).distinct()
-    cond = None
-    for i, k in enumerate(fact_keys):
-        term = fact[k] == probe[f"__rk_{i}"]
-        cond = term if cond is None else cond & term
-    return fact.join(probe, cond, "left_anti")
+    missing = key_probe(fact, list(fact_keys), dim, list(dim_keys or fact_keys), "left_anti")
+    if report_nulls:
+        return missing
+    return missing.filter(all_of(*[F.col(k).isNotNull() for k in fact_keys]))

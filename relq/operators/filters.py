@@ -87,8 +87,10 @@ def like(c: ColumnOrName, pattern: str, case_sensitive: bool = True) -> Column:
 
     ``%`` matches any run, ``_`` exactly one character.  Spark's LIKE is
     case-sensitive (the course's SQLite engine folds ASCII case), so the
-    case-insensitive form is offered explicitly.
+    case-insensitive form is offered explicitly.  There is no escape
+    character: a backslash in ``pattern`` stands for itself.
     """
+    pattern = pattern.replace("\\", "\\\\")  # Spark's own default escape, escaped
     return col(c).like(pattern) if case_sensitive else col(c).ilike(pattern)
 
 
@@ -103,22 +105,16 @@ def where(df: DataFrame, *preds: Column) -> DataFrame:
 
 
 def in_subquery(df: DataFrame, keys: str | Sequence[str], sub: DataFrame,
-                sub_keys: str | Sequence[str] | None = None, broadcast_bounded: bool = True) -> DataFrame:
+                sub_keys: str | Sequence[str] | None = None) -> DataFrame:
     """``WHERE k IN (SELECT k FROM sub WHERE ...)`` (F8) as a left-semi join.
 
     Each left row is kept at most once however many matches ``sub`` holds, so
-    duplicate keys in the subquery never multiply rows.  The distinct key set
-    is broadcast when ``joins.bounded`` proves it small (a code list);
-    otherwise Catalyst/AQE plan a shuffled semi join and split skewed
-    partitions of ``df``.
+    duplicate keys in the subquery never multiply rows.  ``joins.key_probe``
+    collapses repeated subquery keys before they are shuffled or broadcast and
+    lets a hot key of ``df`` be split.
     """
-    from relq.operators.joins import small_side  # joins builds on this module
+    from relq.operators.joins import key_probe  # joins builds on this module
 
     keys = [keys] if isinstance(keys, str) else list(keys)
     sub_keys = keys if sub_keys is None else ([sub_keys] if isinstance(sub_keys, str) else list(sub_keys))
-    # Distinct keys first: a key repeated by many subquery rows is collapsed
-    # map-side before anything is shuffled or broadcast.
-    probe = sub.select(*[F.col(s).alias(f"__in_{i}") for i, s in enumerate(sub_keys)]).distinct()
-    probe = small_side(probe) if broadcast_bounded else probe
-    cond = all_of(*[df[k] == probe[f"__in_{i}"] for i, k in enumerate(keys)])
-    return df.join(probe, cond, "left_semi")
+    return key_probe(df, keys, sub, sub_keys, "left_semi")

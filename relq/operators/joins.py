@@ -1,21 +1,24 @@
 """Joins (J1-J11) and the Cartesian-product guard.
 
-Physical strategy is left to Catalyst and adaptive execution, within these
-rules:
-
-* a side is broadcast only after ``bounded`` has proven it holds at most
-  ``max_rows`` rows and ``max_bytes`` bytes (one job over ``LIMIT
-  max_rows+1``, which stops reading as soon as the bound is exceeded).
-  Beyond the bound the join is a shuffled sort-merge join, and AQE may still
-  switch it to a broadcast join once a shuffle has measured a side small;
-* fact-to-fact joins shuffle both sides on the key.  AQE's skew handling
-  splits an oversized partition (a hot key) of the side that may be split:
-  both sides for INNER, the preserved side for LEFT/RIGHT;
-* where a hot key may sit on a side AQE cannot split -- either side of a
-  FULL OUTER join, the optional side of a LEFT/RIGHT join over a raw table --
-  the join is built from an INNER join plus anti joins against the other
-  side's *distinct* keys (``full_outer_join``, ``left_outer_join``,
-  ``right_outer_join``): shapes AQE can split whichever side holds the key.
+Every function is a lazy transformation: none runs a job or looks at sizes.
+The physical strategy is Spark's: a side whose files are below the session's
+broadcast threshold is broadcast, anything else is shuffled, and adaptive
+execution re-plans from measured sizes.
+
+Adaptive execution splits an oversized partition (a hot key) only where the
+join brings a shuffle of its own to both sides, and only on a side that may be
+split: both for INNER, the preserved one for LEFT, the left one for ANTI/SEMI.
+Two things follow:
+
+* a side that is already partitioned by the join key -- aggregated or
+  de-duplicated by it -- would spare its shuffle and with it the splitting of
+  the other side.  ``spread_keys`` adds a hash of the keys to the condition, so
+  that both sides are shuffled for the join (that side holds a row for each
+  key, the shuffle is small);
+* where a hot key may sit on a side that can't be split -- either side of FULL
+  OUTER, the optional side of LEFT/RIGHT over a raw table -- the join is an
+  INNER join plus anti joins against the other side's distinct keys
+  (``full_outer_join``, ``left_outer_join``, ``right_outer_join``).
 """
 
 from __future__ import annotations
@@ -24,82 +27,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from relq.operators.filters import all_of
 
-# Largest side we broadcast: at most this many rows and this many bytes of
-# row data.  A code table is bounded by its code domain, far below both.
-DIM_MAX_ROWS = 1_000_000
-DIM_MAX_BYTES = 64 * 1024 * 1024
-
-# A side spread over more input partitions than this is not probed; the
-# probe then reads at most MAX_PROBE_PARTITIONS * (max_rows + 1) rows.
-MAX_PROBE_PARTITIONS = 64
-
-_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-_PROVEN: dict[tuple[int, int, int, int], list[tuple[DataFrame, bool]]] = {}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: 8 per fixed-width value, the encoded length of text
-    and binary, the JSON length of nested values."""
-    parts = []
-    for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, _FIXED_WIDTH):
-            parts.append(F.lit(8))
-        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        else:
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
-    total = F.lit(8)
-    for part in parts:
-        total = total + part
-    return total.cast(T.LongType())
-
-
-def bounded(df: DataFrame, max_rows: int = DIM_MAX_ROWS, max_bytes: int = DIM_MAX_BYTES) -> bool:
-    """True when ``df`` is proven to hold at most ``max_rows`` rows and at
-    most ``max_bytes`` bytes of row data.
-
-    One job over ``df.limit(max_rows + 1)`` counts the rows and sums their
-    sizes (fixed widths plus the byte length of strings), so a side of few
-    but very wide rows (whole texts) is not mistaken for small.  Every task
-    stops after ``max_rows + 1`` rows.  Inputs with more than
-    ``MAX_PROBE_PARTITIONS`` partitions are not probed and count as
-    unproven (False), so the check itself stays bounded however large a
-    table is passed in; Spark's AQE then picks the join from measured sizes.
-    The answer is remembered for the session per plan (``semanticHash`` plus
-    ``sameSemantics``), so a dimension reused by many queries is proven once.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows, max_bytes)
-    for seen, answer in _PROVEN.get(key, []):
-        try:
-            if seen.sameSemantics(df):
-                return answer
-        except Exception:  # noqa: BLE001 - a frame of a stopped session never matches
-            continue
-    try:
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): probe anyway
-        partitions = 0
-    if partitions > MAX_PROBE_PARTITIONS:
-        answer = False
-    else:
-        probe = df.limit(max_rows + 1)
-        stats = probe.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
-        answer = stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
-    _PROVEN.setdefault(key, []).append((df, answer))
-    return answer
-
-
-def small_side(df: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side proven to be small; otherwise unchanged."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
 
 def _as_list(keys: str | Sequence[str] | None) -> list[str]:
     if keys is None:
@@ -114,6 +44,54 @@ def _condition(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[
     return all_of(*[left[lk] == right[rk] for lk, rk in zip(lkeys, rkeys)])
 
 
+_LEFT_HASH, _RIGHT_HASH = "__left_spread", "__right_spread"
+
+
+def spread_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                right_keys: Sequence[str]) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a hash of their keys, and the condition on hash and keys.
+
+    Spark shuffles a side for a join unless it is partitioned by all of the
+    join's keys already; no earlier step partitions by the hash.
+    """
+    types = [dict(left.dtypes)[a] == dict(right.dtypes)[b] for a, b in zip(left_keys, right_keys)]
+    alike = [F.col(f"`{k}`") if same else F.col(f"`{k}`").cast("string") for k, same in zip(left_keys, types)]
+    other = [F.col(f"`{k}`") if same else F.col(f"`{k}`").cast("string") for k, same in zip(right_keys, types)]
+    left = left.withColumn(_LEFT_HASH, F.xxhash64(*alike))
+    right = right.withColumn(_RIGHT_HASH, F.xxhash64(*other))
+    cond = all_of(left[_LEFT_HASH] == right[_RIGHT_HASH],
+                  *[left[a] == right[b] for a, b in zip(left_keys, right_keys)])
+    return left, right, cond
+
+
+def aggregated_join(left: DataFrame, aggregated: DataFrame, left_keys: str | Sequence[str],
+                    right_keys: str | Sequence[str] | None = None, how: str = "inner") -> DataFrame:
+    """``left <how> JOIN aggregated`` with a right side of one row for each key
+    (inner or left).  A hot key of ``left`` is split; see the module text.
+    With equal key names and no ``right_keys`` there is one key column."""
+    lkeys = _as_list(left_keys)
+    using = right_keys is None
+    rkeys = lkeys if using else _as_list(right_keys)
+    if using:
+        rkeys = [f"__right_{k}" for k in lkeys]
+        aggregated = aggregated.withColumnsRenamed(dict(zip(lkeys, rkeys)))
+    a, b, cond = spread_keys(left, aggregated, lkeys, rkeys)
+    out = a.join(b, cond, how).drop(_LEFT_HASH, _RIGHT_HASH)
+    return out.drop(*rkeys) if using else out
+
+
+def key_probe(df: DataFrame, keys: Sequence[str], other: DataFrame, other_keys: Sequence[str], how: str) -> DataFrame:
+    """``df`` semi- or anti-joined (``how``) with the distinct keys of ``other``.
+
+    A key repeated in ``other`` is collapsed in each task before it is
+    shuffled; a key repeated in ``df`` is split.
+    """
+    names = [f"__key_{i}" for i in range(len(other_keys))]
+    probe = other.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(other_keys, names)]).distinct()
+    a, b, cond = spread_keys(df, probe, keys, names)
+    return a.join(b, cond, how).drop(_LEFT_HASH)
+
+
 def equi_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
               right_keys: str | Sequence[str] | None = None, how: str = "inner",
               right_filter: Column | None = None) -> DataFrame:
@@ -142,35 +120,24 @@ def equi_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
 
 def dim_lookup(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
                dim_key: str | Sequence[str], how: str = "inner",
-               dim_filter: Column | None = None, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+               dim_filter: Column | None = None) -> DataFrame:
     """Fact-to-code-dimension join (J2, J10), ``ON f.code = d.id [AND d.group = 'g']``.
 
-    The dimension is filtered first and broadcast only once its size is
-    proven (``bounded``), so the fact side is never shuffled for the lookup.
+    The dimension is filtered first.  A code table is below Spark's broadcast
+    threshold, so the fact side is not shuffled for it; one that has outgrown
+    the threshold is joined by a shuffle.
     """
     if dim_filter is not None:
         dim = dim.filter(dim_filter)
-    return equi_join(fact, small_side(dim, max_rows), fact_key, dim_key, how)
-
-
-def _distinct_keys(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]).distinct()
+    return equi_join(fact, dim, fact_key, dim_key, how)
 
 
-def _unmatched(side: DataFrame, side_keys: list[str], other: DataFrame, other_keys: list[str],
-               prefix: str) -> DataFrame:
-    """Rows of ``side`` whose key has no match in ``other``.
-
-    Rows with a NULL key never match and are passed through by a filter.
-    The rest are anti-joined against the distinct keys of ``other``.  They
-    carry the same ``IS NOT NULL`` filter Catalyst adds to the inner branch,
-    so both branches share one shuffle of ``side``.
-    """
-    keyed = side.filter(all_of(*[F.col(k).isNotNull() for k in side_keys]))
-    probe = _distinct_keys(other, other_keys, prefix)
-    cond = all_of(*[keyed[k] == probe[f"{prefix}{i}"] for i, k in enumerate(side_keys)])
-    null_keyed = side.filter(~all_of(*[F.col(k).isNotNull() for k in side_keys]))
-    return keyed.join(probe, cond, "left_anti").unionByName(null_keyed)
+def _unmatched(side: DataFrame, side_keys: list[str], other: DataFrame, other_keys: list[str]) -> DataFrame:
+    """Rows of ``side`` whose key has no match in ``other``; a row with a NULL
+    key never matches and is passed through by a filter."""
+    whole = all_of(*[F.col(k).isNotNull() for k in side_keys])
+    unmatched = key_probe(side.filter(whole), side_keys, other, other_keys, "left_anti")
+    return unmatched.unionByName(side.filter(~whole))
 
 
 def _outer_parts(left: DataFrame, right: DataFrame, left_keys, right_keys):
@@ -199,8 +166,8 @@ def _outer_parts(left: DataFrame, right: DataFrame, left_keys, right_keys):
                 cols.append(F.lit(None).cast(other.schema[name].dataType).alias(name))
         return part.select(*cols)
 
-    left_only = pad(_unmatched(left, lkeys, right, rkeys, "__rk_"), left, right)
-    right_only = pad(_unmatched(right, rkeys, left, lkeys, "__lk_"), right, left)
+    left_only = pad(_unmatched(left, lkeys, right, rkeys), left, right)
+    right_only = pad(_unmatched(right, rkeys, left, lkeys), right, left)
     return matched, left_only, right_only
 
 
@@ -209,7 +176,7 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
     """``left FULL OUTER JOIN right ON ..`` (J5), keeping duplicate rows.
 
     Built from three parts whose skewed partitions AQE can split, whichever
-    side holds the hot key:
+    side holds the hot key, matched or not:
 
     * matched pairs: an INNER join (either side splittable);
     * left rows without a match: left ANTI JOIN the distinct right keys;
@@ -226,38 +193,32 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence
 
 
 def left_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
-                    right_keys: str | Sequence[str] | None = None,
-                    max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                    right_keys: str | Sequence[str] | None = None) -> DataFrame:
     """``left LEFT JOIN right ON ..`` that stays balanced when the *optional*
     side holds a hot key.
 
-    * ``right`` proven to hold at most ``max_rows`` rows: a broadcast hash
-      LEFT join.  The big side is never shuffled, so no key can concentrate
-      it in one task.
-    * otherwise: an INNER join (AQE splits a hot key on either side) plus
-      the left rows whose key is absent from the distinct right keys.  A
-      plain shuffled LEFT join could only split the preserved side.
+    An INNER join (a hot key is split on either side) plus the left rows whose
+    key is absent from the distinct right keys.  A plain LEFT join could split
+    the preserved side only.  Columns that both sides share (but the key of a
+    USING join) are refused at every size.
 
     Use it when the optional side is a raw table whose keys may repeat
     (labels, events); for a unique-keyed or aggregated optional side
-    ``equi_join(how="left")`` is the cheaper plan.
+    ``aggregated_join(how="left")`` is the cheaper plan.
     """
-    if bounded(right, max_rows):
-        return equi_join(left, F.broadcast(right), left_keys, right_keys, how="left")
     matched, left_only, _ = _outer_parts(left, right, left_keys, right_keys)
     return matched.unionByName(left_only)
 
 
 def right_outer_join(left: DataFrame, right: DataFrame, left_keys: str | Sequence[str],
-                     right_keys: str | Sequence[str] | None = None,
-                     max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+                     right_keys: str | Sequence[str] | None = None) -> DataFrame:
     """``left RIGHT JOIN right ON ..`` (J4), written as the swapped LEFT join.
 
     Same rows as a RIGHT join, with ``left``'s columns first; built on
     ``left_outer_join`` so a hot key on either side is split.
     """
     swapped = left_outer_join(right, left, right_keys if right_keys is not None else left_keys,
-                              left_keys if right_keys is not None else None, max_rows)
+                              left_keys if right_keys is not None else None)
     order = [c for c in left.columns] + [c for c in right.columns if c not in left.columns]
     return swapped.select(*order)
 

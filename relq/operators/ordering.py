@@ -1,9 +1,9 @@
 """Sorts, limits, top-k (O1-O7) and UNION.
 
 A global ``ORDER BY`` range-partitions rows by sampled sort-key bounds and
-sorts each range; it is the last step of a query.  ``order_by`` appends the
-other columns as tiebreakers, so rows sharing a hot leading value are still
-spread over several range partitions.
+sorts each range; it is the last step of a query.  Rows that are equal in all
+keys share a range partition: end the keys with a unique one, or ask
+``order_by`` for tiebreakers.
 """
 
 from __future__ import annotations
@@ -27,22 +27,23 @@ def sort_key(spec: str | Column) -> Column:
     return F.col(spec).asc_nulls_first()
 
 
-# Types Spark cannot sort by; they are never used as tiebreakers.
-_UNORDERED = tuple(t for t in (T.MapType, getattr(T, "VariantType", None), T.CalendarIntervalType) if t)
+# Never used as tiebreakers: types Spark cannot sort by, and values of any
+# length, whose samples would go to the driver as range bounds.
+_UNORDERED = (T.StringType, T.BinaryType, T.ArrayType, T.StructType) + tuple(t for t in (T.MapType, getattr(T, "VariantType", None), T.CalendarIntervalType) if t)
 
 
 def _named(spec: str | Column) -> str | None:
     return (spec[1:] if spec.startswith("-") else spec) if isinstance(spec, str) else None
 
 
-def order_by(df: DataFrame, specs: Sequence[str | Column], tiebreak: bool = True) -> DataFrame:
+def order_by(df: DataFrame, specs: Sequence[str | Column], tiebreak: bool = False) -> DataFrame:
     """``ORDER BY k1 [ASC|DESC], k2 ...``.
 
     Output aliases (O4) and source columns absent from the final projection
     (O5) are both sortable as long as the sort runs before that projection.
 
-    With ``tiebreak`` the remaining orderable columns are appended as
-    ascending keys.  SQL leaves the order of ties open, so the result is the
+    With ``tiebreak`` the remaining number, date and boolean columns are
+    appended as ascending keys.  SQL leaves the order of ties open, so the result is the
     same ORDER BY; but rows that share a hot sort value no longer all fall
     into one range partition, they are split wherever they differ.
     """

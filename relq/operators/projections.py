@@ -12,13 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relq.functions.expressions import case_map
-
-# Up to this many codes a CASE expression is cheapest; beyond it the list is
-# a lookup table joined by broadcast (its size is known on the driver).
-CASE_MAX_CODES = 32
-
-
 def project(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     """``SELECT a, b, c`` (P1) or ``SELECT *`` with ``["*"]``."""
     return df.select(*cols)
@@ -53,19 +46,11 @@ def label_codes(df: DataFrame, code: str, labels: dict[str, str], out: str,
                 default: str | None = None) -> DataFrame:
     """Add ``out`` = label of ``code`` (C1): ``CASE code WHEN .. THEN .. ELSE default END``.
 
-    Short code lists become a CASE expression inside whole-stage codegen.
-    Long lists (more than ``CASE_MAX_CODES`` entries) become a two-column
-    lookup frame joined LEFT by broadcast: each row then costs one hash
-    probe instead of a walk down a long CASE chain.  The lookup's size is
-    ``len(labels)`` rows, known before the join.  Codes missing from the
-    list get ``default``, NULL codes too.
+    The list is a constant map looked up in the projection, one hash probe a
+    row at any length, with its keys in the column's type.  Codes missing from
+    the list get ``default``, NULL codes too.
     """
-    if len(labels) <= CASE_MAX_CODES:
-        return df.withColumn(out, case_map(code, labels, default))
-    spark = df.sparkSession
-    schema = T.StructType([T.StructField("__code", df.schema[code].dataType),
-                           T.StructField("__label", T.StringType())])
-    lookup = spark.createDataFrame(list(labels.items()), schema)
-    joined = df.join(F.broadcast(lookup), df[code] == lookup["__code"], "left")
-    label = F.col("__label") if default is None else F.coalesce(F.col("__label"), F.lit(default))
-    return joined.withColumn(out, label).drop("__code", "__label")
+    kind = df.schema[code].dataType
+    pairs = [x for key, label in labels.items() for x in (F.lit(key).cast(kind), F.lit(label))]
+    label = F.try_element_at(F.create_map(*pairs), F.col(code)) if pairs else F.lit(None).cast(T.StringType())
+    return df.withColumn(out, label if default is None else F.coalesce(label, F.lit(default)))

@@ -18,6 +18,7 @@ no query emits a raw TIMESTAMP column.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,7 @@ from relq.operators import ordering as O
 from relq.operators import projections as PR
 from relq.plans import reports as R
 from relq.sources.adhoc import run_sql
+from relq.sources.schemas import DRIVER_KEYS, DRIVER_NOT_NULL
 from relq.sources import tables as TB
 from relq.sources.tables import read_table, register_views
 
@@ -66,9 +68,9 @@ def docs_labels(spark: SparkSession, d: str) -> DataFrame:
     return J.left_outer_join(docs, t(spark, d, "labels"), "doc_id")
 
 
-def order_totals(spark: SparkSession, d: str) -> DataFrame:
+def order_totals(lineitem: DataFrame) -> DataFrame:
     """Per-order lineitem totals: a two-phase aggregate on l_orderkey."""
-    return A.group_agg(t(spark, d, "lineitem"), ["l_orderkey"], [
+    return A.group_agg(lineitem, ["l_orderkey"], [
         A.count_rows("line_count"), F.sum("l_quantity").alias("qty_total")])
 
 
@@ -80,6 +82,11 @@ def money_total(c: str, alias: str) -> Column:
     return X.to_double(X.money_sum(c)).alias(alias)
 
 
+def money_measure(c: str, finish: Callable[[Column], Column]) -> A.Measure:
+    """A money total summed in two steps as whole cents."""
+    return A.Measure(F.sum(X.cents(c)), lambda total: finish(X.from_cents(total)))
+
+
 PRIORITY_LABELS = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium"}
 STATUS_LABELS = {"F": "finished", "O": "open", "P": "partial"}
 LANG_LABELS = {"en": "English", "fr": "French", "de": "German"}
@@ -128,15 +135,14 @@ def profile_table(spark, d):
     return K.profile(t(spark, d, "orders"))
 
 
-DOC_LABEL_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+CHECKED = ["region", "nation", "customer", "orders", "documents", "labels"]
 
 
 @query
 def check_not_null(spark, d):
-    # Only null-ness is counted, so the document columns (whole texts) are
-    # shrunk to NULL markers before the join and never shuffled.
-    docs = K.null_markers(t(spark, d, "documents"), ["text", "lang", "source", "n_chars"])
-    return K.null_counts(J.left_outer_join(docs, t(spark, d, "labels"), "doc_id"), DOC_LABEL_COLS)
+    # each base table against its declared NOT NULL columns and key
+    parts = [K.validate(t(spark, d, name), name, DRIVER_NOT_NULL[name], DRIVER_KEYS[name]) for name in CHECKED]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -295,7 +301,11 @@ def like_or_range(spark, d):
 
 @query
 def filter_eq_null(spark, d):
-    return P.where(t(spark, d, "orders"), P.eq_null("o_orderpriority")).select("o_orderkey", "o_orderpriority")
+    # ``quality = NULL`` holds for no row, however many NULLs there are
+    docs = docs_labels(spark, d)
+    return A.group_agg(docs, ["lang"], [
+        A.count_rows("n_docs"), A.cond_sum(P.eq_null("quality"), F.lit(1)).cast("bigint").alias("n_eq_null"),
+        A.cond_sum(P.is_null("quality"), F.lit(1)).cast("bigint").alias("n_is_null")])
 
 
 @query
@@ -332,32 +342,24 @@ def join_right(spark, d):
     return j.select("doc_id", "lang", "quality", "toxic")
 
 
-def _full_inputs(spark, d):
-    cust = P.where(t(spark, d, "customer"), P.eq("c_mktsegment", "BUILDING"))
-    orders = P.where(t(spark, d, "orders"), P.compare("o_orderdate", ">=", X.ts("1998-01-01 00:00:00")),
-                     P.compare("o_orderdate", "<", X.ts("1999-01-01 00:00:00")))
-    return cust, orders
-
-
 @query
 def join_full(spark, d):
-    cust, orders = _full_inputs(spark, d)
-    return J.full_outer_join(cust, orders, "c_custkey", "o_custkey").select(
+    return J.full_outer_join(t(spark, d, "customer"), t(spark, d, "orders"), "c_custkey", "o_custkey").select(
         "c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query
 def join_full_dedup(spark, d):
-    cust, orders = _full_inputs(spark, d)
-    return J.full_outer_distinct(cust, orders, "c_custkey", "o_custkey", ["c_name", "o_orderstatus"])
+    return J.full_outer_distinct(t(spark, d, "customer"), t(spark, d, "orders"), "c_custkey", "o_custkey",
+                                 ["c_name", "o_orderstatus"])
 
 
 @query
 def join_composite(spark, d):
     li = t(spark, d, "lineitem")
     counts = A.group_agg(li, ["l_orderkey", "l_linenumber"], [A.count_rows("n_rows")])
-    j = J.equi_join(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), counts,
-                    ["l_orderkey", "l_linenumber"])
+    j = J.aggregated_join(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), counts,
+                          ["l_orderkey", "l_linenumber"])
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "n_rows")
 
 
@@ -367,9 +369,10 @@ def join_three(spark, d):
         "o_orderdate", X.ts("1997-01-01 00:00:00"), X.ts("1997-12-31 00:00:00")))
     j = J.equi_join(t(spark, d, "lineitem"), orders, "l_orderkey", "o_orderkey")
     j = J.equi_join(j, t(spark, d, "customer"), "o_custkey", "c_custkey")
-    out = j.select("c_name", basis_dy("o_orderdate").alias("basis_dy"), "o_orderkey", "l_linenumber",
+    out = j.select("c_name", X.date_key("o_orderdate").alias("basis_dy"), "o_orderkey", "l_linenumber",
                    "l_quantity", "l_extendedprice", "o_totalprice")
-    return O.order_by(out, ["basis_dy", "c_name", "o_orderkey", "l_linenumber"])
+    out = O.order_by(out, ["basis_dy", "c_name", "o_orderkey", "l_linenumber"])
+    return out.withColumn("basis_dy", X.key_text("basis_dy"))
 
 
 def _orders_customer_nation(spark, d):
@@ -379,8 +382,8 @@ def _orders_customer_nation(spark, d):
 
 @query
 def join_four_mixed(spark, d):
-    j = J.equi_join(_orders_customer_nation(spark, d), order_totals(spark, d), "o_orderkey", "l_orderkey",
-                    how="left")
+    j = J.aggregated_join(_orders_customer_nation(spark, d), order_totals(t(spark, d, "lineitem")), "o_orderkey",
+                          "l_orderkey", how="left")
     return j.select("o_orderkey", "c_name", "n_name", "line_count", "qty_total", "o_totalprice")
 
 
@@ -430,14 +433,23 @@ def agg_stats(spark, d):
 @query
 def agg_round(spark, d):
     li = t(spark, d, "lineitem")
-    disc_price = X.money("l_extendedprice") * (F.lit(1) - X.money("l_discount"))
+    # cents x hundredths: exact whole numbers, turned into money once per group
+    disc_price = X.cents("l_extendedprice") * (F.lit(100).cast("bigint") - X.cents("l_discount"))
     out = A.group_agg(li, ["l_returnflag", "l_linestatus"], [
-        X.round_to(F.sum(disc_price), 2).alias("sum_disc_price"),
+        X.round_to(X.from_units(F.sum(disc_price), 4), 2).alias("sum_disc_price"),
         X.round_to(X.money_sum("l_extendedprice"), 1).alias("sum_price"),
         X.round_to(F.avg("l_quantity"), 0).alias("avg_qty")])
     return O.order_by(out, ["l_returnflag", "l_linestatus"])
 
 
+@query
+def round_rows(spark, d):
+    bal = X.money("c_acctbal")
+    return t(spark, d, "customer").select(
+        "c_custkey", "c_acctbal", X.round_to(bal, 1).alias("to_tenths"), X.round_to(bal, 0).alias("to_units"),
+        X.round_to(bal, -2).alias("to_hundreds"))
+
+
 @query
 def agg_multi_key(spark, d):
     li = P.where(t(spark, d, "lineitem"), P.between(
@@ -506,9 +518,11 @@ def agg_of_agg(spark, d):
 
 @query
 def join_agg(spark, d):
-    j = _orders_customer_nation(spark, d)
-    out = A.group_agg(j, ["n_name", "c_mktsegment"], [A.count_rows("n_orders"),
-                                                      money_total("o_totalprice", "total_price")])
+    j = J.equi_join(t(spark, d, "orders"), t(spark, d, "customer"), "o_custkey", "c_custkey")
+    out = A.aggregate_then_look_up(j, ["c_mktsegment"], "c_nationkey", nation_dim(spark, d), "n_nationkey",
+                                   ["n_name", "c_mktsegment"], {
+                                       "n_orders": A.counted(),
+                                       "total_price": money_measure("o_totalprice", X.to_double)})
     return O.order_by(out, ["n_name", "c_mktsegment"])
 
 
@@ -524,8 +538,9 @@ def order_desc(spark, d):
 def order_mixed(spark, d):
     orders, li = t(spark, d, "orders"), t(spark, d, "lineitem")
     j = J.equi_join(orders, li, "o_orderkey", "l_orderkey")
-    out = j.select(basis_dy("o_orderdate").alias("basis_dy"), "o_orderkey", "l_linenumber", "l_extendedprice")
-    return O.order_by(out, ["basis_dy", "-l_extendedprice", "o_orderkey", "l_linenumber"])
+    out = j.select(X.date_key("o_orderdate").alias("basis_dy"), "o_orderkey", "l_linenumber", "l_extendedprice")
+    out = O.order_by(out, ["basis_dy", "-l_extendedprice", "o_orderkey", "l_linenumber"])
+    return out.withColumn("basis_dy", X.key_text("basis_dy"))
 
 
 @query
@@ -555,9 +570,8 @@ def top_k(spark, d):
 
 @query
 def union_distinct(spark, d):
-    big = P.where(t(spark, d, "orders"), P.eq("o_orderstatus", "F"), P.compare("o_totalprice", ">=", 450000))
-    rich = P.where(t(spark, d, "customer"), P.compare("c_acctbal", ">=", 9900))
-    return O.union_distinct(big.select(F.col("o_custkey").alias("custkey")), rich.select("c_custkey"))
+    return O.union_distinct(t(spark, d, "orders").select(F.col("o_custkey").alias("custkey")),
+                            t(spark, d, "customer").select("c_custkey"))
 
 
 # --- C: CASE / COALESCE --------------------------------------------------------
@@ -648,18 +662,21 @@ def report_status(spark, d):
         fact_region="c_nationkey", dim_key="n_nationkey", dim_cols=["n_name", "zone"],
         date_col="basis_year", product_code="o_orderstatus", product_labels=STATUS_LABELS,
         other_label="other", label_name="status_name",
-        aggs=[A.count_rows("n_orders"), X.round_to(X.money_sum("o_totalprice"), 1).alias("total_price")],
+        measures={"n_orders": A.counted(), "total_price": money_measure("o_totalprice", lambda c: X.round_to(c, 1))},
         sort=["-basis_year", "-n_orders", "n_name", "status_name"]))
 
 
 @query
 def report_integrated(spark, d):
     orders = t(spark, d, "orders")
+    since = P.compare("o_orderdate", ">=", X.ts("2000-01-01 00:00:00"))
+    # only the lines of orders that are kept are summed
+    lines = P.in_subquery(t(spark, d, "lineitem"), "l_orderkey", orders.filter(since), "o_orderkey")
     return R.integrated_detail(
-        orders, t(spark, d, "customer"), nation_dim(spark, d), order_totals(spark, d),
+        orders, t(spark, d, "customer"), nation_dim(spark, d), order_totals(lines),
         head_keys=["o_custkey"], amount_keys=["c_custkey"], head_region="c_nationkey",
         dim_key="n_nationkey", detail_key="l_orderkey", head_detail_key="o_orderkey",
-        since=P.compare("o_orderdate", ">=", X.ts("2000-01-01 00:00:00")),
+        since=since,
         select=[F.col("o_orderkey"), F.col("n_name"), F.col("c_acctbal"), F.col("o_totalprice")],
         coalesce={"qty_total": ("qty_total", 0.0), "line_count": ("line_count", 0)},
         sort=["o_orderkey"])

@@ -43,9 +43,6 @@ NATION_DIM = ("(SELECT n.n_nationkey, n.n_name, n.n_regionkey, r.r_name AS zone
               "FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)")
 ORDERS_NATION = (f"(SELECT o.*, {_yr('o.o_orderdate')} AS basis_year, c.c_nationkey "
                  "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)")
-FULL_CUST = "(SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')"
-FULL_ORDERS = (f"(SELECT * FROM orders WHERE o_orderdate >= {_ts('1998-01-01')} "
-               f"AND o_orderdate < {_ts('1999-01-01')})")
 ZONE_COLS = [("africa_price", "AFRICA"), ("america_price", "AMERICA"), ("asia_price", "ASIA"),
              ("europe_price", "EUROPE"), ("middle_east_price", "MIDDLE EAST")]
 ZONE_PIVOT = (
@@ -56,7 +53,7 @@ ZONE_PIVOT = (
     f"FROM {ORDERS_NATION} f JOIN {NATION_DIM} n ON f.c_nationkey = n.n_nationkey GROUP BY basis_year"
 )
 
-ORDERS_PROFILE = [("o_orderkey", "bigint", "num"), ("o_custkey", "bigint", "num"),
+ORDERS_PROFILE = [("o_orderkey", "bigint", "text"), ("o_custkey", "bigint", "text"),
                   ("o_orderstatus", "string", "text"), ("o_totalprice", "double", "num"),
                   ("o_orderdate", "timestamp_ntz", "time"), ("o_orderpriority", "string", "text")]
 
@@ -78,12 +75,21 @@ def _profile_sql() -> str:
 
 
 def _null_sql() -> str:
-    cols = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
-    j = ("(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
-         f"FROM {DOCS_LABELS}) j")
-    return "\nUNION ALL\n".join(
-        f"SELECT '{c}' AS column_name, CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count, "
-        f"COUNT(*) AS row_count FROM {j}" for c in cols)
+    declared = {
+        "region": ("r_regionkey", ["r_regionkey", "r_name"]),
+        "nation": ("n_nationkey", ["n_nationkey", "n_name", "n_regionkey"]),
+        "customer": ("c_custkey", ["c_custkey", "c_name", "c_nationkey"]),
+        "orders": ("o_orderkey", ["o_orderkey", "o_custkey", "o_orderdate"]),
+        "documents": ("doc_id", ["doc_id", "text", "lang", "source", "n_chars"]),
+        "labels": ("doc_id", ["doc_id", "quality", "toxic"]),
+    }
+    parts = []
+    for table, (key, cols) in declared.items():
+        parts += [f"SELECT '{table}' AS table_name, 'not null' AS rule, '{c}' AS columns, "
+                  f"COUNT(*) - COUNT({c}) AS violations, COUNT(*) AS row_count FROM {table}" for c in cols]
+        parts.append(f"SELECT '{table}', 'unique', '{key}', (SELECT COUNT(*) FROM (SELECT {key} FROM {table} "
+                     f"GROUP BY {key} HAVING COUNT(*) > 1)), COUNT(*) FROM {table}")
+    return "\nUNION ALL\n".join(parts)
 
 
 SQL: dict[str, str] = {
@@ -131,7 +137,9 @@ SQL: dict[str, str] = {
     "like_single_char": "SELECT c_custkey, c_name FROM customer WHERE c_name LIKE 'Customer#_________'",
     "like_or_range": (f"SELECT {PARTS} FROM part WHERE (p_name LIKE 'blue%' OR p_name LIKE 'cold%') "
                       "AND p_retailprice >= 980 ORDER BY p_retailprice DESC, p_partkey"),
-    "filter_eq_null": "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = NULL",
+    "filter_eq_null": (
+        "SELECT d.lang, COUNT(*) AS n_docs, COUNT(*) FILTER (WHERE l.quality = NULL) AS n_eq_null, "
+        f"COUNT(*) FILTER (WHERE l.quality IS NULL) AS n_is_null FROM {DOCS_LABELS} GROUP BY d.lang"),
     "like_ci": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment ILIKE 'build%'",
     # J
     "join_inner": (f"SELECT o.o_orderkey, {_dy('o.o_orderdate')} AS basis_dy, c.c_name, o.o_totalprice "
@@ -142,11 +150,11 @@ SQL: dict[str, str] = {
     "join_left": f"SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM {DOCS_LABELS} ORDER BY d.doc_id",
     "join_right": ("SELECT d.doc_id, d.lang, l.quality, l.toxic FROM labels l "
                    "RIGHT JOIN documents d ON l.doc_id = d.doc_id"),
-    "join_full": (f"SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice FROM {FULL_CUST} c "
-                  f"FULL OUTER JOIN {FULL_ORDERS} o ON c.c_custkey = o.o_custkey"),
-    "join_full_dedup": (f"SELECT c.c_name, o.o_orderstatus FROM {FULL_CUST} c LEFT JOIN {FULL_ORDERS} o "
+    "join_full": (f"SELECT c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice FROM customer c "
+                  f"FULL OUTER JOIN orders o ON c.c_custkey = o.o_custkey"),
+    "join_full_dedup": (f"SELECT c.c_name, o.o_orderstatus FROM customer c LEFT JOIN orders o "
                         "ON c.c_custkey = o.o_custkey UNION "
-                        f"SELECT c.c_name, o.o_orderstatus FROM {FULL_ORDERS} o LEFT JOIN {FULL_CUST} c "
+                        f"SELECT c.c_name, o.o_orderstatus FROM orders o LEFT JOIN customer c "
                         "ON c.c_custkey = o.o_custkey"),
     "join_composite": ("SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, k.n_rows FROM lineitem l "
                        "JOIN (SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem "
@@ -184,6 +192,10 @@ SQL: dict[str, str] = {
                   f"CAST(ROUND({_money_sum('l_extendedprice')}, 1) AS DOUBLE) AS sum_price, "
                   "ROUND(AVG(l_quantity), 0) AS avg_qty FROM lineitem "
                   "GROUP BY l_returnflag, l_linestatus ORDER BY l_returnflag, l_linestatus"),
+    "round_rows": ("SELECT c_custkey, c_acctbal, "
+                   + ", ".join(f"CAST(ROUND(CAST(c_acctbal AS DECIMAL(18,2)), {n}) AS DOUBLE) AS {a}"
+                               for n, a in ((1, "to_tenths"), (0, "to_units"), (-2, "to_hundreds")))
+                   + " FROM customer"),
     "agg_multi_key": (f"SELECT {_yr('l_shipdate')} AS basis_year, l_returnflag, SUM(l_quantity) AS sum_qty "
                       f"FROM lineitem WHERE l_shipdate BETWEEN {_ts('1996-01-01')} AND {_ts('2000-12-31')} "
                       "GROUP BY basis_year, l_returnflag HAVING SUM(l_quantity) >= 70000 "
@@ -225,8 +237,7 @@ SQL: dict[str, str] = {
                          f"FROM {DOCS_LABELS} WHERE l.quality IS NOT NULL ORDER BY l.quality, d.doc_id"),
     "limit_n": f"SELECT {ORDERS_BRIEF} FROM orders ORDER BY o_orderkey LIMIT 10",
     "top_k": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20",
-    "union_distinct": ("SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 450000 "
-                       "UNION SELECT c_custkey FROM customer WHERE c_acctbal >= 9900"),
+    "union_distinct": "SELECT o_custkey AS custkey FROM orders UNION SELECT c_custkey FROM customer",
     # C
     "case_simple": (f"SELECT o_orderkey, {_dy('o_orderdate')} AS basis_dy, o_orderpriority, "
                     f"{PRIORITY} AS priority_name, o_totalprice FROM orders"),

@@ -18,26 +18,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relq.functions.expressions import case_map, coalesce_default
-from relq.operators.aggregates import at_least_scalar, avg_of_group_totals, group_then_label, pivot_sums
-from relq.operators.joins import dim_lookup, equi_join
+from relq.operators.aggregates import (
+    Measure, aggregate_then_look_up, at_least_scalar, avg_of_group_totals, group_then_label, pivot_sums)
+from relq.operators.joins import aggregated_join, dim_lookup, equi_join
 from relq.operators.ordering import order_by
 
 
 def status_report(fact: DataFrame, dim: DataFrame, *, fact_region: str, dim_key: str,
                   dim_cols: Sequence[str], date_col: str, product_code: str,
-                  product_labels: Mapping[str, str], other_label: str, aggs: Sequence[Column],
+                  product_labels: Mapping[str, str], other_label: str, measures: Mapping[str, Measure],
                   sort: Sequence[str | Column], dim_filter: Column | None = None,
                   label_name: str = "product_name") -> DataFrame:
     """Totals by date x region x zone x product label.
 
-    Broadcast lookup of the (size-checked) code dimension, then one grouped
-    aggregate keyed by the raw product code so unknown codes stay separate
-    rows (M14), then the label, then the final sort.
+    Summed by date, region code and raw product code first, so the dimension
+    is looked up for the few sums, not for every fact row.  The raw product
+    code stays a key so unknown codes stay separate rows (M14); then the
+    label, then the final sort.
     """
-    joined = dim_lookup(fact, dim, fact_region, dim_key, dim_filter=dim_filter)
-    label = case_map(product_code, product_labels, other_label)
-    grouped = group_then_label(joined, [date_col, *dim_cols], product_code, label, label_name, aggs)
-    return order_by(grouped, sort)
+    dim = dim if dim_filter is None else dim.filter(dim_filter)
+    out = aggregate_then_look_up(fact, [date_col, product_code], fact_region, dim, dim_key,
+                                 [date_col, *dim_cols, product_code], measures)
+    label = case_map(product_code, product_labels, other_label).alias(label_name)
+    return order_by(out.select(date_col, *dim_cols, label, *measures), sort)
 
 
 def zone_pivot(fact: DataFrame, dim: DataFrame, *, fact_region: str, dim_key: str, zone_col: str,
@@ -45,11 +48,14 @@ def zone_pivot(fact: DataFrame, dim: DataFrame, *, fact_region: str, dim_key: st
                dim_filter: Column | None = None, cast=None) -> DataFrame:
     """One row per date, one column per zone plus the all-zone total.
 
-    ``zones`` maps output column -> zone value.  A single aggregate of
-    conditional sums; an empty zone gives 0, not NULL.
+    ``zones`` maps output column -> zone value.  Sums by date and region code,
+    then the zone of each code, then conditional sums; an empty zone gives 0,
+    not NULL.
     """
-    joined = dim_lookup(fact, dim, fact_region, dim_key, dim_filter=dim_filter)
-    return order_by(pivot_sums(joined, [date_col], zone_col, zones, value, total, cast), [date_col])
+    dim = dim if dim_filter is None else dim.filter(dim_filter)
+    by_zone = aggregate_then_look_up(fact, [date_col], fact_region, dim, dim_key, [date_col, zone_col],
+                                     {value: Measure(F.sum(value))})
+    return order_by(pivot_sums(by_zone, [date_col], zone_col, zones, value, total, cast), [date_col])
 
 
 def above_average(pivot: DataFrame, total: str, base: DataFrame, base_date: str,
@@ -74,14 +80,14 @@ def integrated_detail(head: DataFrame, amount: DataFrame, dim: DataFrame, detail
 
     ``since`` is a predicate on the head table, applied before the joins so
     it reaches the scan.  ``coalesce`` maps output name -> (detail column,
-    default) for the optional side.
+    default) for the optional side, which has a row for each key.
     """
     base = head.filter(since)
     same = list(head_keys) == list(amount_keys)
     joined = equi_join(base, amount, list(head_keys), None if same else list(amount_keys))
     joined = dim_lookup(joined, dim, head_region, dim_key, dim_filter=dim_filter)
-    joined = equi_join(joined, detail, head_detail_key,
-                       None if head_detail_key == detail_key else detail_key, how="left")
+    joined = aggregated_join(joined, detail, head_detail_key,
+                             None if head_detail_key == detail_key else detail_key, how="left")
     extra = [coalesce_default(src, default).alias(name) for name, (src, default) in coalesce.items()]
     return order_by(joined.select(*select, *extra), sort)
 

@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 # it coalesces small shuffle partitions, splits skewed join partitions
 # (a hot key holding a large share of rows) and turns a sort-merge join
 # into a broadcast join once a side is measured to be small.
+# Which sides are broadcast is Spark's own size check, and how wide a shuffle
+# starts is the launcher's choice; neither is set here.
 ADAPTIVE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,39 +23,30 @@ ADAPTIVE_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # ANSI semantics: text/number mixes fail loudly instead of turning NULL.
     "spark.sql.ansi.enabled": "true",
-    # Broadcast only what is proven small.  The static threshold trusts a
-    # size estimate taken from compressed file sizes, so it is switched off;
-    # sides are broadcast either by an explicit hint after ``joins.bounded``
-    # has proven a row and byte bound, or by AQE once a shuffle stage has
-    # *measured* a side below the adaptive threshold.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
+_CONFIGURED = "spark.relq.configured"
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``ADAPTIVE_DEFAULTS`` where the launcher did not set a value."""
-    launched = {}
-    try:
-        launched = dict(spark.sparkContext.getConf().getAll())
-    except Exception:  # pragma: no cover - Spark Connect
-        pass
+    """Apply ``ADAPTIVE_DEFAULTS`` once, where neither the launcher nor the
+    session's user has set a value; later changes of theirs stay."""
+    if spark.conf.get(_CONFIGURED, None) == "true":
+        return spark
     for key, value in ADAPTIVE_DEFAULTS.items():
-        if key not in launched:
+        if not spark.conf.isModifiable(key):
+            continue
+        if key not in _chosen(spark):
             spark.conf.set(key, value)
-    # On a cluster, start shuffles wide and let AQE coalesce them down to
-    # the advisory partition size, so a terabyte-scale shuffle never lands in
-    # a few hundred oversized, spilling partitions.
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        sc = spark.sparkContext
-        if initial not in launched and not sc.master.startswith("local"):
-            spark.conf.set(initial, str(4 * sc.defaultParallelism))
-    except Exception:  # pragma: no cover - Spark Connect
-        pass
+    spark.conf.set(_CONFIGURED, "true")
     return spark
 
 
+def _chosen(spark: SparkSession) -> set[str]:
+    """Names of the settings made at launch or on the session."""
+    return set(spark.conf.getAll)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -10,15 +10,27 @@ action that runs the plan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 
+_PIECE = re.compile(r"'(?:[^'\\\\]|\\\\.|'')*'|\"(?:[^\"\\\\]|\\\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;|\s+|.", re.S)
+
+
 def _strip(sql: str) -> str:
-    text = sql.strip()
-    while text.endswith(";"):
-        text = text[:-1].rstrip()
-    return text
+    """The statement without a final ``;`` and the comments behind it."""
+    end, closed = 0, False
+    for m in _PIECE.finditer(sql):
+        piece = m[0]
+        if piece == ";":
+            closed = True
+        elif not (piece.isspace() or piece.startswith(("--", "/*"))):
+            if closed:
+                return sql.strip()  # a second statement: left for the parser to refuse
+            end = m.end()
+    return sql[:end].strip()
 
 
 def run_sql(spark: SparkSession, sql: str) -> tuple[DataFrame | None, str | None]:
@@ -32,8 +44,6 @@ def run_sql(spark: SparkSession, sql: str) -> tuple[DataFrame | None, str | None
         return df, None
     except PySparkException as exc:
         return None, str(exc)
-    except Exception as exc:  # py4j errors surface as generic exceptions
-        return None, str(exc)
 
 
 def row_count(df: DataFrame) -> int:

@@ -114,3 +114,11 @@ DRIVER_SCHEMAS: dict[str, T.StructType] = {
     ]),
     "labels": T.StructType([_f("doc_id", L), _f("quality", I), _f("toxic", I)]),
 }
+
+DRIVER_NOT_NULL = {
+    "region": ["r_regionkey", "r_name"], "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey"], "orders": ["o_orderkey", "o_custkey", "o_orderdate"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"], "labels": ["doc_id", "quality", "toxic"],
+}
+DRIVER_KEYS = {"region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
+               "orders": ["o_orderkey"], "documents": ["doc_id"], "labels": ["doc_id"]}

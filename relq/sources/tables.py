@@ -97,13 +97,14 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     ``(BASIS_DY, GRNT_NO)``, is the case in point).  The table lives in the
     session's warehouse (``spark.sql.warehouse.dir``), the shared location
     the cluster configures.  Pick ``buckets`` so one bucket of the larger
-    table is a few hundred MB.  The write itself adds no shuffle, so every
-    task writes its own slice of each bucket.  A join of bucketed tables has
+    table is a few hundred MB.  The rows are shuffled by the bucket keys first,
+    so a bucket is written by one task (a hot one by several) and the number
+    of files stays near the number of buckets.  A join of bucketed tables has
     no shuffle for AQE to split, so a key holding a large share of the rows
     makes its bucket's task long; for such keys the shuffled join with AQE
     skew splitting is the safer plan.
     """
-    writer = df.write.mode(mode).bucketBy(buckets, *keys)
+    writer = df.hint("rebalance", buckets, *keys).write.mode(mode).bucketBy(buckets, *keys)
     if sort:
         writer = writer.sortBy(*keys)
     writer.saveAsTable(table)

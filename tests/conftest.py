@@ -14,6 +14,16 @@ from relq.sources.tables import from_rows  # noqa: E402
 import housing_seed as H  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"  # every query has rows here
+
+
+def core_queries():
+    """The registered queries of the reference's own operators."""
+    import __spark_entry__ as E
+    from relq.plans.catalog import REGISTRY
+
+    found = E.queries()
+    return {name: found[name] for name in REGISTRY}
 
 
 @pytest.fixture(scope="session")
@@ -22,10 +32,11 @@ def spark():
 
     from relq.session import configure, ensure_checkpoint_dir
 
-    s = (SparkSession.builder.master("local[*]")
+    s = (SparkSession.builder.master("local[4]")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="relq-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")

@@ -151,7 +151,7 @@ def test_above_average_uses_unjoined_fact(fact, dim):
 
 def test_checks(spark, fact, dim):
     prof = {r["column_name"]: r for r in K.profile(fact).collect()}
-    assert prof["CODE"]["distinct_values"] == 4 and prof["CNT"]["max_num"] == 100.0
+    assert prof["CODE"]["distinct_values"] == 4 and prof["CNT"]["max_text"] == "100"
     assert prof["GRNT_NO"]["row_count"] == 6
     approx = {r["column_name"]: r for r in K.profile(fact, exact_distinct=False).collect()}
     assert approx["CODE"]["distinct_values"] == 4
@@ -164,11 +164,6 @@ def test_checks(spark, fact, dim):
     assert nulls == {"a": 1, "b": 2}
 
 
-def test_bounded_and_small_side(spark):
-    df = spark.range(10)
-    assert J.bounded(df, 10) and not J.bounded(df, 9)
-
-
 def test_run_sql_contract(spark, fact):
     fact.createOrReplaceTempView("fact_t")
     df, err = run_sql(spark, "SELECT CODE, COUNT(*) AS n FROM fact_t GROUP BY CODE ORDER BY CODE;")
@@ -186,20 +181,6 @@ def test_right_outer_join_is_swapped_left(fact, dim):
     native = fact.join(dim, fact["ZONE"] == dim["CD_ID"], "right")
     assert ours.columns == native.columns
     assert sorted(rows(ours), key=str) == sorted(rows(native), key=str)
-    split = J.right_outer_join(fact, dim, "ZONE", "CD_ID", max_rows=0)
-    assert sorted(rows(split), key=str) == sorted(rows(native), key=str)
-
-
-def test_bounded_declines_to_probe_many_partitions(spark):
-    wide = spark.range(0, 1000, numPartitions=J.MAX_PROBE_PARTITIONS + 1)
-    assert not J.bounded(wide, 10_000)
-    assert J.bounded(spark.range(0, 1000, numPartitions=4), 10_000)
-
-
-def test_bounded_also_bounds_bytes(spark):
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("text"))
-    assert J.bounded(wide, 100)
-    assert not J.bounded(wide, 100, max_bytes=5_000)
 
 
 def test_label_codes_case_and_lookup_agree(spark):
@@ -211,6 +192,11 @@ def test_label_codes_case_and_lookup_agree(spark):
         got = {r["code"]: r["label"] for r in PR.label_codes(df, "code", mapping, "label", "other").collect()}
         want = {c: mapping.get(c, "other") if c is not None else "other" for c in got}
         assert got == want and len(got) == 102
+    codes = spark.createDataFrame([(i,) for i in range(50)], "code int")
+    for n in (6, 40):  # text keys of an int column, at any length
+        labels = {str(i): f"L{i}" for i in range(n)}
+        got = {r["code"]: r["label"] for r in PR.label_codes(codes, "code", labels, "label").collect()}
+        assert got == {i: f"L{i}" if i < n else None for i in range(50)}
 
 
 def test_run_sql_comments_and_cte(spark, fact):
@@ -219,6 +205,10 @@ def test_run_sql_comments_and_cte(spark, fact):
     assert err is None and df.first()["n"] == 6
     df, err = run_sql(spark, "WITH c AS (SELECT CODE FROM fact_t WHERE CNT > 10) SELECT COUNT(*) AS n FROM c;")
     assert err is None and df.first()["n"] == 3          # CNT 100, 20, 50
+    df, err = run_sql(spark, "SELECT COUNT(*) AS n FROM fact_t; -- note; more /* text\n ;; /* end */ ")
+    assert err is None and df.first()["n"] == 6
+    df, err = run_sql(spark, "SELECT ';--' AS s, COUNT(*) AS n FROM fact_t")
+    assert err is None and df.first()["s"] == ";--"
     df, err = run_sql(spark, "SELECT 1 /* unclosed")
     assert df is None and err
 
@@ -229,9 +219,85 @@ def test_outer_join_refuses_ambiguous_columns(spark):
     with pytest.raises(ValueError):
         J.full_outer_join(a, b, "k", "kb")
     with pytest.raises(ValueError):
-        J.left_outer_join(a, b, "k", "kb", max_rows=0)
+        J.left_outer_join(a, b, "k", "kb")
 
 
 def test_order_by_skips_unorderable_tiebreakers(spark):
-    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "k int, m map<string,int>")
-    assert [r["k"] for r in O.order_by(df, ["k"]).collect()] == [1, 2]
+    df = spark.createDataFrame([(2, {"a": 1}, "long text"), (1, {"b": 2}, "other")], "k int, m map<string,int>, t string")
+    assert [r["k"] for r in O.order_by(df, ["k"], tiebreak=True).collect()] == [1, 2]
+    text = O.order_by(df, ["k"], tiebreak=True)._jdf.queryExecution().toString()
+    assert "Sort [k#" in text and "t#" not in text[text.index("Sort [k#"):].split("]")[0]
+
+
+def test_sub_cent_values_are_never_rounded_unseen(spark):
+    df = spark.createDataFrame([(0.005,)] * 3, "v double")
+    assert float(df.agg(X.money_sum("v", digits=3).alias("s")).first()["s"]) == 0.015
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        df.agg(X.money_sum("v").alias("s")).collect()
+    fine = spark.createDataFrame([(0.07,), (123456789.29,), (-0.29,), (None,)], "v double")
+    assert str(fine.agg(X.money_sum("v").alias("s")).first()["s"]) == "123456789.07"
+
+
+def test_key_text_keeps_long_years(spark):
+    df = spark.createDataFrame([(12345,), (98,)], "y int")
+    assert [r[0] for r in df.select(X.key_text("y", "yyyy")).collect()] == ["12345", "0098"]
+
+
+def test_profile_keeps_every_digit(spark):
+    df = spark.createDataFrame([(9007199254740993, 1.5), (3, 2.5)], "n long, x double")
+    got = {r["column_name"]: r for r in K.profile(df).collect()}
+    assert got["n"]["max_text"] == "9007199254740993" and got["n"]["max_num"] is None
+    assert (got["x"]["min_num"], got["x"]["max_num"], got["x"]["min_text"]) == (1.5, 2.5, None)
+
+
+def test_like_takes_a_backslash_as_itself(spark):
+    df = spark.createDataFrame([("a\\b",), ("ab",), ("a%b",)], "s string")
+    assert rows(df.filter(P.like("s", "a\\b"))) == [("a\\b",)]
+    assert len(rows(df.filter(P.like("s", "a\\%")))) == 1
+    assert rows(df.filter(P.like("s", "A\\B", case_sensitive=False))) == [("a\\b",)]
+
+
+def test_foreign_key_check_passes_nulls(spark):
+    fact = spark.createDataFrame([(1,), (7,), (None,)], "k int")
+    dim = spark.createDataFrame([(1,), (1,)], "id int")
+    assert rows(K.orphans(fact, dim, ["k"], ["id"])) == [(7,)]
+    assert sorted(rows(K.orphans(fact, dim, ["k"], ["id"], report_nulls=True)), key=str) == [(7,), (None,)]
+
+
+def test_validate_reports_nulls_and_repeated_keys(spark, housing):
+    from relq.sources import schemas as S
+    df = spark.createDataFrame([("a", None), ("a", "x"), (None, None)], "CD_ID string, CD_NM string")
+    got = rows(K.validate(df, S.REGION_CODE, S.HOUSING_NOT_NULL[S.REGION_CODE], S.HOUSING_PRIMARY_KEYS[S.REGION_CODE]))
+    assert [r[1:] for r in got] == [("not null", "CD_ID", 1, 3), ("not null", "CD_NM", 2, 3), ("unique", "CD_ID", 1, 3)]
+    clean = K.validate(housing["region"], S.REGION_CODE, S.HOUSING_NOT_NULL[S.REGION_CODE], S.HOUSING_PRIMARY_KEYS[S.REGION_CODE])
+    assert all(r["violations"] == 0 for r in clean.collect())
+    empty = rows(K.validate(df.limit(0), "t", ["CD_NM"], ["CD_ID"]))
+    assert [r[3:] for r in empty] == [(0, 0), (0, 0)]
+
+
+def test_configure_keeps_what_the_session_chose(spark):
+    from relq import session as SE
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    SE.configure(other)
+    assert other.conf.get("spark.sql.adaptive.enabled") == "false"
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "50MB")
+    SE.configure(other)
+    assert other.conf.get("spark.sql.ansi.enabled") == "false"
+    assert other.conf.get("spark.sql.autoBroadcastJoinThreshold") == "50MB"
+
+
+def test_round_rows_halves_and_negatives(spark):
+    df = spark.createDataFrame([("0.25",), ("-0.25",), ("-150.00",), ("149.99",)], "s string").select(F.col("s").cast("decimal(18,2)").alias("v"))
+    assert [r[0] for r in df.select(X.round_to(F.col("v"), 1)).collect()] == [0.3, -0.3, -150.0, 150.0]
+    assert [r[0] for r in df.select(X.round_to(F.col("v"), -2)).collect()] == [0.0, 0.0, -200.0, 100.0]
+
+
+def test_aggregated_join_matches_native(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
+    b = spark.createDataFrame([(1, 10), (3, 30)], "k long, n int")
+    for how in ("inner", "left"):
+        ours = J.aggregated_join(a, b, "k", how=how).select("k", "v", "n")
+        native = a.join(b, "k", how).select("k", "v", "n")
+        assert sorted(rows(ours), key=str) == sorted(rows(native), key=str)

@@ -10,6 +10,7 @@ from relq.operators import filters as P
 from relq.operators import joins as J
 from relq.operators import ordering as O
 from relq.operators import projections as PR
+from relq.operators.aggregates import Measure
 from relq.plans import reports as R
 
 
@@ -164,8 +165,8 @@ def test_composite1_status_report(housing):
         housing["status"], housing["region"], fact_region="HS_LOC_ZONE_DVCD", dim_key="CD_ID",
         dim_cols=["CD_NM", "ZONE_TYPE"], date_col="BASIS_DY", product_code="PNSN_GV_METH_DVCD",
         product_labels=H.PRODUCT_LABELS, other_label=H.PRODUCT_OTHER, dim_filter=group(),
-        aggs=[F.sum("GRNT_SPLY_CNT").alias("supply"),
-              X.round_to(X.money_sum("APRS_EVAL_AMT"), 1).alias("appraisal")],
+        measures={"supply": Measure(F.sum("GRNT_SPLY_CNT")),
+                  "appraisal": Measure(F.sum(X.cents("APRS_EVAL_AMT")), lambda c: X.round_to(X.from_cents(c), 1))},
         sort=["-BASIS_DY", "-supply"])
     got = rows(out)
     assert len(got) == 29

@@ -4,9 +4,11 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as E
-from conftest import SF_SMALL
+from relq.operators import joins as J
+
+from conftest import SF_SMALL, core_queries
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
@@ -22,7 +24,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {name: plan(fn(spark, SF_SMALL)) for name, fn in E.queries().items()}
+    return {name: plan(fn(spark, SF_SMALL)) for name, fn in core_queries().items()}
 
 
 def test_every_query_stays_in_the_jvm_and_never_pairs_all_rows(plans):
@@ -74,3 +76,48 @@ def test_in_subquery_is_semi_join(plans):
 
 def test_orphans_is_anti_join(plans):
     assert "LeftAnti" in plans["check_orphans"]
+
+
+def test_building_plans_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "building plans")
+    try:
+        for fn in core_queries().values():
+            fn(spark, SF_SMALL)
+        assert list(tracker.getJobIdsForGroup("plans")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_a_table_that_outgrows_the_threshold_is_not_broadcast(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    fact = spark.range(50_000_000).select((F.col("id") % 10).alias("code"))
+
+    def text():
+        dim = spark.read.schema("id long, name string").parquet(path)
+        return plan(J.dim_lookup(fact, dim, "code", "id"))
+
+    spark.range(10).select("id", F.lit("x").alias("name")).write.parquet(path)
+    assert "BroadcastHashJoin" in text()
+    spark.range(3_000_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name")).write.mode("overwrite").parquet(path)
+    assert "SortMergeJoin" in text()
+
+
+def test_dimension_is_looked_up_after_the_aggregate(plans):
+    for name in ("report_status", "report_zone_pivot", "join_agg"):
+        text = plans[name]
+        joins = [i for i in range(len(text)) if text.startswith("BroadcastHashJoin", i)]
+        assert text.index("HashAggregate") < joins[0], name  # the tree is printed from the top
+
+
+def test_lines_are_reduced_before_they_are_summed(plans):
+    assert "LeftSemi" in plans["report_integrated"]
+
+
+def test_null_check_is_one_scan_for_each_table(plans):
+    tree = plans["check_not_null"].split("\n\n")[0]
+    assert tree.count("Scan parquet") == 6
+
+
+def test_eq_null_reads_its_table(plans):
+    assert "Scan parquet" in plans["filter_eq_null"]
