@@ -63,12 +63,13 @@ class Network:
         self.p["bias"] = np.zeros(len(languages), np.float32)
 
     def states(self, x: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
-        """States after each step of ``x`` (steps, lanes), as seen by direction ``d``."""
+        """States after each step of ``x`` (steps, lanes), which is in the order
+        in which direction ``d`` reads."""
         n, p = self.state, self.p
         table, gate, cand = p[f"in_{d}"], p[f"gate_{d}"], p[f"cand_{d}"]
         h = np.zeros((x.shape[1], n), np.float32)
         out = np.empty((*x.shape, n), np.float32)
-        for t in range(len(x)) if d == "l" else range(len(x) - 1, -1, -1):
+        for t in range(len(x)):
             a = table[x[t]]
             raw = a[:, :2 * n] + h @ gate
             z = _gate(raw.copy()) if keep is not None else _gate(raw)
@@ -80,14 +81,19 @@ class Network:
             out[t] = h = new
         return out
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        """(steps, lanes, languages) for byte windows ``x`` (steps, lanes)."""
+    def probabilities(self, x: np.ndarray, back: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """(steps, lanes, languages) for byte windows ``x`` (steps, lanes) and
+        ``back``, the same read from their ends; ``length``: each lane's bytes.
+        What a lane holds beyond its length changes nothing before."""
         y = self.states(x, "l") @ self.p["out_l"]
-        y += self.states(x, "r") @ self.p["out_r"]
+        steps = np.arange(len(x))[:, None]
+        mirrored = np.maximum(length - 1 - steps, 0)[:, :, None]
+        y += np.take_along_axis(self.states(back, "r") @ self.p["out_r"], mirrored, 0)
         y += self.p["bias"]
         y -= y.max(2, keepdims=True)
         np.exp(y, out=y)
         y /= y.sum(2, keepdims=True)
+        y[steps >= length] = 0
         return y
 
     def gradients(self, x: np.ndarray, label: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -95,9 +101,10 @@ class Network:
         through time; ``label``: each lane's language."""
         n, p, grad = self.state, self.p, {k: np.zeros_like(v) for k, v in self.p.items()}
         kept, states = {d: [] for d in "lr"}, {}
+        order = {"l": x, "r": x[::-1]}
         for d in "lr":
-            states[d] = self.states(x, d, kept[d])
-        y = states["l"] @ p["out_l"] + states["r"] @ p["out_r"] + p["bias"]
+            states[d] = self.states(order[d], d, kept[d])
+        y = states["l"] @ p["out_l"] + (states["r"] @ p["out_r"])[::-1] + p["bias"]
         y -= y.max(2, keepdims=True)
         e = np.exp(y)
         prob = e / e.sum(2, keepdims=True)
@@ -108,8 +115,9 @@ class Network:
         dy /= x.size
         grad["bias"] = dy.sum((0, 1))
         for d in "lr":
-            grad[f"out_{d}"] = np.einsum("tbn,tbl->nl", states[d], dy)
-            back, dh = dy @ p[f"out_{d}"].T, np.zeros((x.shape[1], n), np.float32)
+            own = dy if d == "l" else dy[::-1]
+            grad[f"out_{d}"] = np.einsum("tbn,tbl->nl", states[d], own)
+            back, dh = own @ p[f"out_{d}"].T, np.zeros((x.shape[1], n), np.float32)
             gate, cand = p[f"gate_{d}"], p[f"cand_{d}"]
             for t, h, u, r, c, inner in reversed(kept[d]):
                 dh = dh + back[t]
@@ -117,7 +125,7 @@ class Network:
                 du = dh * (c - h)
                 drh = dc @ cand.T
                 dz = np.concatenate([du, drh * h], 1) * inner * np.float32(0.25)
-                np.add.at(grad[f"in_{d}"], x[t], np.concatenate([dz, dc], 1))
+                np.add.at(grad[f"in_{d}"], order[d][t], np.concatenate([dz, dc], 1))
                 grad[f"gate_{d}"] += h.T @ dz
                 grad[f"cand_{d}"] += (r * h).T @ dc
                 dh = dh * (1 - u) + drh * r + dz @ gate.T
@@ -162,9 +170,8 @@ def document_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.n
         own = order[at:at + _LANES]
         steps = int(length[own].max())
         # a short window is repeated cyclically: no byte outside of the text is read
-        place = start[own] + np.arange(steps)[:, None] % length[own]
-        y = net.probabilities(data[place])
-        y[np.arange(steps)[:, None] >= length[own]] = 0
+        step = np.arange(steps)[:, None] % length[own]
+        y = net.probabilities(data[start[own] + step], data[start[own] + length[own] - 1 - step], length[own])
         np.add.at(out, doc[own], y.sum(0, dtype=np.float64))
     return out / np.maximum(size, 1)[:, None]
 
