@@ -4,8 +4,9 @@ A page is read as a sequence of words and tags.  Every token has a score: what
 its kind (word or tag) says, plus what the containers that it stands in say
 (``article``, ``nav``, an element whose class names an advert, ...).  A linear
 scan finds the contiguous run of tokens with the largest sum: the content
-region.  Inside it, text of containers that speak against content is left
-out, and the rest is joined block by block.
+region.  Text of containers that speak against content is left out (such a
+container costs the region about as much as one bad tag, however long it is),
+and the rest is joined block by block.
 
 Scores are log odds counted on labelled pages: those that mark their article
 themselves (``article`` or ``main`` elements).  Spark counts words and tags
@@ -51,7 +52,7 @@ CLOSED_BY_SIBLING = {"p": BLOCK_TAGS, "li": frozenset({"li"}), "dt": frozenset({
 
 PRIOR_WORDS = 20.0
 LARGEST = 3.0
-LEAST, LARGEST_TAG = 0.1, 1.0  # containers say more than a single tag
+LEAST, LARGEST_TAG, LEAST_WORD = 0.1, 1.0, 0.5  # containers say more than a single tag
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Za-z]+")
@@ -131,7 +132,7 @@ def weights(found: dict[tuple[str, bool], int]) -> dict[str, float]:
     kinds = ["word", "tag/", *(f"{t}/" for t in sorted(KNOWN_TAGS))]
     total = {side: sum(found.get((k, side), 0) + PRIOR_WORDS for k in kinds) for side in (True, False)}
     out = {k: max(-LARGEST, min(LARGEST, math.log((found.get((k, True), 0) + PRIOR_WORDS) / total[True]) - math.log((found.get((k, False), 0) + PRIOR_WORDS) / total[False]))) for k in kinds}
-    out = {k: max(w, LEAST) if k == "word" else max(-LARGEST_TAG, min(w, -LEAST)) for k, w in out.items()}  # words speak for content, tags against it
+    out = {k: max(w, LEAST_WORD) if k == "word" else max(-LARGEST_TAG, min(w, -LEAST)) for k, w in out.items()}  # words speak for content, tags against it
     for name, for_it in [(f"<{t}>", True) for t in CONTENT_TAGS] + [(f"<{t}>", False) for t in AGAINST_TAGS] + [(w, False) for w in AGAINST_WORDS]:
         inside = found.get((name, True), 0) + PRIOR_WORDS * (1 if for_it else 0.05)
         outside = found.get((name, False), 0) + PRIOR_WORDS * (0.05 if for_it else 1)
@@ -143,16 +144,21 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     """The main text of a page."""
     best, best_span, total, start = 0.0, None, 0.0, 0
     pieces: list[tuple[int, str, bool]] = []  # block, text, whether a container speaks against it
-    block = 0
+    block, was_against = 0, False
     for kind, text, held, hidden in tokens(page):
         if kind == "block":
             block += 1
         if hidden:
             continue
-        gain = weight["word" if kind == "text" else text] + sum(weight[h] for h in held)
+        against = any(weight[h] < 0 for h in held)
         if kind == "text":
-            gain *= len(html.unescape(text).split())
-            pieces.append((block, text, any(weight[h] < 0 for h in held)))
+            pieces.append((block, text, against))
+        if against:  # its words are left out; the whole container counts about as one bad tag
+            gain = (0.0 if kind == "text" else -LEAST) - (0.0 if was_against else LARGEST_TAG)
+        else:
+            gain = weight["word" if kind == "text" else text] + sum(weight[h] for h in held)
+            gain *= len(html.unescape(text).split()) if kind == "text" else 1
+        was_against = against
         if total <= 0:
             total, start = 0.0, len(pieces) - (kind == "text")
         total += gain
