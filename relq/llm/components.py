@@ -3,13 +3,16 @@
 Alternating large-star and small-star rounds: in each, nodes hand their
 neighbours the smallest node that they know, until nothing changes.  Every
 round is written to the shared folder, which cuts the lineage.  The number of
-rounds grows with the logarithm of the longest path.
+rounds grows with the logarithm of the longest path.  A node with very many
+neighbours is split by ``aggregated_join``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from relq.operators.joins import aggregated_join
+
 from .staging import staged
 
 
@@ -20,8 +23,7 @@ def _checksum(edges: DataFrame) -> tuple:
 
 def _smallest(pairs: DataFrame) -> DataFrame:
     """(u, v, m): each pair with the smallest v of its u."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u")
+    return aggregated_join(pairs, pairs.groupBy("u").agg(F.min("v").alias("m")), "u")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

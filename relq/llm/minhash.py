@@ -39,6 +39,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from relq.operators.joins import aggregated_join
+
 from .arrays import LOWER, NOT_SPACE, Words, column_bytes, mix, slices
 from .components import connected_components
 from .staging import staged
@@ -203,7 +205,7 @@ def blocked(rows: DataFrame, group: str, member: str, block: int = BLOCK) -> Dat
     alone: side null, as with a small group)."""
     large = rows.groupBy(group).agg(F.count("*").alias("members")).where(F.col("members") > block)
     parts = F.ceil(F.col("members") / (block / 2)).cast("int")
-    rows = rows.join(large, group, "left").withColumn("parts", F.coalesce(parts, F.lit(1))).withColumn("part", F.pmod(F.xxhash64(member), F.col("parts")).cast("int"))
+    rows = aggregated_join(rows, large, group, how="left").withColumn("parts", F.coalesce(parts, F.lit(1))).withColumn("part", F.pmod(F.xxhash64(member), F.col("parts")).cast("int"))
     other = F.when(F.col("parts") > 1, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.lit(0)))
     out = rows.withColumn("other", F.explode(other))
     one, two = F.least("part", "other"), F.greatest("part", "other")
@@ -286,7 +288,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # candidate clusters
     buckets = classes.select("cid", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = buckets.join(shared, "bucket").join(classes.select("cid", "signature"), "cid")
+    members = aggregated_join(buckets, shared, "bucket").join(classes.select("cid", "signature"), "cid")
     tree = _tasks(blocked(members, "bucket", "cid").select("task", "side", "cid", "signature")).mapInArrow(_estimated(share), "u long, v long")
     clusters = connected_components(tree)
 
@@ -302,7 +304,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_leader = leaders.select("rid", "keyed").join(of_class, "keyed", "left").select(F.col("rid").alias("leader"), F.coalesce("part", "rid").alias("part"))
     rows = staged(sketch.select("rid", "doc_id", "body", "n_shingles", "leader").join(of_leader, "leader").drop("leader"), "rows")
     first = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("least")).select(F.col("part"), F.col("least.doc_id").alias("component_id"), F.col("least.rid").alias("first_rid"))
-    return rows.join(first, "part").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", (F.col("rid") == F.col("first_rid")).alias("kept"), *(["body"] if keep_body else []))
+    return aggregated_join(rows, first, "part").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", (F.col("rid") == F.col("first_rid")).alias("kept"), *(["body"] if keep_body else []))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:

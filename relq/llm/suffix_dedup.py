@@ -40,6 +40,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from relq.operators.joins import aggregated_join
+
 from .arrays import column_bytes, mix, prefix_hash, slices, span_hash
 from .staging import staged
 
@@ -443,7 +445,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 
     places = classes.where(F.col("rid") == F.col("cid")).select("cid", F.explode("grams").alias("gram"))
     several = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    found = places.join(several, "gram")
+    found = aggregated_join(places, several, "gram")
     wanted = staged(found.groupBy("cid").agg(F.collect_set(F.when(F.col("n") <= HOT, F.col("gram"))).alias("common"), F.collect_set(F.when(F.col("n") > HOT, F.col("gram"))).alias("hot"), F.count("*").alias("n"))
                     .join(classes.where(F.col("rid") == F.col("cid")).select("cid", F.col("doc_id").alias("wid"), F.col("body").alias("wbody")), "cid"), "wanted")
     ranges = max(1, -(-(wanted.agg(F.sum("n")).first()[0] or 0) * (LENGTH + WINDOW // 2) // RANGE_BYTES))
