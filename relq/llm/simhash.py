@@ -181,7 +181,7 @@ def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 if ended:
                     break
                 text = text or ""
-                if extra or size >= SLICE_BYTES // 2:
+                if extra or size >= SLICE_BYTES:
                     yield _compare(block, text)
                     block, size, ended = [], 0, bool(extra)
                 block.append((i, text))
