@@ -18,6 +18,7 @@ are packed each for itself; a null id is packed like any other.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -52,41 +53,50 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         spec = json.loads(tokenizer_json)
-        self.specials = [t["content"] for t in spec["added_tokens"]]
+        # chunks for which the plain way is not known to be exact
+        whole = ["[\u0300-\U0010ffff\x1c-\x1f]", *(re.escape(t["content"]) for t in spec["added_tokens"])]
+        self.odd = re.compile("|".join(whole)).search
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split["pattern"]["Regex"])
         mark = spec["model"]["end_of_word_suffix"]
-        self.last = {i for t, i in self.tokenizer.get_vocab().items() if t.endswith(mark)}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = {i for t, i in vocabulary.items() if t.endswith(mark)}
+        self.raw = {i: i.to_bytes(4, "little") for i in vocabulary.values()}
         self.words: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return b"".join([self.raw[i] for i in ids])
 
     def _learn_words(self, words: list[str]) -> None:
         for at in range(0, len(words), _RUN):
             run = words[at:at + _RUN]
-            ids, parts = self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids, [[]]
-            for i in ids:
-                parts[-1].append(i.to_bytes(4, "little"))
-                if i in self.last:
-                    parts.append([])
-            if len(parts) == len(run) + 1 and not parts[-1]:
-                self.words.update(zip(run, map(b"".join, parts)))
+            ids = self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids
+            ends = [n for n, i in enumerate(ids, 1) if i in self.last]
+            if len(ends) == len(run) and ends[-1] == len(ids):
+                raw, at = b"".join([self.raw[i] for i in ids]), 0
+                for word, n in zip(run, ends):
+                    self.words[word] = raw[4 * at:4 * n]
+                    at = n
             else:
                 self.words.update((w, self._whole(w)) for w in run)
 
     def _learn(self, chunks: set[str]) -> None:
-        cut = {}
+        single, several = {}, {}
         for c in chunks:
-            if max(c) < "̀" and not any(s in c for s in self.specials) and not any("\x1c" <= x <= "\x1f" for x in c):
-                cut[c] = self.pattern.findall(c.lower())
-            else:
+            if self.odd(c):
                 self.memo[c] = self._whole(c)
-        self._learn_words(list(set().union(*cut.values()).difference(self.words)))
-        for c, words in cut.items():
-            self.memo[c] = b"".join([self.words[w] for w in words])
+            elif (low := c.lower()).isalpha():
+                single[c] = low  # letters only: a word
+            else:
+                several[c] = self.pattern.findall(low)
+        self._learn_words(list(set(single.values()).union(*several.values()).difference(self.words)))
+        words = self.words
+        for c, word in single.items():
+            self.memo[c] = words[word]
+        for c, own in several.items():
+            self.memo[c] = b"".join([words[w] for w in own])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
