@@ -3,5 +3,5 @@
 Packages: ``sources`` (schemas, scans, sinks, the SQL entry), ``functions``
 (scalar expressions), ``operators`` (filters, projections, joins, aggregates,
 ordering, checks), ``plans`` (composite reports, the registered queries and
-their oracle SQL), ``streaming`` (empty: the course has no streams).
+their oracle SQL), ``llm`` (training-data operators, each with its own query).
 """
