@@ -230,8 +230,19 @@ def _sent(rows: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
     return pa.record_batch({"task": pa.array([r[0] for r in rows], pa.int64()), "hot": pa.array([r[1] for r in rows], pa.bool_()), "run": pa.array([r[2] for r in rows], pa.binary()), "cid": none, "first": none, "last": none})
 
 
-def _range(h: int, ranges: int) -> int:
-    return (h & ((1 << 64) - 1)) * ranges >> 64
+def _range(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash.  Mixed first: anchors are the smallest of many
+    hashes and would all fall into the first ranges."""
+    return ((mix(hashes ^ _TWIN) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+
+
+def _intervals(cid: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, first and last starts of the runs of consecutive starts."""
+    order = np.lexsort((start, cid))
+    cid, start = cid[order], start[order]
+    cut = np.flatnonzero((cid[1:] != cid[:-1]) | (start[1:] > start[:-1] + 1)) + 1
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(cid) - 1]])
+    return cid[first], start[first], start[last]
 
 
 class _Runs:
@@ -242,8 +253,8 @@ class _Runs:
         self.suffixes: dict[int, list[tuple[bytes, bytes, int, int]]] = {}
         self.strings: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # fingerprints (n, 2), cid, start
 
-    def add(self, h: int, left: bytes, suffix: bytes, cid: int, first: int) -> None:
-        self.suffixes.setdefault(_range(h, self.ranges), []).append((suffix, left, cid, first))
+    def add(self, task: int, left: bytes, suffix: bytes, cid: int, first: int) -> None:
+        self.suffixes.setdefault(task, []).append((suffix, left, cid, first))
         self.held += len(left) + len(suffix) + 200
 
     def add_hot(self, fingerprints: np.ndarray, cid: int, start: np.ndarray) -> None:
@@ -267,11 +278,11 @@ class _Runs:
             count = np.diff(np.append(np.flatnonzero(new), len(cid)))
             repeated = np.repeat(count > 1, count)
             if repeated.any():
-                yield _found(cid[repeated], start[repeated], start[repeated])
+                yield _found(*_intervals(cid[repeated], start[repeated]))
             # one of equal ones goes out; what is repeated here needs no answer
             ref = np.where(repeated, -1, cid)[new]
             print_, start = print_[new], start[new]
-            task = np.array([_range(int(h), self.ranges) for h in print_[:, 0]])
+            task = _range(print_[:, 0], self.ranges)
             for t in np.unique(task):
                 at = task == t
                 yield _sent([(int(t), True, print_[at].astype("<u8").tobytes() + ref[at].astype("<i8").tobytes() + start[at].astype("<i8").tobytes())])
@@ -291,9 +302,9 @@ def _runs(ranges: int):
             cid = part.column("cid").to_pylist()
             common, hot = ([set(x) if x else set() for x in part.column(c).to_pylist()] for c in ("common", "hot"))
             hashes, raw, prefix = gram[at].view(np.int64).tolist(), data.tobytes(), None
-            for h, a, z, p, r, base in zip(hashes, first.tolist(), last.tolist(), at.tolist(), row.tolist(), offsets[row].tolist()):
+            for h, task, a, z, p, r, base in zip(hashes, _range(gram[at], ranges).tolist(), first.tolist(), last.tolist(), at.tolist(), row.tolist(), offsets[row].tolist()):
                 if h in common[r]:
-                    out.add(h, raw[a:p], raw[p:z + LENGTH], cid[r], a - base)
+                    out.add(task, raw[a:p], raw[p:z + LENGTH], cid[r], a - base)
                 elif h in hot[r]:
                     prefix = prefix_hash(data) if prefix is None else prefix
                     begin = np.arange(a, z + 1)
@@ -389,7 +400,8 @@ def _merged_hot(runs: list[bytes]) -> Iterator[pa.RecordBatch]:
     # a run that holds the string twice says so by -1
     hit &= ref >= 0
     if hit.any():
-        yield pa.record_batch({"cid": pa.array(ref[hit], pa.int64()), "first": pa.array(start[hit], pa.int64()), "last": pa.array(start[hit], pa.int64())})
+        cid, first, last = _intervals(ref[hit], start[hit])
+        yield pa.record_batch({"cid": pa.array(cid, pa.int64()), "first": pa.array(first, pa.int64()), "last": pa.array(last, pa.int64())})
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +463,7 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     ranges = max(1, -(-(wanted.agg(F.sum("n")).first()[0] or 0) * (LENGTH + WINDOW // 2) // RANGE_BYTES))
     texts = staged(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wid")) & (F.col("body") == F.col("wbody"))).select("cid", "common", "hot", "text"), "candidates")
     runs = staged(texts.mapInArrow(_runs(ranges), _RUN), "runs")
-    merged = runs.where(F.col("run").isNotNull()).select("task", "hot", "run").repartition(ranges, "task", "hot").sortWithinPartitions("task", "hot").mapInArrow(_merge, "cid long, first long, last long")
+    merged = runs.where(F.col("run").isNotNull()).select("task", "hot", "run").repartitionById(ranges, F.col("task").cast("int")).sortWithinPartitions("task", "hot").mapInArrow(_merge, "cid long, first long, last long")
     starts = merged.union(runs.where(F.col("cid").isNotNull()).select("cid", "first", "last"))
     by_text = starts.groupBy("cid").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     cut = texts.select("cid", "text").join(by_text, "cid").mapInArrow(_cut, "cid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
