@@ -25,9 +25,10 @@ import heapq
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .arrays import mix, prefix_hash, slices, span_hash
+from .memory import only
 
 MEMO_ENTRIES = 600_000
 # The white space of Unicode; a class of its own since libraries differ in \\s.
@@ -148,33 +149,23 @@ class Bpe:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
+def read_ranks(path: str) -> dict[bytes, int]:
     """A .tiktoken file: base64 token and rank in each line (a vocabulary:
     its size is fixed, it does not grow with any table)."""
     with open(path, "rb") as f:
         return {base64.b64decode(t): int(i) for t, i in map(bytes.split, f) if t}
 
 
-_loaded: dict[tuple[int, str], Bpe] = {}
-
-
-def _encoder(key: tuple[int, str], ranks: dict[bytes, int]) -> Bpe:
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Bpe(ranks, key[1])
-    return _loaded[key]
-
-
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256[, ids]): each whole text
     encoded, and the digest of what its ids decode to.  ``keep_ids`` adds the
     ids themselves as little-endian unsigned 32-bit integers (binary)."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)  # fixed size: the vocabulary
-    key = (hash(frozenset(ranks.items())), pattern)
+    key = ("bytes", hash(frozenset(ranks.items())), pattern)
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
 
     def run(batches):
-        bpe = _encoder(key, shared.value) if key not in _loaded else _loaded[key]
+        bpe = only(key, lambda: Bpe(shared.value, pattern))
         for part in slices(batches, "text"):
             ids = bpe.encode([t or "" for t in part.column("text").to_pylist()])
             out = {
@@ -192,10 +183,10 @@ def decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "
     """(id, text): texts of binary ids as made by ``encode(keep_ids=True)``;
     null ids are the empty text, bytes that are no UTF-8 are replaced."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
-    key = (hash(frozenset(ranks.items())), pattern)
+    key = ("bytes", hash(frozenset(ranks.items())), pattern)
 
     def run(batches):
-        bpe = _encoder(key, shared.value)
+        bpe = only(key, lambda: Bpe(shared.value, pattern))
         for part in batches:
             texts = [bpe.decode(x or b"").decode(errors="replace") for x in part.column("ids").to_pylist()]
             yield pa.record_batch({"id": part.column("id"), "text": pa.array(texts, pa.string())})

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import slices
+from .memory import drop
 from .staging import staged
 
 MEMORY_BYTES = 64 << 20
@@ -153,6 +154,8 @@ def _first(rows: list[tuple]) -> tuple:
 
 
 def _within_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop()
+
     def records():
         for part in slices(batches, "text"):
             for rid, doc_id, text in zip(part.column("rid").to_pylist(), part.column("doc_id").to_pylist(), part.column("text").cast(pa.binary()).to_pylist()):
@@ -204,27 +207,26 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = df.columns
     id_at, text_at = names.index(id_col), names.index(text_col)
 
-    def records(batches, first):
-        for part in slices(batches, f"c{text_at}"):
-            for row in zip(*(part.column(c).to_pylist() for c in part.schema.names)):
-                content = normalised((row[text_at] or "").encode())
-                yield int.from_bytes(hashlib.sha256(content).digest()[:8], "big"), content, (row[id_at], row[first], row)
+    def staying(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
+        first = next(batches, None)
+        if first is None:
+            return
+        own = list(first.schema)[:len(names) + 1]  # the table's columns and the row number
+
+        def records() -> Iterator[Record]:
+            for part in slices(_chain(first, batches), f"c{text_at}"):
+                for row in zip(*(part.column(f.name).to_pylist() for f in own)):
+                    content = normalised((row[text_at] or "").encode())
+                    yield int.from_bytes(hashlib.sha256(content).digest()[:8], "big"), content, (row[id_at], row[-1], row)
 
-    def run(width):
-        def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            batch, schema = next(batches, None), None
-            if batch is None:
-                return
-            schema = pa.schema(list(batch.schema)[:width] + [("h", pa.int64())])
-            stay = ((_first([m[:2] for m in members]), members, h) for h, _, members in grace_groups(records(_chain(batch, batches), len(names))))
-            rows = (next(m[2] for m in members if m[:2] == best)[:width] + (h - (1 << 63),) for best, members, h in stay)
-            yield from _batches((r for r in rows), schema, text_at)
-        return within
+        rows = ((*_first(members)[2], h - (1 << 63)) for h, _, members in grace_groups(records()))
+        yield from _batches(rows, pa.schema([*own, pa.field("h", pa.int64())]), text_at)
 
     numbered = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.monotonically_increasing_id().alias("rid"))
-    own = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema))
-    leaders = numbered.mapInArrow(run(len(names) + 1), f"{own}, rid long, h long")
-    kept = leaders.repartition("h").drop("h").mapInArrow(run(len(names) + 1), f"{own}, rid long, h long")
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema)) + ", rid long, h long"
+    leaders = numbered.mapInArrow(staying, schema)
+    kept = leaders.repartition("h").mapInArrow(staying, schema)
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 

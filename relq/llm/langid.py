@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import column_bytes, slices
+from .memory import drop
 
 WINDOW = 192
 STATE = 8
@@ -219,8 +220,9 @@ def predict(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
     shared = df.sparkSession.sparkContext.broadcast(net)  # fixed size: the parameters
 
     def run(batches):
+        drop()
         net = shared.value
-        for part in slices(batches, "text", 2 << 20):
+        for part in slices(batches, "text"):
             ids = part.column("id").to_pylist()
             lang, score = judge(net, part.column("text"))
             held = [i is not None and zlib.crc32(str(i).encode()) % 4 == 2 for i in ids]
@@ -250,7 +252,8 @@ def accepted(df: DataFrame, net: Network, text_col: str = "text", least: float =
     shared = df.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        for part in slices(batches, text_col, 2 << 20):
+        drop()
+        for part in slices(batches, text_col):
             lang, score = judge(shared.value, part.column(text_col))
             yield part.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score)]))
 

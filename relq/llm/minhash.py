@@ -43,6 +43,7 @@ from relq.operators.joins import aggregated_join
 
 from .arrays import LOWER, NOT_SPACE, Words, column_bytes, mix, slices
 from .components import connected_components
+from .memory import drop
 from .staging import staged
 
 SHINGLE = 5
@@ -126,6 +127,7 @@ _SKETCH = "rid long, doc_id long, body long, n_shingles long, leader long, keyed
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop()
     leaders: dict[bytes, int] = {}  # of this task's distinct sets
     for part in slices(batches, "text"):
         hashes, first = shingles(*column_bytes(part.column("text")))

@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import slices
+from .memory import only
 
 SEQUENCE = 4096
 OPEN_LIMIT = 8192
@@ -114,21 +115,16 @@ class WordEncoder:
         return [b"".join(map(get, c)) for c in cut]
 
 
-_loaded: dict[int, WordEncoder] = {}
-
-
 def tokenized_pieces(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of each row's pieces."""
     shared = df.sparkSession.sparkContext.broadcast(tokenizer_json)  # fixed size: the vocabulary file
-    key, end = hash(tokenizer_json), END_ID.to_bytes(4, "little")
+    key, end = ("words", hash(tokenizer_json)), END_ID.to_bytes(4, "little")
 
     def run(batches):
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = WordEncoder(shared.value)
+        encoder = only(key, lambda: WordEncoder(shared.value))
         for part in slices(batches, "text"):
             rows = []
-            for doc, ids in zip(part.column("id").to_pylist(), _loaded[key].encode([t or "" for t in part.column("text").to_pylist()])):
+            for doc, ids in zip(part.column("id").to_pylist(), encoder.encode([t or "" for t in part.column("text").to_pylist()])):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * sequence)):
                     own = ids[at:at + 4 * sequence]

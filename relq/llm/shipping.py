@@ -1,4 +1,5 @@
-"""Sends this package's source to the executors of a session."""
+"""Sends this package's source to the executors of a session, and keeps the
+batches of whole texts that tasks receive small."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _sent: set[str] = set()
 _folders: list[tempfile.TemporaryDirectory] = []
 
@@ -15,6 +17,8 @@ _folders: list[tempfile.TemporaryDirectory] = []
 def ship(spark: SparkSession) -> None:
     """Make the package importable in the session's Python workers, once."""
     context = spark.sparkContext
+    if _BATCH not in spark.conf.getAll:  # else the launcher's or user's choice stays
+        spark.conf.set(_BATCH, "2000")
     if context.applicationId in _sent:
         return
     top = Path(__file__).resolve().parents[1]

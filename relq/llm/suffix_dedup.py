@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from relq.operators.joins import aggregated_join
 
 from .arrays import column_bytes, mix, prefix_hash, slices, span_hash
+from .memory import drop
 from .staging import staged
 
 LENGTH = 400
@@ -91,6 +92,7 @@ _SKETCH = "rid long, doc_id long, body long, n_bytes long, whole string, leader
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop()
     leaders: dict[bytes, int] = {}  # of this task's distinct texts
     for part in slices(batches, "text", _SLICE):
         data, offsets = column_bytes(part.column("text"))
@@ -291,6 +293,7 @@ class _Runs:
 
 def _runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop()
         out = _Runs(ranges)
         for part in slices(batches, "text", _SLICE):
             data, offsets = column_bytes(part.column("text"))

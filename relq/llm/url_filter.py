@@ -12,8 +12,8 @@ so on until a level has none.  No table is joined.
 A level's bits are proportional to the keys it encodes, and the first level's
 to the list: at most ``MAX_LISTED`` keys, which is checked.  False positives
 are found by Spark over the whole corpus, made distinct there, and only their
-hashes come to the driver: a share ``2 ** -HASHES`` of the distinct keys is
-expected per level, so ``BITS_PER_KEY`` also bounds what is sent.
+hashes come to the driver: with ``HASHES`` of ``BITS_PER_KEY`` bits about one
+in 70,000 of the distinct keys that are not listed.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path and no candidate keys; no rule fits it and it is allowed.  Repeated rows
@@ -23,12 +23,12 @@ long ones the alphabetically first).
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .arrays import mix
+
 MAX_LISTED = 10_000_000
 BITS_PER_KEY = 24
 HASHES = 12
@@ -44,8 +44,6 @@ class Level:
             np.bitwise_or.at(self.bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
 
     def _at(self, keys: np.ndarray):
-        from .arrays import mix
-
         a = mix(keys.astype(np.uint64) + np.uint64(self.level * 2 + 1))
         b = mix(a + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         for i in range(HASHES):
@@ -151,8 +149,3 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
     for k, v in verdict.items():
         decided = F.when(F.col("rule") == k, F.lit(v)).otherwise(decided)
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", decided.alias("verdict"))
-
-
-def expected_false_positives(keys: int) -> float:
-    """Expected false positives of one level among ``keys`` other keys."""
-    return keys * (1 - math.exp(-HASHES / BITS_PER_KEY)) ** HASHES

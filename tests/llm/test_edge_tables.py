@@ -16,7 +16,7 @@ JSON = Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
 
 @pytest.fixture(scope="module")
 def ranks(spark):
-    return bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def local(df):

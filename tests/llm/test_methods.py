@@ -216,7 +216,7 @@ def test_perfect_hash_and_merges():
     assert sorted(table.index(hashes).tolist()) == list(range(len(hashes)))
     import tiktoken
 
-    ranks = bpe.read_ranks(None, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     own = bpe.Bpe(ranks, public_tokenizers.PATTERN)
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(1)
