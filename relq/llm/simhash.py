@@ -105,7 +105,7 @@ def near_pairs(queries: DataFrame, prints: DataFrame, radius: int, column: str =
     return pairs.where(F.col("distance") <= radius).select("fingerprint", "near", "distance").distinct()
 
 
-ROWS_PER_RUN, MAX_RUNS = 16_384, 100_000
+ROWS_PER_RUN, MAX_RUNS = 4_096, 100_000
 
 
 def _in_runs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
