@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15 | 1
 _ODD_INVERSE = pow(_ODD, -1, 1 << 64)
 

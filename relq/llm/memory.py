@@ -7,9 +7,12 @@ drops them, so that a worker never holds the memos of several operators.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Hashable
 
+import pyarrow as pa
+
 _held: dict[Hashable, object] = {}
 
 
@@ -22,7 +25,14 @@ def only(key: Hashable, make: Callable[[], object]) -> object:
 
 
 def drop() -> None:
-    """Let go of what is held."""
+    """Let go of what is held, and hand freed memory back to the system: the
+    allocators of C and Arrow would keep it for this process."""
     if _held:
         _held.clear()
         gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only

@@ -33,7 +33,7 @@ SEQUENCE = 4096
 OPEN_LIMIT = 8192
 DOCS_PER_GROUP = 16_384
 END_ID = 1
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 400_000
 _RUN = 400  # words encoded in one call
 
 
