@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import slices
-from .memory import drop
+from .memory import drop, tidy
 from .staging import staged
 
 MEMORY_BYTES = 64 << 20
@@ -153,6 +153,7 @@ def _first(rows: list[tuple]) -> tuple:
     return min(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
+@tidy
 def _within_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     drop()
 
@@ -173,6 +174,7 @@ def _within_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batches(rows(), _LOCAL, 7)
 
 
+@tidy
 def _across_tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def records():
         for part in slices(batches, "content"):
@@ -225,8 +227,8 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     numbered = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.monotonically_increasing_id().alias("rid"))
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema)) + ", rid long, h long"
-    leaders = numbered.mapInArrow(staying, schema)
-    kept = leaders.repartition("h").mapInArrow(staying, schema)
+    leaders = numbered.mapInArrow(tidy(staying), schema)
+    kept = leaders.repartition("h").mapInArrow(tidy(staying), schema)
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 

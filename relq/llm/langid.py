@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import column_bytes, slices
-from .memory import drop
+from .memory import drop, tidy
 
 WINDOW = 192
 STATE = 8
@@ -229,7 +229,7 @@ def predict(df: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
             yield pa.record_batch({"id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()), "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score, pa.float64())})
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), SCHEMA).withColumnRenamed("id", id_col)
 
 
 MIN_SCORE = 0.35
@@ -257,7 +257,7 @@ def accepted(df: DataFrame, net: Network, text_col: str = "text", least: float =
             lang, score = judge(shared.value, part.column(text_col))
             yield part.filter(pa.array([x != "und" and s >= least for x, s in zip(lang, score)]))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

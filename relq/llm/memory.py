@@ -8,6 +8,7 @@ drops them, so that a worker never holds the memos of several operators.
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 from collections.abc import Callable, Hashable
 
@@ -26,13 +27,31 @@ def only(key: Hashable, make: Callable[[], object]) -> object:
 
 def drop() -> None:
     """Let go of what is held, and hand freed memory back to the system: the
-    allocators of C and Arrow would keep it for this process."""
+    allocators of C and Arrow would keep it for this process, which may stay
+    idle for long."""
     if _held:
         _held.clear()
         gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Hand freed memory back."""
     pa.default_memory_pool().release_unused()
     if _trim is not None:
         _trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task's function that hands freed memory back when the task ends."""
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return tidied
+
+
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only

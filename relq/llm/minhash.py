@@ -43,7 +43,7 @@ from relq.operators.joins import aggregated_join
 
 from .arrays import LOWER, NOT_SPACE, Words, column_bytes, mix, slices
 from .components import connected_components
-from .memory import drop
+from .memory import drop, tidy
 from .staging import staged
 
 SHINGLE = 5
@@ -126,6 +126,7 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _SKETCH = "rid long, doc_id long, body long, n_shingles long, leader long, keyed binary, bands array<long>, signature binary"
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     drop()
     leaders: dict[bytes, int] = {}  # of this task's distinct sets
@@ -244,7 +245,7 @@ def _estimated(share: int):
                 if len(pairs):
                     yield _edges(cid[pairs[:, 0]], cid[pairs[:, 1]])
 
-    return run
+    return tidy(run)
 
 
 def _confirmed(share: int):
@@ -266,9 +267,10 @@ def _confirmed(share: int):
                 if len(pairs):
                     yield _edges(cid[pairs[:, 0]], cid[pairs[:, 1]])
 
-    return run
+    return tidy(run)
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         own = distinct_sets(*shingles(*column_bytes(part.column("text"))))

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 from relq.operators.joins import aggregated_join
 
 from .arrays import column_bytes, mix, prefix_hash, slices, span_hash
-from .memory import drop
+from .memory import drop, tidy
 from .staging import staged
 
 LENGTH = 400
@@ -52,7 +52,7 @@ WINDOW = LENGTH - GRAM + 1
 HOT = 4096
 RUN_BYTES = 24 << 20
 RANGE_BYTES = 8 << 20
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 _PLACE = np.uint64((1 << 31) - 1)
 _TWIN = np.uint64(0x2545F4914F6CDD1D)
 
@@ -91,6 +91,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 _SKETCH = "rid long, doc_id long, body long, n_bytes long, whole string, leader long, grams array<long>"
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     drop()
     leaders: dict[bytes, int] = {}  # of this task's distinct texts
@@ -319,7 +320,7 @@ def _runs(ranges: int):
                 yield from out.flush()
         yield from out.flush()
 
-    return run
+    return tidy(run)
 
 
 def _repeats(members: list[tuple[int, bytes, bytes, int, int]]) -> pa.RecordBatch | None:
@@ -407,6 +408,7 @@ def _merged_hot(runs: list[bytes]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"cid": pa.array(cid, pa.int64()), "first": pa.array(first, pa.int64()), "last": pa.array(last, pa.int64())})
 
 
+@tidy
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def one(key, runs):
         return _merged_hot(runs) if key[1] else _merged(runs)
@@ -434,6 +436,7 @@ def _covered(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+@tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
         rows = []
