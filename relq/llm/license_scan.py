@@ -1,9 +1,15 @@
-"""License scans: an exact set-similarity join of text blocks with templates.
+"""License scans: an exact set-similarity join of text spans with templates.
 
-A block is a line of a text, as the set of its words; a template is the set of
-words of a license notice.  Every (block, template) pair in which the block
-holds at least ``THRESHOLD`` of the template's words is found, by built-in
-functions and joins only:
+A template is the set of words of a license notice; a span is a run of words
+of a text, wherever its lines break, a quarter longer than the notice
+(``width``).  Every template of which some span of a text holds at least
+``THRESHOLD`` of the words is found (``similar_spans``, what the query runs),
+by built-in functions and joins only: the spans around each word of a
+template's prefix (below) are counted in full.
+
+``similar_blocks`` takes single lines for spans, however long they are; it is
+the rule of ``oracle_sql`` and misses notices that are wrapped.  Both rules
+give the same on texts whose notices stand on one line each.  Its filters:
 
 * template words are ordered by how many texts of the corpus hold them, rare
   ones first, counted over all rows;
@@ -27,6 +33,7 @@ and score 0; repeated rows are scanned each for itself; ties don't arise.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -115,13 +122,47 @@ def similar_blocks(docs: DataFrame, templates: list[tuple[str, str]], order: lis
             .where(shared >= F.col("need")).select(*keys, "template", (shared / F.col("size")).alias("score")))
 
 
-def scan(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def width(text: str) -> int:
+    """Words of a span: those of the notice and room for what stands between
+    them (comment marks that are words, a name)."""
+    n = len(text.split())
+    return n + max(2, n // 4)
+
+
+def similar_spans(docs: DataFrame, templates: list[tuple[str, str]], order: list[str], threshold: float, keys: list[str]) -> DataFrame:
+    """(keys, template, score) of all templates of which a span of the text
+    reaches the threshold, with the best span around each prefix word;
+    ``docs`` has the keys and ``words``."""
+    rank = {w: i for i, w in enumerate(order)}
+    index = []
+    for number, (_, text) in enumerate(templates):
+        own = sorted(set(text.split()), key=rank.__getitem__)
+        need = math.ceil(threshold * len(own) - 1e-9)
+        index += [(word, number, own, need, width(text)) for word in own[:len(own) - need + 1]]
+    prefix = docs.sparkSession.createDataFrame(index, "word string, template int, own array<string>, need int, width int")
+    starters, widest = sorted({w for w, *_ in index}), max(width(t) for _, t in templates)
+
+    def hit(word: Column, i: Column) -> Column:
+        before = F.least(i, F.lit(widest - 1))
+        return F.when(word.isin(starters), F.struct(word.alias("word"), before.alias("before"), F.slice("words", i - before + 1, before + widest).alias("around")))
+
+    hits = docs.where(F.arrays_overlap("words", _strings(starters))).select(*keys, F.explode(F.array_compact(F.transform("words", hit))).alias("hit")).select(*keys, "hit.*")
+    before = F.least(F.col("before"), F.col("width") - 1)
+    near = hits.join(F.broadcast(prefix), "word").withColumn("near", F.slice("around", F.col("before") - before + 1, before + F.col("width")))
+    near = near.where(F.size(F.array_intersect("near", "own")) >= F.col("need")).select(*keys, "template", "near", "own", "need", "width")
+    spans = F.transform(F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("width") + 1, F.lit(1))), lambda at: F.slice("near", at, F.col("width")))
+    shared = F.array_max(F.transform(spans, lambda span: F.size(F.array_intersect(span, "own"))))
+    return near.withColumn("shared", shared).where(F.col("shared") >= F.col("need")).select(*keys, "template", (F.col("shared") / F.size("own")).alias("score"))
+
+
+def scan(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+         similar: Callable[..., DataFrame] = similar_blocks) -> DataFrame:
     """One row for each row of ``df``: words, places of base phrases, labels."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), lowered(F.col(text_col)).alias("lowered"))
     rows = rows.select("id", F.xxhash64("lowered").alias("body"), "lowered", _words(F.col("lowered")).alias("words"))
     order = frequency_order(rows, templates)
     label = F.array(*[F.lit(name) for name, _ in templates])
-    matched = (similar_blocks(rows, templates, order, threshold, ["id", "body"])
+    matched = (similar(rows, templates, order, threshold, ["id", "body"])
                .groupBy("id", "body").agg(F.collect_set(F.get(label, F.col("template"))).alias("method"), F.max("score").alias("method_score")))
 
     blank = F.when(F.get("words", F.lit(0)) == "", 1).otherwise(0) + F.when((F.size("words") > 1) & (F.element_at("words", -1) == ""), 1).otherwise(0)
@@ -141,7 +182,7 @@ def scan(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold:
 
 
 def oracle_sql() -> str:
-    """The scan's result as SQL that pairs every line with every template."""
+    """The result of the scan by lines as SQL that pairs every line with every template."""
     def strings(values) -> str:
         return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 

@@ -41,7 +41,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(_documents(spark, sf_dir))
+    return license_scan.scan(_documents(spark, sf_dir), similar=license_scan.similar_spans)
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

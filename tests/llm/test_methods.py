@@ -116,6 +116,51 @@ def test_license_blocks_equal_brute_force(spark):
         assert got[i] == (",".join(sorted(labels)), score), text
 
 
+WRAPPED = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"),
+    ("bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that"),
+    ("mpl", "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of the MPL was not distributed"),
+    ("gpl", "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation, either version 3"),
+]
+
+
+def _licenses(spark, folder, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in queries.REGISTRY["op5_license_scan"](spark, str(folder)).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_wrapped_license_notices(spark, tmp_path):
+    prose = "some words of the text that go on\n" * 50
+    texts = [around + text + after for _, text in WRAPPED for around, after in (("", ""), (prose, "\n" + prose))]
+    assert _licenses(spark, tmp_path, texts) == [(label, 1.0) for label, _ in WRAPPED for _ in range(2)]
+
+
+def test_license_spans_equal_brute_force(spark, tmp_path):
+    rng = random.Random(5)
+    vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()}) + ["other"]
+    texts = []
+    for _ in range(80):
+        words = []
+        for _ in range(rng.randint(0, 3)):
+            words += rng.choices(vocabulary, k=rng.randint(0, 12))
+            words += [w for w in rng.choice(license_scan.TEMPLATES)[1].split() for w in [w] * (rng.random() < 0.9) + ["other"] * (rng.random() < 0.1)]
+        texts.append("".join(w + rng.choice([" ", ", ", "\n"]) for w in words))
+    for text, (labels, score) in zip(texts, _licenses(spark, tmp_path, texts)):
+        words, want, best = text.replace(",", " ").split(), set(), 0.0
+        for phrase, label in license_scan.BASE.items():
+            if f" {phrase} " in f" {' '.join(words)} ":
+                want, best = want | {label}, 1.0
+        for label, template in license_scan.TEMPLATES:
+            own, n = set(template.split()), license_scan.width(template)
+            for at in range(len(words)):
+                shared = len(own & set(words[at:at + n]))
+                if shared >= math.ceil(license_scan.THRESHOLD * len(own) - 1e-9):
+                    want, best = want | {label}, max(best, shared / len(own))
+        assert (labels, score) == (",".join(sorted(want)), best), text
+
+
 def test_network_gradients_and_held_out_accuracy(spark):
     net = langid.Network(["a", "b", "c"], 3)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
