@@ -3,9 +3,11 @@
 A template is the set of words of a license notice; a span is a run of words
 of a text, wherever its lines break, a quarter longer than the notice
 (``width``).  Every template of which some span of a text holds at least
-``THRESHOLD`` of the words is found (``similar_spans``, what the query runs),
+``THRESHOLD`` of the words, and among them the licence's name where the notice
+has one (``NAMES``, its words one after the other), is found (``similar_spans``, what the query runs),
 by built-in functions and joins only: the spans around each word of a
-template's prefix (below) are counted in full.
+template's prefix (below), or around the rarest word of its name, are counted
+in full.
 
 ``similar_blocks`` takes single lines for spans, however long they are; it is
 the rule of ``oracle_sql`` and misses notices that are wrapped.  Both rules
@@ -56,6 +58,9 @@ TEMPLATES = [
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
+# What a notice must not lack: without it, most of the words name another licence
+# (GNU's lesser and Affero licences are not gpl; cc-by is all that starts with CC BY).
+NAMES = ["mit", "apache", "gnu general public license", "creative commons attribution", "cc by", "mozilla public license"]
 
 
 def lowered(text: Column) -> Column:
@@ -129,6 +134,11 @@ def width(text: str) -> int:
     return n + max(2, n // 4)
 
 
+def name_of(text: str) -> str:
+    """The licence's name in a notice; empty if it has none."""
+    return next((name for name in NAMES if f" {name} " in f" {text} "), "")
+
+
 def similar_spans(docs: DataFrame, templates: list[tuple[str, str]], order: list[str], threshold: float, keys: list[str]) -> DataFrame:
     """(keys, template, score) of all templates of which a span of the text
     reaches the threshold, with the best span around each prefix word;
@@ -138,8 +148,10 @@ def similar_spans(docs: DataFrame, templates: list[tuple[str, str]], order: list
     for number, (_, text) in enumerate(templates):
         own = sorted(set(text.split()), key=rank.__getitem__)
         need = math.ceil(threshold * len(own) - 1e-9)
-        index += [(word, number, own, need, width(text)) for word in own[:len(own) - need + 1]]
-    prefix = docs.sparkSession.createDataFrame(index, "word string, template int, own array<string>, need int, width int")
+        name = name_of(text)
+        first = [min(name.split(), key=rank.__getitem__)] if name else own[:len(own) - need + 1]
+        index += [(word, number, own, need, width(text), f" {name} " if name else "") for word in first]
+    prefix = docs.sparkSession.createDataFrame(index, "word string, template int, own array<string>, need int, width int, name string")
     starters, widest = sorted({w for w, *_ in index}), max(width(t) for _, t in templates)
 
     def hit(word: Column, i: Column) -> Column:
@@ -149,9 +161,10 @@ def similar_spans(docs: DataFrame, templates: list[tuple[str, str]], order: list
     hits = docs.where(F.arrays_overlap("words", _strings(starters))).select(*keys, F.explode(F.array_compact(F.transform("words", hit))).alias("hit")).select(*keys, "hit.*")
     before = F.least(F.col("before"), F.col("width") - 1)
     near = hits.join(F.broadcast(prefix), "word").withColumn("near", F.slice("around", F.col("before") - before + 1, before + F.col("width")))
-    near = near.where(F.size(F.array_intersect("near", "own")) >= F.col("need")).select(*keys, "template", "near", "own", "need", "width")
+    near = near.where(F.size(F.array_intersect("near", "own")) >= F.col("need")).select(*keys, "template", "near", "own", "need", "width", "name")
     spans = F.transform(F.sequence(F.lit(1), F.greatest(F.size("near") - F.col("width") + 1, F.lit(1))), lambda at: F.slice("near", at, F.col("width")))
-    shared = F.array_max(F.transform(spans, lambda span: F.size(F.array_intersect(span, "own"))))
+    named = F.filter(spans, lambda span: F.concat(F.lit(" "), F.array_join(span, " "), F.lit(" ")).contains(F.col("name")))
+    shared = F.array_max(F.transform(named, lambda span: F.size(F.array_intersect(span, "own"))))
     return near.withColumn("shared", shared).where(F.col("shared") >= F.col("need")).select(*keys, "template", (F.col("shared") / F.size("own")).alias("score"))
 
 

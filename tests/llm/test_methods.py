@@ -137,6 +137,18 @@ def test_wrapped_license_notices(spark, tmp_path):
     assert _licenses(spark, tmp_path, texts) == [(label, 1.0) for label, _ in WRAPPED for _ in range(2)]
 
 
+def test_notices_of_other_licenses(spark, tmp_path):
+    far = "released " + "word " * 3000 + "under " + "word " * 3000 + "the mit " + "word " * 3000 + "license"
+    texts = {
+        "Released under the Apache License": "apache", "released under the BSD license": "", far: "", "Released under the new license": "",
+        "Licensed under the Mozilla Public License, Version 2.0": "", "Licensed under the Educational Community License, Version 2.0": "",
+        "This work is licensed under the Eclipse Public License, version 3.": "", "This work is licensed under the GNU Affero General Public License, version 3.": "",
+        "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0": "",
+        "it is released under MIT license terms": "mit", "Licensed under the Apache License,\nVersion 2.0": "apache", "Released under\nthe MIT\nLicense.": "mit",
+    }
+    assert [labels for labels, _ in _licenses(spark, tmp_path, list(texts))] == list(texts.values())
+
+
 def test_license_spans_equal_brute_force(spark, tmp_path):
     rng = random.Random(5)
     vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()}) + ["other"]
@@ -156,7 +168,8 @@ def test_license_spans_equal_brute_force(spark, tmp_path):
             own, n = set(template.split()), license_scan.width(template)
             for at in range(len(words)):
                 shared = len(own & set(words[at:at + n]))
-                if shared >= math.ceil(license_scan.THRESHOLD * len(own) - 1e-9):
+                named = license_scan.name_of(template) == "" or f" {license_scan.name_of(template)} " in f" {' '.join(words[at:at + n])} "
+                if named and shared >= math.ceil(license_scan.THRESHOLD * len(own) - 1e-9):
                     want, best = want | {label}, max(best, shared / len(own))
         assert (labels, score) == (",".join(sorted(want)), best), text
 
