@@ -4,14 +4,18 @@ A page is read as a sequence of words and tags.  Every token has a score: what
 its kind (word or tag) says, plus what the containers that it stands in say
 (``article``, ``nav``, an element whose class names an advert, ...).  A linear
 scan finds the contiguous run of tokens with the largest sum: the content
-region.  Text of containers that speak against content is left out (such a
-container costs the region about as much as one bad tag, however long it is),
-and the rest is joined block by block.
+region.  Text whose nearest container speaks against content is left out (such
+a container costs the region about as much as one bad tag, however long it
+is), and the rest is joined block by block.  An ``article`` in a ``form`` is
+thus content, an advert in an ``article`` is not.  A container around nearly
+all of a page's prose (``frames``: a form around the whole page, a
+``content-sidebar-wrap``) says nothing.
 
 Scores are log odds counted on labelled pages: those that mark their article
 themselves (``article`` or ``main`` elements).  Spark counts words and tags
-inside and outside of the marked element over all labelled rows; a container
-starts with the fixed prior counts below, so names that no labelled page has
+inside and outside of the marked element over all labelled rows, where the
+nearest container decides as well, so a name that stands around marked content
+more often than not speaks for content; a container starts with the fixed prior counts below, so names that no labelled page has
 still mean something.  Only these counts (one row for each known container
 name) reach the driver.
 
@@ -50,6 +54,8 @@ KNOWN_TAGS = BLOCK_TAGS | INLINE_TAGS
 CLOSED_BY_SIBLING = {"p": BLOCK_TAGS, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
                      "tr": frozenset({"tr"}), "td": frozenset({"td", "th", "tr"}), "th": frozenset({"td", "th", "tr"}), "option": frozenset({"option"})}
 
+FRAMES = AGAINST_WORDS | {"<form>"}  # names that can stand around a whole page
+FRAME_SHARE, PROSE = 10, 10  # words in a frame for one outside; least words of a block of prose
 PRIOR_WORDS = 20.0
 LARGEST = 3.0
 LEAST, LARGEST_TAG, LEAST_WORD = 0.1, 1.0, 0.5  # containers say more than a single tag
@@ -69,8 +75,9 @@ def containers(tag: str, attributes: str) -> tuple[str, ...]:
 
 def tokens(page: str):
     """(kind, text or tag, containers, hidden) of each token: kind is ``text``,
-    ``block`` (a tag at which a block ends) or ``tag`` (any other tag)."""
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    ``block`` (a tag at which a block ends) or ``tag`` (any other tag);
+    containers are (place in the page, names), the outermost first."""
+    stack: list[tuple[str, tuple[tuple[int, tuple[str, ...]], ...], bool]] = []
     at = 0
     while at < len(page):
         m = _TOKEN.match(page, at)
@@ -97,7 +104,8 @@ def tokens(page: str):
                     break
             held, hidden = (stack[-1][1], stack[-1][2]) if stack else ((), False)
             if tag not in VOID_TAGS and not attributes.rstrip().endswith("/"):
-                stack.append((tag, held + containers(tag, attributes), hidden or tag in HIDDEN_TAGS))
+                own = containers(tag, attributes)
+                stack.append((tag, (*held, (at, own)) if own else held, hidden or tag in HIDDEN_TAGS))
             if tag in RAW_TAGS:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
@@ -105,6 +113,18 @@ def tokens(page: str):
         yield kind, f"{tag}/" if tag in KNOWN_TAGS else "tag/", (stack[-1][1] if stack else ()), hidden
 
 
+def _marked(held) -> bool:
+    """Whether the nearest container marks content; one that says both (an
+    ``article`` with a comment's class) leaves it to those around it."""
+    both = False
+    for _, names in reversed(held):
+        content = names[0][1:-1] in CONTENT_TAGS
+        if not content or len(names) == 1:
+            return content
+        both = True
+    return both
+
+
 def counts(page: str) -> dict[tuple[str, bool], int]:
     """Words and tags, all in all and by container, inside and outside of the
     marked content; nothing for a page that marks none."""
@@ -113,14 +133,13 @@ def counts(page: str) -> dict[tuple[str, bool], int]:
     for kind, text, held, hidden in tokens(page):
         if hidden:
             continue
-        # text in a container against content is outside even where it is nested
-        inside = any(h[1:-1] in CONTENT_TAGS for h in held)
-        marked |= inside
-        inside &= not any(h[1:-1] in AGAINST_TAGS or h in AGAINST_WORDS for h in held)
+        marked |= any(h[1:-1] in CONTENT_TAGS for _, names in held for h in names)
+        inside = _marked(held)
         if kind == "text":
             n = len(text.split())
             if n:
-                for key in ("word", *set(held)):
+                # classes of a content element say nothing about containers
+                for key in {"word", *(h for _, names in held for h in (names[:1] if names[0][1:-1] in CONTENT_TAGS else names))}:
                     out[key, inside] = out.get((key, inside), 0) + n
         else:
             out[text, inside] = out.get((text, inside), 0) + 1
@@ -140,23 +159,82 @@ def weights(found: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+def frames(found: list, weight: dict[str, float]) -> frozenset[int]:
+    """Places of the containers that speak against content but stand around
+    nearly all of the page, from outside in: every container that speaks for
+    content is inside, and there is ``FRAME_SHARE`` times as much prose (blocks
+    of ``PROSE`` words) inside as there are words that stand in none."""
+    block, texts, size = 0, [], {}
+    chains: dict[tuple, tuple[int, ...] | None] = {}  # by containers: those against, None if one can't be a frame
+    allowed: set[int] | None = None
+    for kind, text, held, hidden in found:
+        if kind == "block":
+            block += 1
+        if hidden:
+            continue
+        if held not in chains:
+            can, own = True, []
+            for at in range(len(held) - 1, -1, -1):
+                place, names = held[at]
+                value = sum(weight[h] for h in names)
+                if value > LEAST:
+                    outer = {place for place, _ in held[:at]}
+                    allowed = outer if allowed is None else allowed & outer
+                    break
+                if value < -LEAST:
+                    own.append(place)
+                    can &= FRAMES.issuperset(names)
+            chains[held] = tuple(reversed(own)) if can else None
+        if kind == "text":
+            n = len(text.split())
+            texts.append((block, chains[held], n))
+            size[block] = size.get(block, 0) + n
+    prose: dict[tuple[int, ...], int] = {}
+    free = 0
+    for block, chain, n in texts:
+        if chain == ():
+            free += n
+        elif chain is not None and size[block] >= PROSE:
+            prose[chain] = prose.get(chain, 0) + n
+    around: set[int] = set()
+    while True:
+        outside, within = free, {}
+        for chain, n in prose.items():
+            first = next((place for place in chain if place not in around), None)
+            if first is None:
+                outside += n
+            elif allowed is None or first in allowed:
+                within[first] = within.get(first, 0) + n
+        most = max(within, key=within.__getitem__, default=None)
+        if most is None or within[most] <= FRAME_SHARE * outside:
+            return frozenset(around)
+        around.add(most)
+
+
 def main_text(page: str, weight: dict[str, float]) -> str:
     """The main text of a page."""
     best, best_span, total, start = 0.0, None, 0.0, 0
-    pieces: list[tuple[int, str, bool]] = []  # block, text, whether a container speaks against it
+    pieces: list[tuple[int, str, bool]] = []  # block, text, whether its nearest container speaks against it
     block, was_against = 0, False
-    for kind, text, held, hidden in tokens(page):
+    found = list(tokens(page))
+    around = frames(found, weight)
+    stands: dict[tuple, tuple[bool, float]] = {}  # by containers: against, what they say otherwise
+    for kind, text, held, hidden in found:
         if kind == "block":
             block += 1
         if hidden:
             continue
-        against = any(weight[h] < 0 for h in held)
+        if held not in stands:
+            values = [sum(weight[h] for h in names) for place, names in held if place not in around]
+            nearest = next((v for v in reversed(values) if abs(v) > LEAST), 0.0)
+            stands[held] = nearest < 0, sum(v for v in values if v > 0)
+        against, said = stands[held]
         if kind == "text":
             pieces.append((block, text, against))
         if against:  # its words are left out; the whole container counts about as one bad tag
             gain = (0.0 if kind == "text" else -LEAST) - (0.0 if was_against else LARGEST_TAG)
         else:
-            gain = weight["word" if kind == "text" else text] + sum(weight[h] for h in held)
+            gain = weight["word" if kind == "text" else text] + said
             gain *= len(html.unescape(text).split()) if kind == "text" else 1
         was_against = against
         if total <= 0:

@@ -341,6 +341,42 @@ def test_main_text_of_pages_without_article():
         "A second paragraph that goes on for a while, with many more words in it.\nan item of the list")
 
 
+ARTICLE = "<h1>Heading of it</h1><p>First a paragraph of many words, long enough to count as content.</p><p>And then a second one that goes on for a while, with some more words.</p>"
+PLAIN = "Heading of it\nFirst a paragraph of many words, long enough to count as content.\nAnd then a second one that goes on for a while, with some more words."
+NAV = "<nav><a href=/>Home</a> <a href=/x>About</a></nav>"
+SIDE = "<div class=sidebar><p>Most read of all our pages this week</p></div>"
+
+
+@pytest.mark.parametrize("body", [
+    f"<form id=aspnetForm>{NAV}{ARTICLE}<footer>All rights reserved</footer></form>",
+    f"{NAV}<div class=content-sidebar-wrap><div>{ARTICLE}</div>{SIDE}</div>",
+    f"<form id=aspnetForm>{NAV}<div class='content-sidebar-wrap'><main>{ARTICLE}</main>{SIDE}</div></form>",
+    f"<form>{NAV}<div class=content-sidebar-wrap><div>{ARTICLE}</div>{SIDE}</div></form>",
+    f"{NAV}<div class='post no-sidebar'>{ARTICLE}</div>{SIDE}",
+    f"{NAV}<article class='post no-sidebar'>{ARTICLE}<div class=ad>Buy this now and then buy it again, it is so very good</div></article>{SIDE}",
+    f"{NAV}<main class=search-results>{ARTICLE}</main>",
+    f"<main>{ARTICLE}</main><div id=comments><article class=comment-body><p>First of all the comments, and one that has many words in it!</p></article></div>",
+])
+def test_main_text_in_frames(body):
+    assert html_main.main_text(f"<html><body>{body}</body></html>", html_main.weights({})) == PLAIN
+
+
+def test_login_form_adverts_and_comments_are_no_frames():
+    weight = html_main.weights({})
+    assert html_main.main_text(f"<body>{NAV}<form>Your name <input> Your password <input></form></body>", weight) == ""
+    advert = "<div class=ad>Buy this now and then buy it again, it is so very good</div>"
+    assert html_main.main_text(f"<body>{NAV}{advert}<article><h1>Short text</h1></article></body>", weight) == "Short text"
+    assert html_main.main_text(f"<body>{NAV}{advert}<article></article></body>", weight) == ""
+    comments = "<p>One of the many comments on this page, each as long as this.</p>" * 9
+    assert html_main.main_text(f"<body><div>{ARTICLE}</div><div id=comments>{comments}</div></body>", weight) == PLAIN
+
+
+def test_names_around_marked_content_learn_to_speak_for_it(spark):
+    pages = spark.createDataFrame([(f"<body><form>{NAV}<article>{ARTICLE}</article></form>{SIDE}</body>",)] * 20, "html string")
+    weight = html_main.learn(pages)
+    assert weight["<form>"] > 0 > weight["sidebar"] and weight["<nav>"] < 0
+
+
 def _without_repeats(texts: dict) -> dict:
     seen: dict[bytes, list] = {}
     raw = {i: t.encode() for i, t in texts.items()}
