@@ -24,7 +24,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.compare_neighbours(_documents(spark, sf_dir))
+    return simhash.with_lookups(simhash.compare_neighbours(_documents(spark, sf_dir)))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ never depends on other rows.
 ``near_pairs`` finds all fingerprints within a Hamming radius k by permuted
 block tables: with the bits cut into k + 2 blocks, two fingerprints within
 the radius agree on at least two whole blocks, so joining one table for each
-choice of two blocks loses none.
+choice of two blocks loses none.  ``with_lookups`` looks up every
+``LOOKUP_EVERY``-th id among the fingerprints of all rows, within ``RADIUS``
+bits (few edited words of a long text; 10 tables).
 """
 
 from __future__ import annotations
@@ -27,10 +29,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from relq.operators.joins import aggregated_join
+
 from .arrays import LOWER, NOT_SPACE, SLICE_BYTES, Words, column_bytes, mix, slices
+from .staging import staged
 
 BITS = 128
 MAX_WEIGHT = 24
+RADIUS, LOOKUP_EVERY = 3, 20
 _EDGE = np.uint64(0x5851F42D4C957F2D)
 _LEFT = np.uint64(0xD6E8FEB86659FD93)
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -94,14 +100,15 @@ def near_pairs(queries: DataFrame, prints: DataFrame, radius: int, column: str =
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
         cut = [F.substring(name, edge[i] + 1, edge[i + 1] - edge[i]) for i in range(blocks)]
-        keys = F.array(*[F.concat_ws("|", F.lit(f"{i}-{j}"), cut[i], cut[j]) for i, j in tables])
-        return df.select(name, F.explode(keys).alias("block"))
+        # hashes and raw bytes: half of what the strings would shuffle; distances are compared in full
+        keys = F.array(*[F.xxhash64(F.lit(f"{i}-{j}"), cut[i], cut[j]) for i, j in tables])
+        return df.select(F.unhex(name).alias(name), F.explode(keys).alias("block"))
 
     a = queries.select(F.col(column).alias("fingerprint")).where(F.col("fingerprint").isNotNull()).distinct()
     b = prints.select(F.col(column).alias("near")).where(F.col("near").isNotNull()).distinct()
     apart = sum((F.bit_count(F.conv(F.substring("fingerprint", i, 8), 16, 10).cast("long").bitwiseXOR(
         F.conv(F.substring("near", i, 8), 16, 10).cast("long"))) for i in range(1, BITS // 4, 8)), F.lit(0))
-    pairs = keyed(a, "fingerprint").join(keyed(b, "near"), "block").withColumn("distance", apart)
+    pairs = keyed(a, "fingerprint").join(keyed(b, "near"), "block").select(F.lower(F.hex("fingerprint")).alias("fingerprint"), F.lower(F.hex("near")).alias("near")).withColumn("distance", apart)
     return pairs.where(F.col("distance") <= radius).select("fingerprint", "near", "distance").distinct()
 
 
@@ -189,3 +196,15 @@ def compare_neighbours(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     out = _in_runs(df, id_col, text_col).select("id", "text", "extra").mapInArrow(run, SCHEMA)
     return out.withColumnRenamed("doc_id", id_col)
+
+
+def with_lookups(compared: DataFrame, id_col: str = "doc_id", radius: int = RADIUS, every: int = LOOKUP_EVERY) -> DataFrame:
+    """``compared`` and ``n_within``: for ids that ``every`` divides, how many
+    other distinct fingerprints of all rows are within ``radius`` bits of the
+    row's own; null for other ids."""
+    rows = staged(compared, "simhash")  # read for lookups, tables and the result
+    asked = F.coalesce(F.col(id_col) % every == 0, F.lit(False))
+    pairs = near_pairs(rows.where(asked), rows, radius).where("distance > 0")
+    found = pairs.groupBy(F.col("fingerprint").alias("near_of")).agg(F.count("*").alias("n_within"))
+    own = aggregated_join(rows.where(asked), found, "fingerprint", "near_of", how="left").drop("near_of")
+    return own.withColumn("n_within", F.coalesce("n_within", F.lit(0).cast("long"))).unionByName(rows.where(~asked).withColumn("n_within", F.lit(None).cast("long")))

@@ -30,6 +30,21 @@ def test_near_pairs_equal_brute_force(spark):
     assert got == want
 
 
+def test_simhash_query_looks_up_all_fingerprints(spark, tmp_path):
+    rng = random.Random(4)
+    long = [" ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(600)) for _ in range(6)]
+    texts = [t + f" x{k}" * (k > 0) for t in long for k in range(20)] + [None, "", long[0], long[0]]
+    rng.shuffle(texts)
+    spark.createDataFrame([*enumerate(texts), (None, long[0])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.REGISTRY["op1_simhash"](spark, str(tmp_path)).collect()
+    prints = {int(r["fingerprint"], 16) for r in got}
+    assert len(got) == len(texts) + 1 and sum(r["n_within"] or 0 for r in got) > 0
+    for r in got:
+        own = int(r["fingerprint"], 16)
+        want = sum(0 < (own ^ p).bit_count() <= simhash.RADIUS for p in prints) if r["doc_id"] is not None and r["doc_id"] % 20 == 0 else None
+        assert r["n_within"] == want
+
+
 def test_likeness_follows_the_edit():
     rng = random.Random(1)
     texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(200)) for _ in range(30)]
