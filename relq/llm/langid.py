@@ -9,7 +9,10 @@ the means over all its positions.
 The network is trained in numpy by backpropagation through time on a bounded
 sample of labelled rows (``SAMPLE_ROWS`` for each language at most, the ones
 with the smallest hash; ``SPAN`` bytes of each), in ``STEPS`` batches that hold
-as many windows of each language.  Gates are piecewise linear (cheap to
+as many windows of each language.  Languages may be any number: from 65 on each
+has fewer rows, so that the sample has ``SAMPLE_TOTAL`` (one row of each at
+least), and from ``BATCH + 1`` on a batch holds a random choice of them, with
+as many more steps.  Gates are piecewise linear (cheap to
 evaluate for every byte of a corpus).  Prediction runs over
 whole texts.
 
@@ -37,8 +40,8 @@ TRAIN_WINDOW, SPAN = 64, 256
 STEPS = 320
 BATCH = 128
 RATE = 0.015
-MAX_LANGUAGES = 64
-_LANES = 2048  # windows evaluated side by side
+SAMPLE_TOTAL = 64 * SAMPLE_ROWS
+_LANES, _CELLS = 2048, 64 * 2048  # windows evaluated side by side; windows times languages
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
@@ -144,10 +147,12 @@ def train(windows: list[bytes], label: list[str], seed: int = 7) -> Network:
     of_language = [np.flatnonzero(y == i) for i in range(len(languages))]
     share = max(1, BATCH // len(languages))
     rng, first, second = np.random.default_rng(seed), {}, {}
-    for step in range(1, STEPS + 1):
-        own = np.concatenate([rng.choice(rows, share) for rows in of_language])
+    steps = STEPS * -(-len(languages) // BATCH)
+    for step in range(1, steps + 1):
+        drawn = of_language if len(languages) <= BATCH else [of_language[i] for i in rng.choice(len(languages), BATCH, replace=False)]
+        own = np.concatenate([rng.choice(rows, share) for rows in drawn])
         _, grad = net.gradients(x[:, own], y[own])
-        rate = RATE * (1 - step / (STEPS + 1))
+        rate = RATE * (1 - step / (steps + 1))
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
         for k, g in grad.items():
             g = g * min(1.0, 1.0 / (norm + 1e-9))
@@ -167,8 +172,9 @@ def document_scores(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.n
     length = np.minimum(WINDOW, offsets[1:][doc] - start)
     out = np.zeros((len(size), len(net.languages)), np.float64)
     order = np.argsort(-length, kind="stable")  # short last windows side by side
-    for at in range(0, len(order), _LANES):
-        own = order[at:at + _LANES]
+    lanes = max(1, min(_LANES, _CELLS // max(1, len(net.languages))))
+    for at in range(0, len(order), lanes):
+        own = order[at:at + lanes]
         steps = int(length[own].max())
         # a short window is repeated cyclically: no byte outside of the text is read
         step = np.arange(steps)[:, None] % length[own]
@@ -187,22 +193,24 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     texts with the smallest hash, ``SPAN`` bytes of each (at a place that the
     hash says), cut into windows of ``TRAIN_WINDOW`` (a shorter one is
     repeated).  Twice as many rows are expected to reach the driver, whatever
-    the table's size: those whose hash is below a bound set by row counts."""
+    the table's size: those whose hash is below a bound set by row counts.
+    Besides, one count for each language does."""
     rows = learning_rows(df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")), "id", "lang")
-    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(count) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    below = F.lit(-1)
-    for language, n in count.items():
-        below = F.when(F.col("lang") == language, F.lit(min(1 << 62, int((1 << 62) * 2 * SAMPLE_ROWS / n)))).otherwise(below)
-    low = rows.where(F.length("text") > 0).withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("h"), F.lit(1 << 62)) < below)
+    place = F.pmod(F.xxhash64(F.xxhash64("text")), F.lit(1 << 62))
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.when(F.length("text") > 0, place)).alias("least")).collect()
+    most = min(SAMPLE_ROWS, max(1, SAMPLE_TOTAL // max(1, len(found))))
+    # whatever the bound by counts leaves, each language keeps its smallest
+    bounds = [(r["lang"], max(min(1 << 62, int((1 << 62) * 2 * most / r["n"])), (-1 if r["least"] is None else r["least"]) + 1)) for r in found]
+    rows = rows.join(F.broadcast(df.sparkSession.createDataFrame(bounds, "lang string, below long")), "lang")
+    low = rows.where(F.length("text") > 0).withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("h"), F.lit(1 << 62)) < F.col("below"))
     raw = F.encode("text", "utf-8")
     at = F.pmod(F.col("h"), F.greatest(F.octet_length("text") - SPAN + 1, F.lit(1))).cast("int") + 1
     picked = low.select("lang", "h", F.substring(raw, at, F.lit(SPAN)).alias("raw")).dropDuplicates(["lang", "h"]).collect()
-    taken = []
-    for language in sorted(count):
-        own = sorted((r["h"], bytes(r["raw"])) for r in picked if r["lang"] == language)
-        taken += [(raw, language) for _, raw in own[:SAMPLE_ROWS]]
+    taken, of_language = [], {}
+    for r in picked:
+        of_language.setdefault(r["lang"], []).append((r["h"], bytes(r["raw"])))
+    for language in sorted(of_language):
+        taken += [(raw, language) for _, raw in sorted(of_language[language])[:most]]
     windows, label = [], []
     for raw, language in taken:
         for place in range(0, max(1, len(raw) - TRAIN_WINDOW // 2), TRAIN_WINDOW):

@@ -207,6 +207,18 @@ def test_network_gradients_and_held_out_accuracy(spark):
     assert share > 0.97
 
 
+def test_more_than_64_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_TOTAL", 280)
+    monkeypatch.setattr(langid, "STEPS", 40)
+    alphabet = [chr(0x4E00 + 97 * i) for i in range(140)]
+    rows = [(20 * k + j, alphabet[k] * 40 + " " + "ab"[j % 2], f"l{k:03}") for k in range(140) for j in range(12)]
+    df = spark.createDataFrame(rows + [(9000, "abc", None)], "doc_id long, text string, lang string")
+    net = langid.fit(df)
+    assert len(net.languages) == 140
+    got = langid.predict(df, net).collect()
+    assert len(got) == len(rows) + 1 and all(r["lang_pred"] in net.languages for r in got)
+
+
 def test_every_byte_of_a_long_text_counts():
     net = langid.Network(["a", "b"], 4)
     text = "abc " * 500
