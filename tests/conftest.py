@@ -13,19 +13,6 @@ from relq.sources.tables import from_rows  # noqa: E402
 
 import housing_seed as H  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"  # every query has rows here
-
-
-def core_queries():
-    """The registered queries of the reference's own operators."""
-    import __spark_entry__ as E
-    from relq.plans.catalog import REGISTRY
-
-    found = E.queries()
-    return {name: found[name] for name in REGISTRY}
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -57,7 +44,3 @@ def housing(spark):
         "age": from_rows(spark, S.SUBSCRIBER_AGE, H.AGE_ROWS),
         "price": from_rows(spark, S.MARKET_PRICE, H.PRICE_ROWS),
     }
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

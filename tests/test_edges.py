@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from relq.functions import expressions as X
 from relq.operators import aggregates as A
 from relq.operators import checks as K

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import housing_seed as H
-from conftest import rows
+from support import rows
 from relq.functions import expressions as X
 from relq.operators import aggregates as A
 from relq.operators import filters as P

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_ORACLE, core_queries
+from support import SF_ORACLE, core_queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "documents", "labels"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from relq.operators import joins as J
 
-from conftest import SF_SMALL, core_queries
+from support import SF_SMALL, core_queries
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
