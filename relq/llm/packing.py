@@ -27,13 +27,14 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .arrays import slices
-from .memory import only
+from .memory import only, tidy, trim
 
 SEQUENCE = 4096
 OPEN_LIMIT = 8192
 DOCS_PER_GROUP = 16_384
 END_ID = 1
-MEMO_ENTRIES = 400_000
+MEMO_BYTES = 24 << 20  # of each of the two memos of a worker
+_ENTRY_BYTES = 160  # a short string, its ids and their place in a dict
 _RUN = 400  # words encoded in one call
 
 
@@ -65,52 +66,65 @@ class WordEncoder:
         self.raw = {i: i.to_bytes(4, "little") for i in vocabulary.values()}
         self.words: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
+        self.seen = 0  # characters of the chunks held
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join([self.raw[i] for i in ids])
 
     def _learn_words(self, words: list[str]) -> None:
-        for at in range(0, len(words), _RUN):
-            run = words[at:at + _RUN]
+        """Ids of lower-case words; the model takes plain letters as they are."""
+        known, raw, tokens = self.words, self.raw, self.tokenizer.model.tokenize
+        others = []
+        for w in words:
+            if w.isascii() and w.isalpha():
+                known[w] = b"".join([raw[t.id] for t in tokens(w)])
+            else:
+                others.append(w)
+        for at in range(0, len(others), _RUN):
+            run = others[at:at + _RUN]
             ids = self.tokenizer.encode(" ".join(run), add_special_tokens=False).ids
             ends = [n for n, i in enumerate(ids, 1) if i in self.last]
             if len(ends) == len(run) and ends[-1] == len(ids):
-                raw, at = b"".join([self.raw[i] for i in ids]), 0
+                joined, at = b"".join([raw[i] for i in ids]), 0
                 for word, n in zip(run, ends):
-                    self.words[word] = raw[4 * at:4 * n]
+                    known[word] = joined[4 * at:4 * n]
                     at = n
             else:
-                self.words.update((w, self._whole(w)) for w in run)
-
-    def _learn(self, chunks: set[str]) -> None:
-        single, several = {}, {}
-        for c in chunks:
-            if self.odd(c):
-                self.memo[c] = self._whole(c)
-            elif (low := c.lower()).isalpha():
-                single[c] = low  # letters only: a word
+                known.update((w, self._whole(w)) for w in run)
+
+    def _learn(self, chunks: list[str]) -> None:
+        if self.odd(" ".join(chunks)):
+            self.memo.update((c, self._whole(c)) for c in chunks if self.odd(c))
+            chunks = [c for c in chunks if not self.odd(c)]
+        single, low, several = [], [], []
+        for c, word in zip(chunks, map(str.lower, chunks)):
+            if word.isalpha():  # letters only: a word
+                single.append(c)
+                low.append(word)
+            elif word[-1] in ",." and word[:-1].isalpha():
+                several.append((c, (word[:-1], word[-1])))
             else:
-                several[c] = self.pattern.findall(low)
-        self._learn_words(list(set(single.values()).union(*several.values()).difference(self.words)))
+                several.append((c, self.pattern.findall(word)))
         words = self.words
-        for c, word in single.items():
-            self.memo[c] = words[word]
-        for c, own in several.items():
-            self.memo[c] = b"".join([words[w] for w in own])
+        self._learn_words([w for w in set(low).union(*[own for _, own in several]) if w not in words])
+        self.memo.update(zip(single, map(words.__getitem__, low)))
+        self.memo.update((c, b"".join([words[w] for w in own])) for c, own in several)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         cut = [t.split() if not any(x in t for x in "\x1c\x1d\x1e\x1f") else [t] for t in texts]
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        if len(self.words) > MEMO_ENTRIES:
-            self.words.clear()
+        for memo in (self.memo, self.words):
+            if len(memo) > MEMO_BYTES // _ENTRY_BYTES or self.seen > MEMO_BYTES:
+                memo.clear()
+        if not self.memo:
+            self.seen = 0
         new = set().union(*cut).difference(self.memo)
         new.discard("")
         self.memo[""] = b""
         if new:
-            self._learn(new)
+            self._learn(list(new))
+            self.seen += sum(map(len, new))
         get = self.memo.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
@@ -120,8 +134,14 @@ def tokenized_pieces(df: DataFrame, tokenizer_json: str, id_col: str = "doc_id",
     shared = df.sparkSession.sparkContext.broadcast(tokenizer_json)  # fixed size: the vocabulary file
     key, end = ("words", hash(tokenizer_json)), END_ID.to_bytes(4, "little")
 
+    def made() -> WordEncoder:
+        encoder = WordEncoder(shared.value)
+        trim()  # the file's parsed form is gone
+        return encoder
+
+    @tidy
     def run(batches):
-        encoder = only(key, lambda: WordEncoder(shared.value))
+        encoder = only(key, made)
         for part in slices(batches, "text"):
             rows = []
             for doc, ids in zip(part.column("id").to_pylist(), encoder.encode([t or "" for t in part.column("text").to_pylist()])):
