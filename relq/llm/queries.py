@@ -5,9 +5,9 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact_dedup, html_main, langid, license_scan, minhash, packing, simhash, suffix_dedup, url_filter
+from . import benchmark_scan, bpe, exact_dedup, html_main, langid, license_scan, minhash, packing, simhash, suffix_dedup, token_align, url_filter, vector_codes
 from .shipping import ship
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
@@ -65,7 +65,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
 
 
-REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op6_langid, op7_minhash, op8_url_filter, op9_bpe, op10_suffix_dedup)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).drop("label")
+
+
+def op12_benchmark_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_scan.scan(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text()
+    b = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_align.align(_documents(spark, sf_dir), a, b)
+
+
+REGISTRY = {f.__name__: f for f in (op1_simhash, op2_packing, op3_html_main, op4_exact_dedup, op5_license_scan, op6_langid, op7_minhash, op8_url_filter, op9_bpe, op10_suffix_dedup, op11_vector_codes, op12_benchmark_scan, op13_token_align)}
 
 SQL = {
     "op4_exact_dedup": r"""
@@ -81,4 +98,6 @@ r(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.or
 m AS (SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict, length(rhost || rpath)) AS verdict
   FROM p, r WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op11_vector_codes": vector_codes.oracle_sql(),
+    "op12_benchmark_scan": benchmark_scan.oracle_sql(),
 }
