@@ -1,0 +1,148 @@
+"""Benchmark windows in documents, against SQL and a plain search."""
+
+import hashlib
+import random
+import re
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from relq.llm import arrays, benchmark_scan as B, queries
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(UPPER))
+
+
+def brute(docs, items, window=B.WINDOW):
+    """(id, words, hit words, items) by comparing word lists."""
+    held = {}
+    for i, t in items:
+        own = words(t)
+        n = min(len(own), window)
+        for a in range(len(own) - n + 1 if n else 0):
+            held.setdefault(tuple(own[a:a + n]), set()).add("" if i is None else str(i))
+    out = []
+    for i, t in docs:
+        own, hit, found = words(t), set(), set()
+        for n in {len(w) for w in held}:
+            for a in range(len(own) - n + 1):
+                if (w := tuple(own[a:a + n])) in held:
+                    hit.update(range(a, a + n))
+                    found |= held[w]
+        out.append((i, len(own), len(hit), sorted(found)))
+    return out
+
+
+def result(df):
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in df.select("doc_id", "n_words", "n_hit", "items").collect()), key=str)
+
+
+def tables(spark, docs, items):
+    return (spark.createDataFrame([(*d, "x", 7) for d in docs], "doc_id long, text string, items string, id int").repartition(3),
+            spark.createDataFrame([(*i, "y") for i in items], "item_id string, text string, id string"))
+
+
+def corpus(seed, n=120):
+    rng = random.Random(seed)
+    vocabulary = ["a", "B", "c9", "été", "Ω", "数字", "the", "The"]
+    text = lambda k: "".join(rng.choice(vocabulary) + rng.choice([" ", ", ", "\n", "--", "\t "]) for _ in range(k))
+    items = [(str(i), text(rng.choice([2, 3, 9, 10, 11, 25]))) for i in range(40)] + [("dup", text(30))] * 2 + [("dup", text(12)), (None, text(14)), ("none", None), ("blank", " ,.\n"), ("a,b", text(12))]
+    docs = []
+    for i in range(n):
+        parts = [text(rng.randint(0, 30))] + [x for _ in range(rng.randint(0, 2)) for x in (rng.choice(items)[1] or "", rng.choice([" ", "!", "zz"]))]
+        docs.append((i, "".join(parts)))
+    return docs + [(500, None), (501, ""), (502, "  ,, \n"), (None, items[3][1]), (7, docs[7][1]), (503, "one")], items
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_scan_equals_brute_force(spark, seed):
+    docs, items = corpus(seed)
+    assert result(B.scan(*tables(spark, docs, items))) == sorted(brute(docs, items), key=str)
+
+
+def test_several_sets_find_the_same(spark):
+    docs, items = corpus(4)
+    d, b = tables(spark, docs, items)
+    one = B.scan(d, b)
+    several = B.scan(d, b, set_bytes=300)
+    cols = ["doc_id", "n_words", "n_hit", "items", "spans"]
+    assert len(list(B.window_sets(b, set_bytes=300))) > 3
+    assert sorted(map(str, several.select(cols).collect())) == sorted(map(str, one.select(cols).collect()))
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    docs, items = corpus(5, 30)
+    long = [(i, " ".join(t for _, t in docs if t)[i:]) for i in range(6)] + [(90, "x" * 500 + " " + items[5][1]), (91, "y" * 3000)]
+    windows = next(B.window_sets(tables(spark, docs, items)[1]))
+    whole = [f.closed() + (f.n_words, f.items) for f in B.search(windows, pa.array([t for _, t in long]))]
+    for size in (16, 100, 1000):
+        monkeypatch.setattr(B, "PIECE_BYTES", size)
+        assert [f.closed() + (f.n_words, f.items) for f in B.search(windows, pa.array([t for _, t in long]))] == whole
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    docs, items = corpus(6, 40)
+    monkeypatch.setattr(B, "mix", lambda h: arrays.mix(h) & np.uint64(7))  # hashes that collide all the time
+    monkeypatch.setattr(arrays, "mix", lambda h: h & np.uint64(3))
+    ids, texts = ["" if i is None else i for i, _ in items], [t for _, t in items]
+    found = B.search(windows := B.WindowSet(ids, texts), pa.array([t for _, t in docs], pa.string()))
+    assert [(i, f.n_words, f.closed()[0], sorted(windows.ids[k] for k in f.items)) for (i, _), f in zip(docs, found)] == brute(docs, items)
+
+
+def test_empty_tables(spark):
+    docs, items = corpus(7, 10)
+    d, b = tables(spark, docs, items)
+    assert B.scan(d.limit(0), b).count() == 0
+    for none in (b.limit(0), b.where("item_id in ('none', 'blank')")):
+        assert B.scan(d, none).where("n_hit > 0").count() == 0 and B.scan(d, none).count() == d.count()
+        assert sorted(map(str, B.decontaminated(d, none).collect())) == sorted(map(str, d.collect()))
+
+
+def test_removal(spark):
+    item = "Question: which river runs through the old town of the north? Answer: none"
+    docs = [(1, f"Kept before. {item}. Kept after."), (2, "Clean text, nothing else."), (3, item), (4, None),
+            (5, "Été: which RIVER runs, through the old-town of the north -- answer is none été"), (6, f"{item} {item} x")]
+    d, b = tables(spark, docs, [("1", item), ("2", "Clean")])
+    left = {r["doc_id"]: r["text"] for r in B.decontaminated(d, b).collect()}
+    assert left[1] == "Kept before. . Kept after." and left[3] == "" and left[4] is None and left[2] == " text, nothing else."
+    assert left[5] == "Été:  is none été"
+    assert B.scan(B.decontaminated(d, b), b).where("n_hit > 0").count() == 0
+    assert B.decontaminated(d, b).columns == d.columns
+    kept = B.decontaminated(d, b, "documents")
+    assert [r["doc_id"] for r in kept.collect()] == [4] and kept.columns == d.columns
+    assert {r["doc_id"] for r in B.decontaminated(d, b, "documents", least=0.9).collect()} == {1, 2, 4, 5}
+    with pytest.raises(ValueError, match="remove"):
+        B.decontaminated(d, b, "words")
+
+
+def test_spans_are_the_runs_of_hit_words(spark):
+    docs, items = corpus(8, 60)
+    for r in B.scan(*tables(spark, docs, items)).collect():
+        text = next((t for i, t in docs if i == r["doc_id"]), "") or ""
+        raw = text.encode()
+        assert sum(len(words(raw[s["first_byte"]:s["end_byte"]].decode())) for s in r["spans"]) == r["n_hit"]
+        ends = [0] + [x for s in r["spans"] for x in (s["first_byte"], s["end_byte"])]
+        assert ends == sorted(ends)
+
+
+def test_query_and_sql(spark, tmp_path):
+    docs, items = corpus(9)
+    docs = [(i, t) for i, t in docs if i is not None and i != 7]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.REGISTRY["op12_benchmark_scan"](spark, str(tmp_path))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.execute(queries.SQL["op12_benchmark_scan"])
+    assert [c[0] for c in want.description] == got.columns
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(want.fetchall())
+    assert {r[0]: r[4] for r in rows} == {i: hashlib.sha256(",".join(x).encode()).hexdigest() for i, _, _, x in brute(docs, items)}
+    assert got.schema["n_items"].dataType.simpleString() == "bigint"
