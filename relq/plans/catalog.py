@@ -61,11 +61,11 @@ def nation_dim(spark: SparkSession, d: str) -> DataFrame:
 def docs_labels(spark: SparkSession, d: str) -> DataFrame:
     """documents LEFT JOIN labels: the sparse optional detail (601 of 1000 unlabeled at sf0.01).
 
-    labels is a raw table whose doc_id may repeat, so the join is the form
-    that splits a hot key on either side.
+    labels declares doc_id as its key (``check_not_null`` verifies it), so a
+    hot key can only sit on the preserved side, where Spark splits it.
     """
     docs = t(spark, d, "documents")
-    return J.left_outer_join(docs, t(spark, d, "labels"), "doc_id")
+    return J.left_outer_join(docs, t(spark, d, "labels"), "doc_id", right_unique=DRIVER_KEYS["labels"] == ["doc_id"])
 
 
 def order_totals(lineitem: DataFrame) -> DataFrame:
@@ -338,20 +338,26 @@ def join_left(spark, d):
 @query
 def join_right(spark, d):
     labels, docs = t(spark, d, "labels"), t(spark, d, "documents")
-    j = J.right_outer_join(labels.withColumnRenamed("doc_id", "label_doc_id"), docs, "label_doc_id", "doc_id")
+    j = J.right_outer_join(labels.withColumnRenamed("doc_id", "label_doc_id"), docs, "label_doc_id", "doc_id",
+                           left_unique=DRIVER_KEYS["labels"] == ["doc_id"])
     return j.select("doc_id", "lang", "quality", "toxic")
 
 
+# a customer may have any share of the orders; their own keys are unique
+CUSTOMER_ORDERS = {"left_unique": DRIVER_KEYS["customer"] == ["c_custkey"], "left_spread": DRIVER_KEYS["customer"],
+                   "right_spread": DRIVER_KEYS["orders"]}
+
+
 @query
 def join_full(spark, d):
-    return J.full_outer_join(t(spark, d, "customer"), t(spark, d, "orders"), "c_custkey", "o_custkey").select(
+    return J.full_outer_join(t(spark, d, "customer"), t(spark, d, "orders"), "c_custkey", "o_custkey", **CUSTOMER_ORDERS).select(
         "c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
 @query
 def join_full_dedup(spark, d):
     return J.full_outer_distinct(t(spark, d, "customer"), t(spark, d, "orders"), "c_custkey", "o_custkey",
-                                 ["c_name", "o_orderstatus"])
+                                 ["c_name", "o_orderstatus"], **CUSTOMER_ORDERS)
 
 
 @query

@@ -60,3 +60,42 @@ def test_left_outer_join_matches_native(spark, lrows, rrows):
     using = J.left_outer_join(a, b2, "k").select("k", "a", "b")
     assert sorted(map(tuple, using.collect()), key=str) == \
         sorted(map(tuple, a.join(b2, "k", "left").select("k", "a", "b").collect()), key=str)
+
+
+mixed_keys = st.one_of(st.none(), st.sampled_from([0, 0, 0, 1, 2, 3]))
+pairs = st.lists(st.tuples(mixed_keys, st.sampled_from(["p", "p", "q", None]), st.integers(0, 3)), max_size=25)
+
+
+@settings(max_examples=12, deadline=None)
+@given(pairs, pairs, st.booleans(), st.booleans())
+def test_outer_joins_on_two_keys_match_native(spark, lrows, rrows, left_unique, right_unique):
+    """Hot keys, NULLs in either key column, repeated rows, keys of other widths;
+    a declaration that does not hold must not change rows."""
+    a = spark.createDataFrame(lrows, "k int, t string, a int")
+    b = spark.createDataFrame(rrows, "kb bigint, tb string, b int")
+    on = (a["k"] == b["kb"]) & (a["t"] == b["tb"])
+    cols = ["k", "t", "a", "kb", "tb", "b"]
+    key = lambda df: sorted(map(tuple, df.select(cols).collect()), key=str)
+    declared = {"left_unique": left_unique, "right_unique": right_unique}
+    assert key(J.full_outer_join(a, b, ["k", "t"], ["kb", "tb"], **declared)) == key(a.join(b, on, "full"))
+    assert key(J.left_outer_join(a, b, ["k", "t"], ["kb", "tb"], right_unique=right_unique)) == key(a.join(b, on, "left"))
+    assert key(J.right_outer_join(a, b, ["k", "t"], ["kb", "tb"], left_unique=left_unique)) == key(a.join(b, on, "right"))
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.sampled_from([0.0, -0.0, 1.5, float("nan"), None]), max_size=15), st.lists(st.sampled_from([0.0, -0.0, 2.5, float("nan"), None]), max_size=15))
+def test_outer_joins_on_floating_keys_match_native(spark, lrows, rrows):
+    a = spark.createDataFrame([(k, i) for i, k in enumerate(lrows)], "k double, a int")
+    b = spark.createDataFrame([(k, i) for i, k in enumerate(rrows)], "kb double, b int")
+    key = lambda df: sorted(map(tuple, df.select("a", "b").collect()), key=str)
+    assert key(J.full_outer_join(a, b, "k", "kb")) == key(a.join(b, a["k"] == b["kb"], "full"))
+
+
+@settings(max_examples=8, deadline=None)
+@given(left_rows, right_rows)
+def test_full_outer_using_matches_native(spark, lrows, rrows):
+    a = spark.createDataFrame(lrows, "k int, a string")
+    b = spark.createDataFrame(rrows, "k int, b string")
+    key = lambda df: sorted(map(tuple, df.collect()), key=str)
+    ours = J.full_outer_join(a, b, "k")
+    assert ours.columns == ["k", "a", "b"] and key(ours) == key(a.join(b, "k", "full"))
