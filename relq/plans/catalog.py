@@ -676,13 +676,11 @@ def report_status(spark, d):
 def report_integrated(spark, d):
     orders = t(spark, d, "orders")
     since = P.compare("o_orderdate", ">=", X.ts("2000-01-01 00:00:00"))
-    # only the lines of orders that are kept are summed
-    lines = P.in_subquery(t(spark, d, "lineitem"), "l_orderkey", orders.filter(since), "o_orderkey")
     return R.integrated_detail(
-        orders, t(spark, d, "customer"), nation_dim(spark, d), order_totals(lines),
+        orders, t(spark, d, "customer"), nation_dim(spark, d), order_totals(t(spark, d, "lineitem")),
         head_keys=["o_custkey"], amount_keys=["c_custkey"], head_region="c_nationkey",
         dim_key="n_nationkey", detail_key="l_orderkey", head_detail_key="o_orderkey",
-        since=since,
+        since=since, head_unique=DRIVER_KEYS["orders"] == ["o_orderkey"],
         select=[F.col("o_orderkey"), F.col("n_name"), F.col("c_acctbal"), F.col("o_totalprice")],
         coalesce={"qty_total": ("qty_total", 0.0), "line_count": ("line_count", 0)},
         sort=["o_orderkey"])

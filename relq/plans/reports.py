@@ -75,19 +75,27 @@ def integrated_detail(head: DataFrame, amount: DataFrame, dim: DataFrame, detail
                       head_keys: Sequence[str], amount_keys: Sequence[str], head_region: str,
                       dim_key: str, detail_key: str, head_detail_key: str, since: Column,
                       select: Sequence[Column], coalesce: Mapping[str, tuple[str, object]],
-                      sort: Sequence[str | Column], dim_filter: Column | None = None) -> DataFrame:
+                      sort: Sequence[str | Column], dim_filter: Column | None = None, head_unique: bool = False) -> DataFrame:
     """R2: head JOIN amount (composite key) JOIN dim LEFT JOIN detail, since a date.
 
     ``since`` is a predicate on the head table, applied before the joins so
     it reaches the scan.  ``coalesce`` maps output name -> (detail column,
     default) for the optional side, which has a row for each key.
+
+    ``head_unique``: the head's ``head_detail_key`` is declared unique.  Then no
+    key is hot on either side of the last join, the detail's own partitioning
+    by that key serves it, and only the head is shuffled.  Where few enough
+    head rows are kept, Spark builds a Bloom filter of their keys at run time
+    (``session.RUNTIME_FILTER``) and pushes it below the detail's aggregate
+    into its scan; a saturated filter would keep everything, so beyond its size
+    Spark leaves it out.
     """
     base = head.filter(since)
     same = list(head_keys) == list(amount_keys)
     joined = equi_join(base, amount, list(head_keys), None if same else list(amount_keys))
     joined = dim_lookup(joined, dim, head_region, dim_key, dim_filter=dim_filter)
-    joined = aggregated_join(joined, detail, head_detail_key,
-                             None if head_detail_key == detail_key else detail_key, how="left")
+    with_detail = equi_join if head_unique else aggregated_join
+    joined = with_detail(joined, detail, head_detail_key, None if head_detail_key == detail_key else detail_key, how="left")
     extra = [coalesce_default(src, default).alias(name) for name, (src, default) in coalesce.items()]
     return order_by(joined.select(*select, *extra), sort)
 

@@ -25,15 +25,25 @@ ADAPTIVE_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
 }
 
+# A join whose one side is filtered can spare rows of the other side before
+# they are shuffled: Spark builds a Bloom filter of the kept keys at run time and
+# pushes it into the other scan.  The filter never exceeds 8 MB (4 million keys);
+# the side that it is built from may be this large by Spark's estimate, about
+# what 4 million keys with a few columns come to.
+RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "128MB",
+}
+
 _CONFIGURED = "spark.relq.configured"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply ``ADAPTIVE_DEFAULTS`` once, where neither the launcher nor the
+    """Apply ``ADAPTIVE_DEFAULTS`` and ``RUNTIME_FILTER`` once, where neither the launcher nor the
     session's user has set a value; later changes of theirs stay."""
     if spark.conf.get(_CONFIGURED, None) == "true":
         return spark
-    for key, value in ADAPTIVE_DEFAULTS.items():
+    for key, value in (ADAPTIVE_DEFAULTS | RUNTIME_FILTER).items():
         if not spark.conf.isModifiable(key):
             continue
         if key not in _chosen(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from relq.operators import joins as J
 
-from support import SF_SMALL, core_queries
+from support import SF_ORACLE, SF_SMALL, core_queries
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
@@ -110,8 +110,45 @@ def test_dimension_is_looked_up_after_the_aggregate(plans):
         assert text.index("HashAggregate") < joins[0], name  # the tree is printed from the top
 
 
-def test_lines_are_reduced_before_they_are_summed(plans):
-    assert "LeftSemi" in plans["report_integrated"]
+AT_SCALE = {
+    "spark.sql.autoBroadcastJoinThreshold": str(8 << 10),  # nation and region only
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",  # any scan is worth a filter
+}
+
+
+@pytest.fixture()
+def at_scale(spark):
+    old = {k: spark.conf.get(k, None) for k in AT_SCALE}
+    for k, v in AT_SCALE.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_lines_are_reduced_by_a_runtime_filter(at_scale):
+    df = core_queries()["report_integrated"](at_scale, SF_SMALL)
+    text = plan(df)
+    main = text.split("Subqueries")[0]
+    conditions = [line for line in main.splitlines() if "might_contain" in line and "l_orderkey" in line]
+    assert conditions, text  # below the sum: the filter stands on the scan of lineitem
+    tree = main.split("\n\n")[0]
+    lines = [n for n in tree.splitlines() if "lineitem" in n or "Scan parquet" in n]
+    assert len(lines) == 5 and "LeftSemi" not in text  # region, nation, customer, orders, lineitem: each once
+    exchanges = [x for x in main.splitlines() if x.startswith("Arguments: hashpartitioning") or x.startswith("Arguments: rangepartitioning")]
+    assert len(exchanges) <= 5, exchanges
+
+
+def test_runtime_filter_keeps_the_rows(at_scale):
+    query = core_queries()["report_integrated"]
+    got = sorted(map(tuple, query(at_scale, SF_ORACLE).collect()))
+    key = "spark.sql.optimizer.runtime.bloomFilter.enabled"
+    at_scale.conf.set(key, "false")
+    try:
+        df = query(at_scale, SF_ORACLE)
+        assert "might_contain" not in plan(df) and sorted(map(tuple, df.collect())) == got
+    finally:
+        at_scale.conf.set(key, "true")
 
 
 def test_null_check_is_one_scan_for_each_table(plans):
