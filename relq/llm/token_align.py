@@ -12,10 +12,10 @@ an interval without a common end inside is a group.  All intervals of a run of
 texts take each step together, as arrays.
 
 *Tokens.*  Neither tokenizer joins text over a change from other characters to
-white space (blank, newline, tab), so a text is cut there into chunks, and the
-ids of chunks seen before are taken from a memo.  ``TokenPair`` checks for its
-two vocabularies that this holds.  Texts of more than ``PIECE_CHARS`` go
-through in pieces that end where a chunk ends.
+white space (blank, newline, tab); ``TokenPair`` checks this for B's
+vocabulary.  A text is cut there into chunks, and B's ids of chunks seen before
+are taken from a memo.  Texts of more than ``PIECE_CHARS`` go through in pieces
+that end where a chunk ends.
 
 *Counts.*  Each task turns its documents into blocks: the distinct linked id
 pairs of a block, how many of its documents hold each, and each document's
@@ -37,6 +37,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +50,15 @@ from .memory import only, tidy, trim
 from .staging import staged
 
 PIECE_CHARS = 1 << 20
-SLICE_BYTES = 1 << 20
-BLOCK_BYTES = 8 << 20  # of text whose links make a block
+SLICE_BYTES = 1 << 19
+BLOCK_BYTES = 4 << 20  # of text whose links make a block
 MEMO_BYTES = 32 << 20
-_ENTRY_BYTES = 320  # a short string, two id strings, their pair and their place in a dict
+_ENTRY_BYTES = 200  # a short string, its number, their place in a dict, its ids
 _B_BITS = 24  # of a pair of ids
 
+# Fixed value: how byte-level vocabularies of this kind cut text before merging.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 # An end of a piece of text that no token crosses.
 _EDGE = re.compile(r"(?<=\S)(?=[ \n\t])")
 _PLAIN_CHUNK = re.compile(r"\s*\S+|\s+")
@@ -69,70 +73,113 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
+class _Runs:
+    """Runs of values one behind the other: run k is flat[at[k]:at[k + 1]]."""
+
+    def __init__(self, flat: np.ndarray, at: np.ndarray):
+        self.flat, self.at = flat, at
+
+    @classmethod
+    def none(cls, kind: type) -> _Runs:
+        return cls(np.zeros(0, kind), np.zeros(1, np.int64))
+
+    @classmethod
+    def of(cls, runs: list, kind: type = np.uint8) -> _Runs:
+        at = np.concatenate([[0], np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)))])
+        flat = np.frombuffer(b"".join(runs), np.uint8) if kind is np.uint8 else np.fromiter(chain.from_iterable(runs), kind, int(at[-1]))
+        return cls(flat, at)
+
+    def take(self, which: np.ndarray) -> _Runs:
+        size = self.at[which + 1] - self.at[which]
+        at = np.concatenate([[0], np.cumsum(size)])
+        return _Runs(self.flat[np.repeat(self.at[which] - at[:-1], size) + np.arange(int(at[-1]))], at)
+
+    def joined(self, cuts: np.ndarray) -> _Runs:
+        """Runs cuts[k]:cuts[k + 1] as one."""
+        return _Runs(self.flat, self.at[cuts])
+
+    def plus(self, other: _Runs) -> _Runs:
+        return _Runs(np.concatenate([self.flat, other.flat]), np.concatenate([self.at, other.at[1:] + self.at[-1]]))
+
+    def equal(self, other: _Runs) -> np.ndarray:
+        """Which runs agree with those of ``other``."""
+        out = np.diff(self.at) == np.diff(other.at)
+        asked = np.flatnonzero(out)
+        a, b = self.take(asked), other.take(asked)
+        differs = np.concatenate([[0], np.cumsum(a.flat != b.flat)])
+        out[asked] = differs[a.at[1:]] == differs[a.at[:-1]]
+        return out
+
+
 class TokenPair:
-    """Ids of two tokenizers, chunk by chunk.
+    """Ids of two tokenizers.
 
-    ``a_json``: a byte-level BPE file of ``tokenizers``; ``b_model``: a BPE
-    model of ``sentencepiece`` with byte fallback.
+    ``a_json``: a byte-level BPE file of ``tokenizers``, whose ids follow its
+    merges, so that ``tiktoken`` gives the same ids from its vocabulary;
+    ``b_model``: a BPE model of ``sentencepiece`` with byte fallback, whose ids
+    of chunks are kept in a memo.
     """
 
     def __init__(self, a_json: str, b_model: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         spec, letters = json.loads(a_json), byte_letters()
-        if spec["normalizer"] is not None or spec["pre_tokenizer"].get("type") != "ByteLevel" or not spec["pre_tokenizer"].get("use_regex"):
+        before, model = spec["pre_tokenizer"], spec["model"]
+        if spec["normalizer"] is not None or before.get("type") != "ByteLevel" or not before.get("use_regex") or before.get("add_prefix_space"):
             raise ValueError("tokenizer A must be byte-level, without a normalizer")
-        by_id = {i: t for t, i in self.a.get_vocab(with_added_tokens=False).items()}
-        size = max(by_id, default=0) + 1
-        self.a_bytes = [bytes(letters[c] for c in by_id.get(i, "")) for i in range(size)]
+        by_id = {i: t for t, i in model["vocab"].items()}
+        special = {t["id"] for t in spec["added_tokens"]}
+        self.a_bytes = [bytes(letters[c] for c in by_id[i]) if i not in special else b"" for i in range(len(by_id))]
+        merged = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if [model["vocab"][x + y] for x, y in merged] != [i for i, t in enumerate(self.a_bytes) if len(t) > 1]:
+            raise ValueError("tokenizer A's ids do not follow its merges")
+        self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks={t: i for i, t in enumerate(self.a_bytes) if t}, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if any(re.search("[^▁]▁|[ \n\t]", p) for p in pieces):
             raise ValueError("tokenizer B joins text over white space")
         self.a_length, self.b_length = (np.array([len(x) for x in own], np.int64) for own in (self.a_bytes, self.b_bytes))
-        self.a_raw, self.b_raw = ([i.to_bytes(4, "little") for i in range(len(own))] for own in (self.a_bytes, self.b_bytes))
+        self.b_table = _Runs.of(self.b_bytes)
         self.blank = self.b.piece_to_id("▁")
-        self.memo: dict[str, tuple[bytes, bytes] | None] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}  # chunk -> its place in the two below
+        self.b_ids, self.good = _Runs.none(np.uint32), np.zeros(0, bool)
         self.seen = 0
 
     def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if c[0] == " " and c[1:].isascii() and c[1:].isalpha()]
-        tokenize = self.a.model.tokenize
-        a_ids = {c: [t.id for t in tokenize("Ġ" + c[1:])] for c in plain}  # U+0120: a blank
-        others = [c for c in chunks if c not in a_ids]
-        a_ids |= zip(others, [e.ids for e in self.a.encode_batch_fast(others, add_special_tokens=False)])
-        b_ids = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        a_bytes, b_bytes, a_raw, b_raw = self.a_bytes, self.b_bytes, self.a_raw, self.b_raw
-        for c, b in zip(chunks, b_ids):
-            a = a_ids[c]
+        found = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        for i, c in enumerate(chunks):
             if c == " ":  # an empty text gets no blank
-                b = [self.blank]
-            elif c[0] != " ":  # B put its blank before a newline or tab
-                b = b[1:] if b and b[0] == self.blank else None
-            raw = c.encode()
-            same = b is not None and b"".join([a_bytes[i] for i in a]) == raw == b"".join([b_bytes[i] for i in b])
-            self.memo[c] = (b"".join([a_raw[i] for i in a]), b"".join([b_raw[i] for i in b])) if same else None
-
-    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | None]:
-        """Ids (little-endian unsigned 32-bit) of both for each piece of blank
-        and text; None where the bytes are not given back."""
+                found[i] = [self.blank]
+            elif c[0] != " " and found[i][:1] == [self.blank]:  # B put its blank before a newline or tab
+                found[i] = found[i][1:]
+        ids = _Runs.of(found, np.uint32)
+        same = self.b_table.take(ids.flat).joined(ids.at).equal(_Runs.of([c.encode() for c in chunks]))
+        self.memo.update(zip(chunks, range(len(self.good), len(self.good) + len(chunks))))
+        self.b_ids, self.good = self.b_ids.plus(ids), np.concatenate([self.good, same])
+        self.seen += sum(map(len, chunks))
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, _Runs, _Runs]:
+        """For pieces of blank and text: the numbers of those that are given
+        back byte by byte, and these pieces' ids of A and of B."""
         cut = [_EDGE.split(p) if _ODD_SPACE.search(p) else _PLAIN_CHUNK.findall(p) for p in pieces]
-        if len(self.memo) * _ENTRY_BYTES + 8 * self.seen > MEMO_BYTES:
-            self.memo.clear()
-            self.seen = 0
-        new = list(set().union(*cut).difference(self.memo))
-        if new:
+        if len(self.memo) * _ENTRY_BYTES + 2 * self.seen > MEMO_BYTES:
+            self._forget()
+        if new := list(set().union(*cut).difference(self.memo)):
             self._learn(new)
-            self.seen += sum(map(len, new))
-        out, get = [], self.memo.__getitem__
-        for chunks in cut:
-            own = list(map(get, chunks))
-            out.append(None if None in own else (b"".join([x[0] for x in own]), b"".join([x[1] for x in own])))
-        return out
+        at = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
+        place = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cut)), np.int64, int(at[-1]))
+        lost = np.concatenate([[0], np.cumsum(~self.good[place])])
+        known = np.flatnonzero(lost[at[1:]] == lost[at[:-1]])
+        if len(known) < len(cut):
+            size = np.diff(at)[known]
+            place = place[np.repeat(at[:-1][known] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+            at = np.concatenate([[0], np.cumsum(size)])
+        return known, _Runs.of([self.a.encode_ordinary(pieces[i]) for i in known.tolist()], np.uint32), self.b_ids.take(place).joined(at)
 
 
 def _near_middle(a_end: np.ndarray, b_end: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +223,9 @@ def shared_cuts(a_end: np.ndarray, b_end: np.ndarray, a_first: np.ndarray, b_fir
         found = at_a >= 0  # else a leaf
         at_a, at_b = at_a[found], at_b[found]
         cuts.append(at_a)
-        a_low, a_high = np.concatenate([a_low[found], at_a + 1]), np.concatenate([at_a + 1, a_high[found]])
-        b_low, b_high = np.concatenate([b_low[found], at_b + 1]), np.concatenate([at_b + 1, b_high[found]])
+        # halves side by side: the intervals stay in order, and so do the look-ups
+        a_low, a_high = np.stack([a_low[found], at_a + 1], 1).ravel(), np.stack([at_a + 1, a_high[found]], 1).ravel()
+        b_low, b_high = np.stack([b_low[found], at_b + 1], 1).ravel(), np.stack([at_b + 1, b_high[found]], 1).ravel()
 
 
 class Aligner:
@@ -189,33 +237,33 @@ class Aligner:
         self.a_shown = np.array([b"%d%c" % (i, s) for s in b",|" for i in range(size_a)], object).reshape(2, size_a)
         self.b_shown = np.array([b"%d%c" % (i, s) for s in b",;" for i in range(size_b)], object).reshape(2, size_b)
 
-    def align(self, ids: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    def align(self, a_ids: _Runs, b_ids: _Runs) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
         """For pieces given by ids: (n_a, n_b, n_groups) of each, its groups as
-        text with a final ``;``, and all links: their piece and id pair."""
-        a = np.frombuffer(b"".join([x[0] for x in ids]), "<u4").astype(np.int64)
-        b = np.frombuffer(b"".join([x[1] for x in ids]), "<u4").astype(np.int64)
-        n_a, n_b = (np.array([len(x[k]) // 4 for x in ids], np.int64) for k in (0, 1))
-        a_first, b_first = (np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b))
+        text with a final ``;``, where each piece's links begin, and all links
+        as id pairs."""
+        a, b = a_ids.flat.astype(np.int64), b_ids.flat.astype(np.int64)
+        a_first, b_first = a_ids.at, b_ids.at
         a_end, b_end = np.cumsum(self.pair.a_length[a]), np.cumsum(self.pair.b_length[b])
         cuts = shared_cuts(a_end, b_end, a_first, b_first)
-        group_end = a_end[cuts]
-        cuts_b = np.searchsorted(b_end, group_end)
-        a_group, b_group = np.searchsorted(group_end, a_end), np.searchsorted(group_end, b_end)
-        # a token's place when groups follow each other, A's tokens before B's
-        shown = np.empty(len(a) + len(b), object)
+        cuts_b = np.searchsorted(b_end, a_end[cuts])
         a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         a_last[cuts], b_last[cuts_b] = 1, 1
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        # a token's place when groups follow each other, A's tokens before B's
+        shown = np.empty(len(a) + len(b), object)
         shown[np.arange(len(a)) + np.concatenate([[0], cuts_b + 1])[a_group]] = self.a_shown[a_last, a]
         shown[np.arange(len(b)) + (cuts + 1)[b_group]] = self.b_shown[b_last, b]
-        first = a_first + b_first
-        groups = [b"".join(shown[x:y].tolist()) for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
+        first = (a_first + b_first).tolist()
+        groups = [b"".join(shown[x:y].tolist()) for x, y in zip(first, first[1:])]
         n_groups = np.diff(np.searchsorted(cuts, a_first))
         # between neighbouring ends of either lies one link
-        ends = np.sort(np.concatenate([a_end, b_end]), kind="stable")
-        ends = ends[np.concatenate([[True], ends[1:] != ends[:-1]])] if len(ends) else ends
-        of_a = np.searchsorted(a_end, ends)
-        piece = np.searchsorted(a_first, of_a, "right") - 1
-        return np.stack([n_a, n_b, n_groups], 1), groups, piece, a[of_a] << _B_BITS | b[np.searchsorted(b_end, ends)]
+        total = int(a_end[-1]) if len(a_end) else 0
+        ends_a, ends_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+        ends_a[a_end], ends_b[b_end] = True, True
+        ends = np.flatnonzero(ends_a | ends_b)
+        of_a, of_b = (np.cumsum(x, dtype=np.int32)[ends] - x[ends] for x in (ends_a, ends_b))
+        begin = np.concatenate([[0], a_end])[a_first]  # bytes before each piece
+        return np.stack([np.diff(a_first), np.diff(b_first), n_groups], 1), groups, np.searchsorted(ends, begin, "right"), a[of_a] << _B_BITS | b[of_b]
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -261,20 +309,19 @@ class Document:
 def _aligned(aligner: Aligner, texts: list[str | None]) -> list[Document]:
     out = [Document() for _ in texts]
     short = [(d, " " + t) for d, t in zip(out, texts) if t and len(t) < PIECE_CHARS]
-    known = [(d, ids) for (d, _), ids in zip(short, aligner.pair.encode([t for _, t in short])) if ids]
-    if known:
-        n, groups, piece, pairs = aligner.align([ids for _, ids in known])
-        cut = np.searchsorted(piece, np.arange(len(known) + 1))
-        for k, (d, _) in enumerate(known):
-            d.add(n[k], groups[k], pairs[cut[k]:cut[k + 1]])
+    if short:
+        known, a, b = aligner.pair.encode([t for _, t in short])
+        n, groups, cut, pairs = aligner.align(a, b)
+        for k, i in enumerate(known.tolist()):
+            short[i][0].add(n[k], groups[k], pairs[cut[k]:cut[k + 1]])
     for i, t in enumerate(texts):
         if t and len(t) >= PIECE_CHARS:
             for piece in _pieces(t):
-                ids = aligner.pair.encode([piece])[0]
-                if ids is None:
+                known, a, b = aligner.pair.encode([piece])
+                if not len(known):
                     out[i] = Document()
                     break
-                n, groups, _, pairs = aligner.align([ids])
+                n, groups, _, pairs = aligner.align(a, b)
                 out[i].add(n[0], groups[0], pairs)
     return out
 

@@ -142,6 +142,15 @@ def test_numbers_survive_packing():
         assert V._unpacked(V._packed(np.array(numbers, np.int64))).tolist() == numbers
 
 
+def test_tokenizer_a_gives_the_ids_of_its_file():
+    """Every character, before and after letters, digits, blanks and signs."""
+    pair = V.TokenPair(A_JSON, B_MODEL)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 50_000):
+        texts = [f"a{chr(c)}1 {chr(c)}{chr(c)}b  {chr(c)}.{chr(c)}" for c in points[at:at + 50_000:7]]
+        assert [e.ids for e in REFERENCE_A.encode_batch(texts, add_special_tokens=False)] == [pair.a.encode_ordinary(t) for t in texts]
+
+
 def test_unsuited_tokenizers_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         with open(P.path("word_bpe_49k.json")) as f:
