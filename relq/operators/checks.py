@@ -91,48 +91,126 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bo
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NOT NULL check (S8): one row per column with its NULL count and the row count.
 
-    A single pass of ``SUM(CASE WHEN c IS NULL THEN 1 ELSE 0 END)`` per column.
+    ``COUNT(*) - COUNT(c)`` for all columns in one pass, without a shuffle of
+    values.  Over ``tables.read_footers`` Spark answers it from the Parquet
+    footers and reads no column at all.
     """
     cols = list(cols or df.columns)
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).cast(T.LongType()).alias(f"__n{i}")
-             for i, c in enumerate(cols)]
-    entries = [F.struct(F.lit(c).alias("column_name"), F.col(f"__n{i}").alias("null_count"),
+    counted = df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(f"__n{i}") for i, c in enumerate(cols)])
+    entries = [F.struct(F.lit(c).alias("column_name"), (F.col("__rows") - F.col(f"__n{i}")).alias("null_count"),
                         F.col("__rows").alias("row_count")) for i, c in enumerate(cols)]
-    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return counted.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def validate(df: DataFrame, name: str, not_null: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def validate(df: DataFrame, name: str, not_null: Sequence[str], keys: Sequence[str],
+             counted: DataFrame | None = None) -> DataFrame:
     """Check one table against its declaration: its NOT NULL columns (S8) and key.
 
     One row for each declared column with its NULL count, and one for the key
-    (``a,b``) with the number of key values that more than one row holds.  A
-    single scan: NULLs are counted by key, keys are counted from these groups
-    (each task sums its own rows of a key first), no join.
+    (``a,b``) with the number of key values that more than one row holds.
+    NULLs are counted in one pass without a shuffle (``counted``: the same
+    table read by its footers, else ``df``); the key goes through
+    ``duplicate_keys``.
     """
-    flags = [F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"__n{i}") for i, c in enumerate(not_null)]
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *flags)
-    one = groups.agg(F.sum("__rows").alias("__all"), F.sum(F.when(F.col("__rows") > 1, 1).otherwise(0)).alias("__twice"),
-                     *[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(not_null))])
+    source = df if counted is None else counted
+    n = [f"__n{i}" for i in range(len(not_null))]
+    nulls = source.agg(F.count(F.lit(1)).alias("__all"), F.lit(0).cast("long").alias("__twice"),
+                       *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(x) for c, x in zip(not_null, n)])
+    zero = F.lit(0).cast("long")
+    twice = duplicate_keys(df, keys, "__rows").agg(F.count(F.lit(1)).alias("__twice")).select(
+        zero.alias("__all"), "__twice", *[zero.alias(x) for x in n])
+    one = nulls.unionByName(twice).agg(*[F.max(c).alias(c) for c in ("__all", "__twice", *n)])
 
     def entry(rule: str, columns: str, count: str) -> Column:
-        total = [F.coalesce(F.col(c), F.lit(0)).cast(T.LongType()) for c in (count, "__all")]
         return F.struct(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), F.lit(columns).alias("columns"),
-                        total[0].alias("violations"), total[1].alias("row_count"))
+                        F.col(count).alias("violations"), F.col("__all").alias("row_count"))
 
-    entries = [entry("not null", c, f"__n{i}") for i, c in enumerate(not_null)] + [entry("unique", ",".join(keys), "__twice")]
+    entries = [entry("not null", c, x) for c, x in zip(not_null, n)] + [entry("unique", ",".join(keys), "__twice")]
     return one.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows") -> DataFrame:
+# --- repeated keys: tiles of 64 key values --------------------------------------
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+TILE_BITS = 6            # 64 key values to a tile
+BROADCAST_TILES = 100_000  # of two numbers each
+
+
+def _tile_bits(keys: Sequence[str]) -> dict[str, int]:
+    """How many low bits of each key column say the place within a tile: all
+    six of a single column, else three of each of the last two."""
+    if len(keys) == 1:
+        return {keys[0]: TILE_BITS}
+    return {k: TILE_BITS // 2 if k in keys[-2:] else 0 for k in keys}
+
+
+def _counted(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], alias: str = "n_rows", compact: bool | None = None) -> DataFrame:
     """Primary-key check (S9): every key value held by more than one row.
 
-    NULL keys are grouped and reported like any other value.  The count is a
-    two-phase aggregate, so a key repeated by a third of the table is summed
-    map-side.
+    NULL keys are grouped and reported like any other value.
+
+    *Whole-number keys* (``compact``, the default for them) are summarised in
+    tiles of 64 neighbouring values before anything is shuffled: each task
+    keeps, for a tile, which values occur (OR of bits), which occur an odd
+    number of times (XOR) and how many rows there are.  Keys that lie together
+    in the files -- ids, as a rule -- make one small row for 64 keys instead of
+    64 rows.  Merged, ``rows = |OR| + |OR and not XOR|`` holds exactly where no
+    value occurs more than twice; then the values in OR but not in XOR are the
+    repeated ones, twice each, and nothing more is read.  Only rows of the other
+    tiles are shuffled by their key and counted, in a second pass over the key
+    columns; up to ``BROADCAST_TILES`` such tiles are broadcast, and beyond that
+    (a table most of whose keys occur three times or more) the plan counts all
+    keys plainly.  Which of the two holds is decided within the plan.
+
+    *Other keys*, and ``compact=False``, are counted by a two-phase aggregate;
+    a key repeated by a third of the table is summed map-side.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
-            .filter(F.col(alias) > 1))
+    keys = list(keys)
+    kinds = [df.schema[k].dataType for k in keys]
+    if compact is None:
+        compact = all(isinstance(dt, _WHOLE) for dt in kinds)
+    if not compact:
+        return _counted(df, keys, alias)
+    if not all(isinstance(dt, _WHOLE) for dt in kinds):
+        raise ValueError("tiles need whole-number keys")
+    slim = df.select(*[F.col(f"`{k}`") for k in keys])
+    whole = all_of(*[F.col(f"`{k}`").isNotNull() for k in keys])
+    some = slim.filter(whole)
+
+    bits = _tile_bits(keys)
+    tile = [f"__t{i}" for i in range(len(keys))]
+    high = [F.shiftright(F.col(f"`{k}`").cast("long"), bits[k]).alias(t) for k, t in zip(keys, tile)]
+    place, width = F.lit(0).cast("int"), 0
+    for k in reversed(keys):
+        low = F.col(f"`{k}`").cast("long").bitwiseAND(F.lit((1 << bits[k]) - 1).cast("long")).cast("int")
+        place, width = place + F.shiftleft(low, width), width + bits[k]
+    bit = F.expr("shiftleft(1L, __place)")
+    tiles = some.select(*high, place.alias("__place")).groupBy(*tile).agg(
+        F.bit_or(bit).alias("__or"), F.bit_xor(bit).alias("__xor"), F.count(F.lit(1)).alias("__rows"))
+    even = F.col("__or").bitwiseAND(F.bitwise_not(F.col("__xor")))
+    told = F.col("__rows") == F.bit_count("__or") + F.bit_count(even)
+
+    spots = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("getbit", even, i) == 1)
+    twice = tiles.filter(told & (even != 0)).select(*tile, F.explode(spots).alias("__place"))
+    values, width = [], 0
+    for k, t in zip(reversed(keys), reversed(tile)):
+        low = F.shiftright(F.col("__place"), width).bitwiseAND(F.lit((1 << bits[k]) - 1))
+        values.append((F.shiftleft(F.col(t), bits[k]) + low).cast(df.schema[k].dataType).alias(k))
+        width += bits[k]
+    twice = twice.select(*reversed(values), F.lit(2).cast("long").alias(alias))
+
+    unclear = tiles.filter(~told)
+    few = unclear.agg(F.count(F.lit(1)) <= BROADCAST_TILES).scalar()
+    listed = F.broadcast(unclear.select(*[F.col(t).alias(f"__u{i}") for i, t in enumerate(tile)]).limit(BROADCAST_TILES))
+    rows = some.filter(few).withColumns(dict(zip(tile, [h for h in high])))
+    rows = rows.join(listed, all_of(*[rows[t] == listed[f"__u{i}"] for i, t in enumerate(tile)]), "left_semi").drop(*tile)
+    # most tiles unclear: all keys counted
+    rest = slim.filter(~whole | ~few)
+    return twice.filter(few).unionByName(_counted(rows.unionByName(rest), keys, alias))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_keys: Sequence[str],

@@ -21,6 +21,8 @@ ADAPTIVE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # COUNT, MIN and MAX from Parquet footers, for tables read by ``read_footers``.
+    "spark.sql.parquet.aggregatePushdown": "true",
     # ANSI semantics: text/number mixes fail loudly instead of turning NULL.
     "spark.sql.ansi.enabled": "true",
 }

@@ -2,6 +2,7 @@
 
 * ``read_table``  -- declared-schema Parquet scan (S1, S3).  The scan is lazy;
   column pruning and filter pushdown reach it through Catalyst.
+* ``read_footers`` -- the same table for counts taken from its footers (S8).
 * ``register_views`` -- temp views for the SQL entry (S5).
 * ``scan_all`` / ``scan_ordered`` -- full scan and ordered scan (S3, S4).
 * ``write_snapshots`` -- persist a snapshot fact partitioned by its date
@@ -37,6 +38,27 @@ def read_table(spark: SparkSession, base_dir: str, name: str,
     return reader.parquet(table_path(base_dir, name))
 
 
+_V1 = "spark.sql.sources.useV1SourceList"
+
+
+def read_footers(spark: SparkSession, base_dir: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """The same table for counts that Parquet footers hold.
+
+    Planned by Spark's second file reader, which pushes ungrouped COUNT, MIN
+    and MAX into the scan where ``spark.sql.parquet.aggregatePushdown`` is on
+    (``session.configure`` sets it): the executors then read footers only.
+    Anything else -- a filter, a grouping -- is an ordinary scan.  Footers
+    without NULL counts (written with statistics switched off) make Spark
+    refuse the query; use ``read_table`` there.
+    """
+    old = spark.conf.get(_V1)
+    spark.conf.set(_V1, ",".join(x for x in old.split(",") if x != "parquet"))
+    try:
+        return read_table(spark, base_dir, name, schema)
+    finally:
+        spark.conf.set(_V1, old)
+
+
 def register_views(spark: SparkSession, base_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """Register each table as a temp view of the same name; return the frames."""
     frames = {}

@@ -1,5 +1,7 @@
 """Folders and helpers that the test modules share."""
 
+import contextlib
+
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"  # every query has rows here
 
@@ -15,3 +17,19 @@ def core_queries():
 
 def rows(df):
     return [tuple(r) for r in df.collect()]
+
+
+@contextlib.contextmanager
+def shuffled_bytes(spark):
+    """Yields a function that gives the bytes that stages begun inside have shuffled."""
+    context = spark.sparkContext._jsc.sc()
+    store, bus = context.statusStore(), context.listenerBus()
+
+    def written():
+        bus.waitUntilEmpty(30_000)
+        gateway = spark.sparkContext._gateway
+        found = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return {(found.apply(i).stageId(), found.apply(i).attemptId()): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before = written()
+    yield lambda: sum(n for k, n in written().items() if k not in before)
