@@ -49,10 +49,10 @@ from .arrays import slices
 from .memory import only, tidy, trim
 from .staging import staged
 
-PIECE_CHARS = 1 << 20
-SLICE_BYTES = 1 << 19
+PIECE_CHARS = 1 << 18
+SLICE_BYTES = 1 << 18
 BLOCK_BYTES = 4 << 20  # of text whose links make a block
-MEMO_BYTES = 32 << 20
+MEMO_BYTES = 16 << 20
 _ENTRY_BYTES = 200  # a short string, its number, their place in a dict, its ids
 _B_BITS = 24  # of a pair of ids
 
@@ -143,9 +143,9 @@ class TokenPair:
         self.a_length, self.b_length = (np.array([len(x) for x in own], np.int64) for own in (self.a_bytes, self.b_bytes))
         self.b_table = _Runs.of(self.b_bytes)
         self.blank = self.b.piece_to_id("▁")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.memo: dict[str, int] = {}  # chunk -> its place in the two below
         self.b_ids, self.good = _Runs.none(np.uint32), np.zeros(0, bool)
         self.seen = 0
@@ -168,7 +168,7 @@ class TokenPair:
         back byte by byte, and these pieces' ids of A and of B."""
         cut = [_EDGE.split(p) if _ODD_SPACE.search(p) else _PLAIN_CHUNK.findall(p) for p in pieces]
         if len(self.memo) * _ENTRY_BYTES + 2 * self.seen > MEMO_BYTES:
-            self._forget()
+            self.forget()
         if new := list(set().union(*cut).difference(self.memo)):
             self._learn(new)
         at = np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])
@@ -375,6 +375,7 @@ def _blocks(shared_a, shared_b):
             if held >= BLOCK_BYTES:
                 yield _block(ids, docs)
                 ids, docs, held = [], [], 0
+        aligner.pair.forget()  # the worker may stay idle for long
         if docs:
             yield _block(ids, docs)
 
