@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from relq.functions import expressions as X
 from relq.operators import aggregates as A
 from relq.operators import checks as K
+from relq.operators import domains as D
 from relq.operators import filters as P
 from relq.operators import joins as J
 from relq.operators import ordering as O
@@ -135,6 +136,27 @@ def profile_table(spark, d):
     return K.profile(t(spark, d, "orders"))
 
 
+CODE_COLUMNS = {"orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus", "l_linenumber"],
+                "customer": ["c_mktsegment", "c_nationkey"], "documents": ["lang", "source"], "labels": ["quality", "toxic"]}
+
+
+@query
+def profile_domain(spark, d):
+    parts = [D.value_domain(t(spark, d, name), cols).withColumn("table_name", F.lit(name)) for name, cols in CODE_COLUMNS.items()]
+    return functools.reduce(DataFrame.unionByName, parts).select(
+        "table_name", "column_name", "value", "n_rows", "domain_size", "exact")
+
+
+@query
+def profile_snapshots(spark, d):
+    # states per year, merged from a year on; the estimated columns are tested by their error bounds
+    orders = t(spark, d, "orders").withColumn("basis_year", X.date_key("o_orderdate", "yyyy"))
+    states = D.snapshot_states(orders, "basis_year", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"])
+    merged = D.merged_profile(states.filter(F.col("basis_year") >= 1997))
+    return merged.select("column_name", "data_type", "row_count", "non_null", "min_whole", "max_whole", "min_num", "max_num",
+                         F.substring("min_text", 1, 19).alias("min_text"), F.substring("max_text", 1, 19).alias("max_text"))
+
+
 CHECKED = ["region", "nation", "customer", "orders", "documents", "labels"]
 
 

@@ -74,6 +74,34 @@ def _profile_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+CODE_COLUMNS = {"orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus", "l_linenumber"],
+                "customer": ["c_mktsegment", "c_nationkey"], "documents": ["lang", "source"], "labels": ["quality", "toxic"]}
+
+
+def _domain_sql() -> str:
+    parts = []
+    for table, cols in CODE_COLUMNS.items():
+        for c in cols:
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n_rows, "
+                         f"COUNT(*) OVER () AS domain_size, TRUE AS exact FROM {table} GROUP BY {c}")
+    return " UNION ALL ".join(parts)
+
+
+def _snapshots_sql() -> str:
+    text = "CAST(NULL AS VARCHAR)"
+    parts = []
+    for c, dtype in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                     ("o_orderdate", "timestamp_ntz"), ("o_totalprice", "double")):
+        whole = [f"{f}({c})" if dtype == "bigint" else "CAST(NULL AS BIGINT)" for f in ("MIN", "MAX")]
+        num = [f"CAST({f}({c}) AS DOUBLE)" if dtype in ("bigint", "double") else "CAST(NULL AS DOUBLE)" for f in ("MIN", "MAX")]
+        shown = {"string": "{f}({c})", "timestamp_ntz": "strftime({f}({c}), '%Y-%m-%d %H:%M:%S')"}.get(dtype, text)
+        low, high = (shown.format(f=f, c=c) for f in ("MIN", "MAX"))
+        parts.append(f"SELECT '{c}' AS column_name, '{dtype}' AS data_type, COUNT(*) AS row_count, COUNT({c}) AS non_null, "
+                     f"{whole[0]} AS min_whole, {whole[1]} AS max_whole, {num[0]} AS min_num, {num[1]} AS max_num, "
+                     f"{low} AS min_text, {high} AS max_text FROM orders WHERE o_orderdate >= {_ts('1997-01-01')}")
+    return " UNION ALL ".join(parts)
+
+
 def _null_sql() -> str:
     declared = {
         "region": ("r_regionkey", ["r_regionkey", "r_name"]),
@@ -100,6 +128,8 @@ SQL: dict[str, str] = {
                   "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price "
                   "FROM orders GROUP BY o_orderstatus ORDER BY o_orderstatus"),
     "profile_table": _profile_sql(),
+    "profile_domain": _domain_sql(),
+    "profile_snapshots": _snapshots_sql(),
     "check_not_null": _null_sql(),
     "check_unique": ("SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem "
                      "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"),
