@@ -5,19 +5,22 @@
     python -m relq --list
 
 Prints the row count and the first N rows, as the course's run button does.
-The count is one distributed job and the preview a ``LIMIT``; the full
-result never passes through the driver.
+The query runs once: its result is written to the shared folder, the count
+observed on the way, and the preview is a ``LIMIT`` over what was written; the
+full result never passes through the driver.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+import tempfile
+import uuid
 
 from relq.plans.catalog import REGISTRY
-from relq.session import local_session
-from relq.sources.adhoc import row_count, run_sql
-from relq.sources.tables import preview, register_views
+from relq.session import ensure_checkpoint_dir, local_session
+from relq.sources.adhoc import run_sql
+from relq.sources.tables import preview, register_views, remove, write_result
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
 
@@ -47,8 +50,12 @@ def main(argv: list[str] | None = None) -> int:
     else:
         print(f"unknown query {args.query!r}; --list shows the names", file=sys.stderr)
         return 2
-    print(f"{row_count(df)} rows")
-    preview(df, args.rows).show(args.rows, truncate=False)
+    path = f"{ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix='relq-'))}/relq-result-{uuid.uuid4().hex}"
+    try:
+        print(f"{write_result(df, path)['rows']} rows")
+        preview(spark.read.schema(df.schema).parquet(path), args.rows).show(args.rows, truncate=False)
+    finally:
+        remove(spark, path)
     return 0
 
 

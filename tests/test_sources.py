@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from relq.operators import filters as P
 from relq.sources import schemas as S
-from relq.sources.tables import preview, scan_all, scan_ordered, write_result, write_snapshots
+from relq.sources.tables import SnapshotRefused, load_snapshots, preview, scan_all, scan_ordered, write_result, write_snapshots
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
@@ -110,3 +110,93 @@ def test_snapshot_write_spreads_a_hot_date(spark):
     files = [f for f in os.listdir(os.path.join(out, "BASIS_DY=20230630")) if f.endswith(".parquet")]
     assert len(files) > 1                     # the hot date was written by several tasks
     assert spark.read.parquet(out).count() == 30000
+
+
+def _files(root):
+    return {os.path.relpath(os.path.join(d, f), root): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_reloading_one_date_leaves_the_others(spark, housing, tmp_path):
+    out, status = str(tmp_path / "status"), housing["status"]
+    dates = {r["BASIS_DY"]: r["count"] for r in status.groupBy("BASIS_DY").count().collect()}
+    assert load_snapshots(status, out, "BASIS_DY", ["GRNT_NO"], dates) == dates
+    before = _files(out)
+    day = sorted(dates)[1]
+    changed = status.where(F.col("BASIS_DY") == day).withColumn("GRNT_SPLY_CNT", F.col("GRNT_SPLY_CNT") + 1000)
+    for _ in range(2):  # twice is once
+        assert load_snapshots(changed, out, "BASIS_DY", ["GRNT_NO"]) == {day: dates[day]}
+        after = _files(out)
+        of_day = lambda files: {f for f in files if f.startswith(f"BASIS_DY={day}")}
+        assert {f: t for f, t in after.items() if f not in of_day(after)} == {f: t for f, t in before.items() if f not in of_day(before)}
+        assert of_day(after) and not of_day(after) & of_day(before)
+        back = spark.read.schema(status.schema).parquet(out)
+        assert {r["BASIS_DY"]: r["count"] for r in back.groupBy("BASIS_DY").count().collect()} == dates
+        assert sorted(map(tuple, back.where(F.col("BASIS_DY") == day).select(status.columns).collect())) == sorted(map(tuple, changed.collect()))
+    assert not [d for d in os.listdir(out) if d.startswith("_incoming")]
+    new = status.limit(3).withColumn("BASIS_DY", F.lit("20240630"))
+    assert load_snapshots(new, out, "BASIS_DY", ["GRNT_NO"]) == {"20240630": 3}
+    assert spark.read.parquet(out).count() == 35
+
+
+@pytest.mark.parametrize(("fault", "message"), [
+    (lambda df: df.union(df.limit(1)), "key"),
+    (lambda df: df.withColumn("GRNT_NO", F.when(F.col("GRNT_NO") != df.first()["GRNT_NO"], F.col("GRNT_NO"))), "without GRNT_NO"),
+    (lambda df: df.withColumn("BASIS_DY", F.when(F.col("GRNT_NO") != df.first()["GRNT_NO"], F.col("BASIS_DY"))), "without a date"),
+    (lambda df: df.where(F.col("GRNT_NO") != df.first()["GRNT_NO"]), "expected"),
+])
+def test_a_load_that_fails_its_checks_changes_nothing(spark, housing, tmp_path, fault, message):
+    out, status = str(tmp_path / "status"), housing["status"]
+    dates = load_snapshots(status, out, "BASIS_DY", ["GRNT_NO"])
+    before = _files(out)
+    day = sorted(dates)[0]
+    with pytest.raises(SnapshotRefused, match=message):
+        load_snapshots(fault(status.where(F.col("BASIS_DY") == day)), out, "BASIS_DY", ["GRNT_NO"], {day: dates[day]})
+    assert _files(out) == before and set(os.listdir(out)) - {"_SUCCESS"} == {d.split("/")[0] for d in before}
+
+
+def test_result_sink_counts_while_it_writes(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), F.lit(None).cast("string").alias("none"))
+    store = spark.sparkContext._jsc.sc().statusStore()
+    jobs = lambda: store.jobsList(None).size()
+    before = jobs()
+    assert write_result(df, str(tmp_path / "r"), keys=["k", "none"]) == {"rows": 1000, "null_k": 100, "null_none": 1000}
+    assert jobs() == before + 1  # the write is the only run
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 1000
+    assert write_result(df.limit(0), str(tmp_path / "e"), keys=["k"]) == {"rows": 0, "null_k": 0}
+
+
+def test_dimension_filter_prunes_the_stored_fact(spark, tmp_path):
+    """J10 over written snapshots: only the folders of the codes that the filtered dimension keeps are read."""
+    from relq.operators import joins as J
+
+    out, dim_path = str(tmp_path / "fact"), str(tmp_path / "dim")
+    fact = spark.range(8000).select(F.concat(F.lit("2020"), F.lpad((F.col("id") % 4 + 1).cast("string"), 2, "0"), F.lit("30")).alias("BASIS_DY"),
+                                    F.concat(F.lit("Z"), (F.col("id") % 8).cast("string")).alias("ZONE"), F.col("id").alias("v"))
+    write_snapshots(fact, out, "BASIS_DY", code_cols=["ZONE"])
+    spark.createDataFrame([(f"Z{i}", "north" if i < 2 else "south") for i in range(8)], "CD_ID string, ZONE_TYPE string").write.parquet(dim_path)
+    stored, dim = spark.read.parquet(out), spark.read.parquet(dim_path)
+    df = J.dim_lookup(P.where(stored, P.eq("BASIS_DY", "20200130")), dim, "ZONE", "CD_ID", dim_filter=P.eq("ZONE_TYPE", "north"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    assert "dynamicpruning" in buf.getvalue()
+    got = df.select("v").collect()
+    assert sorted(r["v"] for r in got) == [i for i in range(8000) if i % 8 < 2 and i % 4 == 0]
+    written = [f for f in _files(out) if "BASIS_DY=20200130" in f]
+    df.collect()
+    scan = [n for n in _nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Scan parquet") and "BASIS_DY" in n.simpleString(100)]
+    read = sum(n.metrics().apply("numFiles").value() for n in scan)
+    assert 0 < read < len(written), (read, len(written))
+
+
+def _nodes(plan):
+    """All nodes of an executed plan, through adaptive stages."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        yield from _nodes(plan.executedPlan())
+        return
+    yield plan
+    inner = [plan.plan()] if name.endswith("QueryStage") else []
+    children = plan.children()
+    for child in inner + [children.apply(i) for i in range(children.size())]:
+        yield from _nodes(child)
