@@ -47,6 +47,8 @@ def test_predicates_reach_the_scan(plans):
     assert "StringEndsWith(p_name,bolt)" in plans["like_suffix"]
     assert "StringContains(text,license)" in plans["like_contains"]
     assert "In(o_orderstatus" in plans["filter_in"]
+    assert "StringStartsWith(c_name,Customer#)" in plans["like_single_char"]
+    assert "Or(Or(StringStartsWith(c_mktsegment,BU),StringStartsWith(c_mktsegment,Bu)),Or(StringStartsWith(c_mktsegment,bU),StringStartsWith(c_mktsegment,bu)))" in plans["like_ci"].replace(", ", ",") or plans["like_ci"].count("StringStartsWith(c_mktsegment") == 4
     assert "EqualTo(o_orderdate" in plans["filter_eq"]
 
 

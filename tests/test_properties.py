@@ -99,3 +99,25 @@ def test_full_outer_using_matches_native(spark, lrows, rrows):
     key = lambda df: sorted(map(tuple, df.collect()), key=str)
     ours = J.full_outer_join(a, b, "k")
     assert ours.columns == ["k", "a", "b"] and key(ours) == key(a.join(b, "k", "full"))
+
+
+signs = "aBkKiIßéÉ\u212aİı%_\\x"
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=signs, max_size=7)), max_size=20), st.text(alphabet=signs + "%_", max_size=6), st.booleans())
+def test_like_with_what_it_implies_matches_plain_like(spark, values, pattern, sensitive):
+    """Wildcards in any place, letters with more than two cases, UTF-8, backslashes, NULL."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*values, pattern, pattern.upper(), pattern.lower(), None])], "i int, s string")
+    escaped = pattern.replace("\\", "\\\\")
+    plain = F.col("s").like(escaped) if sensitive else F.col("s").ilike(escaped)
+    ours = P.like("s", pattern, case_sensitive=sensitive)
+    got = df.select("i", F.coalesce(ours, F.lit(False)).alias("m"), F.coalesce(plain, F.lit(False)).alias("p")).collect()
+    assert all(r["m"] == r["p"] for r in got), [r for r in got if r["m"] != r["p"]]
+    assert df.filter(ours).count() == df.filter(plain).count() and df.filter(P.negate(ours)).count() == df.filter(~plain).count()
+
+
+def test_what_patterns_imply():
+    assert P._literals("G-____-%3") == ("G-", "3", ["", "", "", "-"]) and P._literals("plain") == ("plain", "plain", [])
+    for pattern, sensitive in (("abc%", True), ("%abc", True), ("abc", True), ("___", True), ("%", False), ("k%", False), ("é%", False), ("_b%", False)):
+        assert P.implied("s", pattern, sensitive) is None, pattern
