@@ -3,12 +3,16 @@
 Tasks receive Arrow batches of whole texts.  ``slices`` cuts a batch into
 runs of rows of a few megabytes so that working arrays stay small however
 long the texts are in sum (a single text is never cut); ``Words`` finds the
-words of such a run and gives every word a 64-bit hash of its bytes, with
-array operations only.
+words of such a run and gives every word a hash of its bytes, with array
+operations only.
+
+The hash is a polynomial over a prime field.  (One modulo 2^64 would be
+cheaper, but texts with equal values are easy to come by there.)
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
-_ODD = 0x9E3779B97F4A7C15 | 1
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
+_P = np.uint64((1 << 61) - 1)  # a prime
+_BASE = 0x0F3D5A79B46C18E7 % int(_P)
+_BLOCK = 1 << 16  # bytes whose powers are kept
+_STEP = 1 << 13  # spans at a time: the working arrays stay in a core's cache
+_LOW, _29 = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1)
+_S3, _S29, _S32, _S61 = (np.uint64(n) for n in (3, 29, 32, 61))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -29,33 +37,63 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x mod 2^61 - 1, for x below 2^63."""
+    x = (x & _P) + (x >> _S61)
+    x -= _P * (x >= _P)
+    return x
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b mod 2^61 - 1, for a and b below 2^61."""
+    a1, a0, b1, b0 = a >> _S32, a & _LOW, b >> _S32, b & _LOW
+    middle, low = a1 * b0 + a0 * b1, a0 * b0
+    return _reduced((low & _P) + (low >> _S61) + (a1 * b1 << _S3) + (middle >> _S29) + ((middle & _29) << _S32))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash base and of its inverse mod 2^64."""
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for i, base in enumerate((_ODD, _ODD_INVERSE)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[i] = np.multiply.accumulate(p)
-    return _powers[0][:n], _powers[1][:n]
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base``."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, _times(out, np.uint64(pow(base, len(out), int(_P))))])
+    return out[:n]
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    up = _powers(_BASE, _BLOCK)
+    return up & _LOW, up >> _S32, _powers(pow(_BASE, -1, int(_P)), _BLOCK)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums S with S[e] - S[s] a position-weighted hash of data[s:e]."""
-    up, _ = powers(len(data) + 1)
+    """Prefix sums S of data[i] * base^i mod 2^61 - 1, so that S[e] - S[s] tells
+    the bytes s to e up to a power of the base.  The working arrays besides the
+    result are as large as a block."""
+    low, high, _ = _tables()
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * up[:-1], out=out[1:])
+    for at in range(0, len(data), _BLOCK):
+        own = data[at:at + _BLOCK].astype(np.uint64) + np.uint64(1)
+        a, b = np.cumsum(own * low[:len(own)]), np.cumsum(own * high[:len(own)])  # below 2^57 and 2^54
+        sums = _reduced(a + (b >> _S29) + ((b & _29) << _S32))
+        if at:
+            sums = _reduced(_times(sums, np.uint64(pow(_BASE, at, int(_P)))) + out[at])
+        out[at + 1:at + 1 + len(own)] = sums
     return out
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans [start, end); equal spans hash alike."""
-    _, down = powers(len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
+    *_, down = _tables()
+    blocks = _powers(pow(_BASE, -_BLOCK, int(_P)), len(prefix) // _BLOCK + 1)
+    out = np.empty(len(start), np.uint64)
+    for at in range(0, len(start), _STEP):
+        s, e = start[at:at + _STEP], end[at:at + _STEP]
+        back = down[s & (_BLOCK - 1)]
+        if len(blocks) > 1:
+            back = _times(back, blocks[s // _BLOCK])
+        difference = _reduced(prefix[e] + (_P - prefix[s]))
+        out[at:at + _STEP] = mix(_times(difference, back) ^ mix((e - s).astype(np.uint64)))
+    return out
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -62,7 +62,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return suffix_dedup.remaining(_documents(spark, sf_dir))
 
 
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

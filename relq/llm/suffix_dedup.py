@@ -24,8 +24,9 @@ for each task.  An anchor that occurs more than ``HOT`` times would bring one
 task too much; there, each 400-byte string is sent as a 128-bit fingerprint
 by ranges of the fingerprint, once for each task, and equal ones meet.
 
-Grams and whole strings are told apart by 64-bit (within one anchor's group)
-and 128-bit hashes.  Defined results: a null text is empty; texts below 400
+Strings of an anchor's group that have one hash are compared byte by byte before
+anything is removed; above ``HOT``, 128 bits of two hashes decide.  Defined
+results: a null text is empty; texts below 400
 bytes lose nothing; rows that share id and text are copies like any others.
 """
 
@@ -323,14 +324,32 @@ def _runs(ranges: int):
     return tidy(run)
 
 
+def _confirmed(data: np.ndarray, begin: np.ndarray, mate: np.ndarray) -> bool:
+    """Whether every string data[begin:][:LENGTH] equals data[mate:][:LENGTH].
+
+    Where the pair before is one byte to the left of both, only the last byte
+    is new; whole strings are compared at the beginnings of such runs.
+    """
+    goes_on = np.zeros(len(begin), bool)
+    goes_on[1:] = (begin[1:] == begin[:-1] + 1) & (mate[1:] == mate[:-1] + 1)
+    if (data[begin[goes_on] + LENGTH - 1] != data[mate[goes_on] + LENGTH - 1]).any():
+        return False
+    place, fresh = np.arange(LENGTH), np.flatnonzero(~goes_on)
+    return all((data[begin[k][:, None] + place] == data[mate[k][:, None] + place]).all() for k in np.array_split(fresh, len(fresh) // 512 + 1))
+
+
 def _repeats(members: list[tuple[int, bytes, bytes, int, int]]) -> pa.RecordBatch | None:
-    """Repeated strings among members (group, left, suffix, cid, first start)."""
+    """Repeated strings among members (group, left, suffix, cid, first start).
+
+    Strings of one anchor group are brought together by their hashes; that they
+    are equal is then confirmed byte by byte."""
     size = np.array([len(x[1]) + len(x[2]) for x in members], np.int64)
     offset = np.cumsum(size) - size
     count = size - LENGTH + 1
     own = np.repeat(np.arange(len(members)), count)
     nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    prefix = prefix_hash(np.frombuffer(b"".join(b"".join((x[1], x[2])) for x in members), np.uint8))
+    data = np.frombuffer(b"".join(b"".join((x[1], x[2])) for x in members), np.uint8)
+    prefix = prefix_hash(data)
     begin = offset[own] + nth
     to_anchor = np.array([len(x[1]) for x in members], np.int64)[own] - nth
     group = np.array([x[0] for x in members], np.int64)[own]
@@ -338,6 +357,16 @@ def _repeats(members: list[tuple[int, bytes, bytes, int, int]]) -> pa.RecordBatc
     order = np.argsort(key, kind="stable")
     ordered = key[order]
     same = ordered[1:] == ordered[:-1]
+    mate = np.full(len(key), -1)
+    mate[order[1:][same]] = order[:-1][same]
+    later = np.flatnonzero(mate >= 0)
+    if not _confirmed(data, begin[later], begin[mate[later]]):
+        # strings with one hash that differ: told apart by their bytes
+        raw, number = data.tobytes(), {}
+        exact = [number.setdefault((g, t, raw[b:b + LENGTH]), len(number)) for g, t, b in zip(group.tolist(), to_anchor.tolist(), begin.tolist())]
+        order = np.argsort(exact, kind="stable")
+        ordered = np.array(exact)[order]
+        same = ordered[1:] == ordered[:-1]
     hit = np.zeros(len(key), bool)
     hit[order[1:]] = same
     hit[order[:-1]] |= same
@@ -479,31 +508,51 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of each row.
-
-    ``keep_bytes`` adds what is left of the text as binary, null where all of
-    it is left."""
-    sketch, classes, cut = repeats(df, id_col, text_col)
+def _results(sketch: DataFrame, classes: DataFrame, cut: DataFrame, keep_bytes: bool) -> DataFrame:
+    """Each row's result, with the hash of its text (``body``)."""
     cut = cut.dropDuplicates(["cid"]) if keep_bytes else cut.drop("kept").dropDuplicates(["cid"])
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     result = classes.drop("grams", "doc_id", "body").join(cut, "cid", "left").select(
         F.col("rid").alias("leader"), F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.lit(_EMPTY)).otherwise(F.col("kept_sha256")).alias("own_sha256"), *([F.when(gone, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if keep_bytes else []))
-    out = sketch.select("doc_id", "n_bytes", "whole", "leader").join(result, "leader")
-    return out.select(F.col("doc_id").alias(id_col), "n_bytes", "n_removed", "n_spans", F.coalesce("own_sha256", "whole").alias("kept_sha256"), *(["kept"] if keep_bytes else []))
+    out = sketch.select("doc_id", "body", "n_bytes", "whole", "leader").join(result, "leader")
+    return out.select("doc_id", "body", "n_bytes", "n_removed", "n_spans", F.coalesce("own_sha256", "whole").alias("kept_sha256"), *(["kept"] if keep_bytes else []))
 
 
-def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with repeated bytes taken out of its texts.  A character that a
-    repeat's edge cuts through goes as a whole; a null text stays null."""
-    sketch, classes, cut = repeats(df, id_col, text_col)
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of each row.
+
+    ``keep_bytes`` adds what is left of the text as binary, null where all of
+    it is left."""
+    return _results(*repeats(df, id_col, text_col), keep_bytes).drop("body").withColumnRenamed("doc_id", id_col)
 
+
+def _as_text():
     @F.pandas_udf("string")
     def as_text(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: b.decode(errors="ignore"))
+        return raw.map(lambda b: None if b is None else b.decode(errors="ignore"))
+
+    return as_text
 
+
+def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, text) of each row, the last
+    being what is left of the text.  A character that a repeat's edge cuts
+    through goes as a whole from ``text`` (the hash is of the exact bytes); a
+    null text stays null."""
+    found = _results(*repeats(df, id_col, text_col), True).dropDuplicates(["doc_id", "body"])
+    found = found.withColumn("rest", _as_text()("kept")).drop("kept").withColumnRenamed("doc_id", "found_id")
+    own = df.select(F.col(id_col).cast("long").alias("own_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("own_body"))
+    both = own.join(found, F.col("own_id").eqNullSafe(F.col("found_id")) & (F.col("own_body") == F.col("body")))
+    return both.select(F.col("own_id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.when(F.col("text").isNotNull(), F.coalesce("rest", "text")).alias("text"))
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with repeated bytes taken out of its texts.  A character that a
+    repeat's edge cuts through goes as a whole; a null text stays null."""
+    sketch, classes, cut = repeats(df, id_col, text_col)
+    as_text = _as_text()
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     changed = (classes.drop("grams").join(cut.select("cid", as_text("kept").alias("rest")).dropDuplicates(["cid"]), "cid", "left").where(gone | F.col("rest").isNotNull())
                .select(F.col("rid").alias("leader"), F.when(gone, F.lit("")).otherwise(F.col("rest")).alias("rest")))

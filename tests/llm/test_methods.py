@@ -94,7 +94,7 @@ def test_grace_groups_spill_and_compare_contents():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, name):
     folder, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     df = queries.REGISTRY[name](spark, folder)
     want = con.execute(queries.SQL[name])
