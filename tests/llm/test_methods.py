@@ -268,6 +268,30 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, share, block):
     assert [got[i] for i in range(len(texts))] == _linked(sets, share)
 
 
+@pytest.mark.parametrize("share", [85, 60])
+def test_hot_groups_of_near_copies_equal_brute_force(spark, monkeypatch, share):
+    """Groups far above the block size: chains of copies, some of which only link through others."""
+    rng = random.Random(share)
+    texts = []
+    for size, noise in ((70, 0.002), (50, 0.01), (40, 0.03)):
+        start = [f"w{rng.randint(0, 5000)}" for _ in range(100)]
+        words = list(start)
+        for k in range(size):
+            texts.append(" ".join(words))
+            words = [w if rng.random() > noise else f"n{rng.randint(0, 5000)}" for w in (words if k % 5 else start)]
+    texts += texts[:30] + [None, "", "w1 w2"]
+    rng.shuffle(texts)
+    sets = [{tuple((t or "").split()[i:i + 5]) for i in range(max(1, len((t or "").split()) - 4))} if (t or "").split() else set() for t in texts]
+    want = _linked(sets, share)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    for block, rounds in ((6, 4), (6, 1), (512, 4)):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        monkeypatch.setattr(minhash, "ROUNDS", rounds)
+        monkeypatch.setattr(minhash.blocked, "__defaults__", (block,))
+        got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, share=share).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_signature_estimates():
     rng = np.random.default_rng(1)
     pool = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
