@@ -9,6 +9,10 @@ two the false positives of level one among all candidate keys of the corpus,
 level three those listed keys that level two takes for false positives, and
 so on until a level has none.  No table is joined.
 
+The cascade works on 64-bit hashes; keys that it takes for listed -- few, as a
+rule -- are looked up by their text before they decide, so two keys of one hash
+are never mixed up.
+
 A level's bits are proportional to the keys it encodes, and the first level's
 to the list: at most ``MAX_LISTED`` keys, which is checked.  False positives
 are found by Spark over the whole corpus, made distinct there, and only their
@@ -29,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrays import mix
 
-MAX_LISTED = 10_000_000
+MAX_LISTED = 1_000_000
 BITS_PER_KEY = 24
 HASHES = 12
 
@@ -83,7 +87,7 @@ def build(listed: DataFrame, universe: DataFrame, key: str = "key") -> Cascade:
         raise ValueError(f"{n} listed keys; the cascade is built for {MAX_LISTED} at most")
     members = np.array([r["h"] for r in rows.collect()], np.int64).astype(np.uint64)
     cascade = Cascade()
-    own = spark.sparkContext.broadcast(set(members.tolist()))
+    own = spark.sparkContext.broadcast(np.sort(members))
     candidates = universe.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
     inside, outside = members, None
     while len(inside) if len(cascade.levels) % 2 == 0 else len(outside):
@@ -95,8 +99,11 @@ def build(listed: DataFrame, universe: DataFrame, key: str = "key") -> Cascade:
             @F.pandas_udf("boolean")
             def false_positive(h: pd.Series) -> pd.Series:
                 keys = h.to_numpy().astype(np.uint64)
-                hit = first.value.holds(keys)
-                return pd.Series(hit & ~np.isin(keys, np.fromiter(own.value, np.uint64, len(own.value)))) if hit.any() else pd.Series(hit)
+                hit = np.flatnonzero(first.value.holds(keys))
+                at = np.minimum(np.searchsorted(own.value, keys[hit]), len(own.value) - 1)
+                out = np.zeros(len(keys), bool)
+                out[hit] = own.value[at] != keys[hit]
+                return pd.Series(out)
 
             outside = np.array([r["h"] for r in candidates.where(false_positive("h")).distinct().collect()], np.int64).astype(np.uint64)
         elif even:
@@ -141,11 +148,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
         flat = np.concatenate([*hashes, np.zeros(0, np.int64)]).astype(np.int64).astype(np.uint64)
         return pd.Series(np.split(cascade.value.listed(flat), np.cumsum(size)[:-1]) if len(size) else [])
 
+    table = spark.sparkContext.broadcast(verdict)  # at most MAX_LISTED rules
+
+    @F.pandas_udf("rule string, verdict string")
+    def decided(fitting: pd.Series) -> pd.DataFrame:
+        known, rule = table.value, []
+        for keys in fitting:
+            own = [k for k in keys if k in known]
+            rule.append(min(own, key=lambda k: (-len(k), k)) if own else None)
+        return pd.DataFrame({"rule": pd.Series(rule, dtype=object), "verdict": pd.Series([known.get(r, "allow") for r in rule], dtype=object)})
+
     hit = keyed.withColumn("hit", holds(F.transform("keys", lambda k: F.xxhash64(k))))
-    fitting = F.expr("filter(keys, (k, i) -> hit[i])")
-    best = F.array_sort(fitting, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    out = hit.withColumn("rule", F.get(best, F.lit(0)))
-    decided = F.lit("allow")
-    for k, v in verdict.items():
-        decided = F.when(F.col("rule") == k, F.lit(v)).otherwise(decided)
-    return out.select(F.col("id").alias(id_col), "host", "path", "rule", decided.alias("verdict"))
+    out = hit.withColumn("decided", decided(F.expr("filter(keys, (k, i) -> hit[i])")))
+    return out.select(F.col("id").alias(id_col), "host", "path", "decided.rule", "decided.verdict")
