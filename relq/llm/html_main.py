@@ -229,8 +229,8 @@ def main_text(page: str, weight: dict[str, float]) -> str:
             nearest = next((v for v in reversed(values) if abs(v) > LEAST), 0.0)
             stands[held] = nearest < 0, sum(v for v in values if v > 0)
         against, said = stands[held]
-        if kind == "text":
-            pieces.append((block, text, against))
+        if kind == "text" or text == "br/":
+            pieces.append((block, text if kind == "text" else " ", against))
         if against:  # its words are left out; the whole container counts about as one bad tag
             gain = (0.0 if kind == "text" else -LEAST) - (0.0 if was_against else LARGEST_TAG)
         else:
