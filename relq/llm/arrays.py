@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 1 << 20
 _P = np.uint64((1 << 61) - 1)  # a prime
 _BASE = 0x0F3D5A79B46C18E7 % int(_P)
-_BLOCK = 1 << 16  # bytes whose powers are kept
+_BLOCK = 1 << 19  # bytes whose powers are kept
 _STEP = 1 << 13  # spans at a time: the working arrays stay in a core's cache
 _LOW, _29 = np.uint64((1 << 32) - 1), np.uint64((1 << 29) - 1)
 _S3, _S29, _S32, _S61 = (np.uint64(n) for n in (3, 29, 32, 61))
@@ -62,7 +62,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 @functools.cache
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up = _powers(_BASE, _BLOCK)
-    return up & _LOW, up >> _S32, _powers(pow(_BASE, -1, int(_P)), _BLOCK)
+    return (up & _LOW).astype(np.uint32), (up >> _S32).astype(np.uint32), _powers(pow(_BASE, -1, int(_P)), _BLOCK)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
@@ -71,13 +71,13 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     result are as large as a block."""
     low, high, _ = _tables()
     out = np.zeros(len(data) + 1, np.uint64)
-    for at in range(0, len(data), _BLOCK):
-        own = data[at:at + _BLOCK].astype(np.uint64) + np.uint64(1)
-        a, b = np.cumsum(own * low[:len(own)]), np.cumsum(own * high[:len(own)])  # below 2^57 and 2^54
+    for at in range(0, len(data), _STEP):
+        own, within = data[at:at + _STEP].astype(np.uint64) + np.uint64(1), at % _BLOCK
+        a, b = np.cumsum(own * low[within:within + len(own)]), np.cumsum(own * high[within:within + len(own)])  # below 2^54 and 2^51
         sums = _reduced(a + (b >> _S29) + ((b & _29) << _S32))
-        if at:
-            sums = _reduced(_times(sums, np.uint64(pow(_BASE, at, int(_P)))) + out[at])
-        out[at + 1:at + 1 + len(own)] = sums
+        if at >= _BLOCK:
+            sums = _times(sums, np.uint64(pow(_BASE, at - within, int(_P))))
+        out[at + 1:at + 1 + len(own)] = _reduced(sums + out[at])
     return out
 
 
@@ -92,7 +92,9 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         if len(blocks) > 1:
             back = _times(back, blocks[s // _BLOCK])
         difference = _reduced(prefix[e] + (_P - prefix[s]))
-        out[at:at + _STEP] = mix(_times(difference, back) ^ mix((e - s).astype(np.uint64)))
+        length = (e - s).astype(np.uint64)
+        length = length[:1] if (length == length[0]).all() else length
+        out[at:at + _STEP] = mix(_times(difference, back) ^ mix(length))
     return out
 
 

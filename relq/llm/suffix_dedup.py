@@ -56,6 +56,7 @@ RANGE_BYTES = 8 << 20
 _SLICE = 1 << 19
 _PLACE = np.uint64((1 << 31) - 1)
 _TWIN = np.uint64(0x2545F4914F6CDD1D)
+_EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -480,19 +481,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))], names=["cid", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sketch, classes, cut): every row with its leader; every distinct text
-    with its class ``cid`` and number of copies; the texts that lose bytes, with
-    what is left of them."""
+def places(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(sketch, classes, texts, found): every row with its leader; every distinct
+    text with its class ``cid`` and number of copies; the texts that may lose
+    bytes; and by class the first and last starts of repeated strings."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("body", F.xxhash64("text"))
     sketch = staged(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "body", "text").mapInArrow(_sketch, _SKETCH), "anchors")
     leaders = sketch.where(F.col("rid") == F.col("leader"))
     copies = sketch.groupBy("whole", "leader").agg(F.count("*").alias("n")).groupBy("whole").agg(F.sum("n").alias("copies"), F.min("leader").alias("cid"))
     classes = staged(leaders.join(copies, "whole").select("rid", "cid", "copies", "n_bytes", "doc_id", "body", F.when(F.col("rid") == F.col("cid"), F.col("grams")).alias("grams")), "texts")
 
-    places = classes.where(F.col("rid") == F.col("cid")).select("cid", F.explode("grams").alias("gram"))
-    several = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    found = aggregated_join(places, several, "gram")
+    anchored = classes.where(F.col("rid") == F.col("cid")).select("cid", F.explode("grams").alias("gram"))
+    several = anchored.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    found = aggregated_join(anchored, several, "gram")
     wanted = staged(found.groupBy("cid").agg(F.collect_set(F.when(F.col("n") <= HOT, F.col("gram"))).alias("common"), F.collect_set(F.when(F.col("n") > HOT, F.col("gram"))).alias("hot"), F.count("*").alias("n"))
                     .join(classes.where(F.col("rid") == F.col("cid")).select("cid", F.col("doc_id").alias("wid"), F.col("body").alias("wbody")), "cid"), "wanted")
     ranges = max(1, -(-(wanted.agg(F.sum("n")).first()[0] or 0) * (LENGTH + WINDOW // 2) // RANGE_BYTES))
@@ -501,11 +502,18 @@ def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     merged = runs.where(F.col("run").isNotNull()).select("task", "hot", "run").repartitionById(ranges, F.col("task").cast("int")).sortWithinPartitions("task", "hot").mapInArrow(_merge, "cid long, first long, last long")
     starts = merged.union(runs.where(F.col("cid").isNotNull()).select("cid", "first", "last"))
     by_text = starts.groupBy("cid").agg(F.collect_set(F.struct("first", "last")).alias("found"))
+    return sketch, classes, texts, by_text
+
+
+def repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sketch, classes, cut): as ``places``; and the texts that lose bytes, with
+    what is left of them."""
+    sketch, classes, texts, by_text = places(df, id_col, text_col)
     cut = texts.select("cid", "text").join(by_text, "cid").mapInArrow(_cut, "cid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return sketch, classes, cut
 
 
-_EMPTY = hashlib.sha256(b"").hexdigest()
+
 
 
 def _results(sketch: DataFrame, classes: DataFrame, cut: DataFrame, keep_bytes: bool) -> DataFrame:
@@ -536,16 +544,45 @@ def _as_text():
     return as_text
 
 
+_REMAINING = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
+
+
+@tidy
+def _finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    drop()
+    for part in slices(batches, "text"):
+        rows = []
+        for text, n, whole, gone, found in zip(*(part.column(c).to_pylist() for c in ("text", "n_bytes", "whole", "gone", "found"))):
+            if gone:
+                rows.append((n, 1, _EMPTY, None if text is None else ""))
+            elif not found:
+                rows.append((0, 0, whole, text))
+            else:
+                raw, kept, at = text.encode(), [], 0
+                spans = _covered(np.array([f["first"] for f in found]), np.array([f["last"] for f in found]))
+                for a, b in spans:
+                    kept.append(raw[at:a])
+                    at = b
+                kept = b"".join([*kept, raw[at:]])
+                rows.append((len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
+        removed, spans, sha, text = zip(*rows)
+        yield pa.record_batch({"id": part.column("id"), "n_bytes": part.column("n_bytes"), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
+                               "kept_sha256": pa.array(sha, pa.string()), "text": pa.array(text, pa.string())})
+
+
 def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, text) of each row, the last
     being what is left of the text.  A character that a repeat's edge cuts
     through goes as a whole from ``text`` (the hash is of the exact bytes); a
-    null text stays null."""
-    found = _results(*repeats(df, id_col, text_col), True).dropDuplicates(["doc_id", "body"])
-    found = found.withColumn("rest", _as_text()("kept")).drop("kept").withColumnRenamed("doc_id", "found_id")
-    own = df.select(F.col(id_col).cast("long").alias("own_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("own_body"))
-    both = own.join(found, F.col("own_id").eqNullSafe(F.col("found_id")) & (F.col("own_body") == F.col("body")))
-    return both.select(F.col("own_id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", F.when(F.col("text").isNotNull(), F.coalesce("rest", "text")).alias("text"))
+    null text stays null.  Only the places of repeats are sent about; the texts
+    meet them once, at the end."""
+    sketch, classes, _, found = places(df, id_col, text_col)
+    gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
+    of_class = classes.select("rid", "cid", gone.alias("gone")).join(found, "cid", "left").select(F.col("rid").alias("leader"), "gone", "found")
+    of_row = sketch.select(F.col("doc_id").alias("found_id"), "body", "n_bytes", "whole", "leader").join(of_class, "leader").drop("leader").dropDuplicates(["found_id", "body"])
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("own_body"))
+    both = own.join(of_row, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("own_body") == F.col("body")))
+    return both.select("id", "text", "n_bytes", "whole", "gone", "found").mapInArrow(_finished, _REMAINING).withColumnRenamed("id", id_col)
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -309,6 +309,21 @@ def test_components_of_long_paths(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 104)}}
 
 
+def test_many_rules_and_keys_of_one_hash(spark, monkeypatch):
+    rules = [("block" if i % 3 else "allow", f"site{i}.org/p{i % 7}/") for i in range(20_000)]
+    urls = [(i, f"http://www.site{i % 30_000}.org/p{i % 7}/x") for i in range(0, 60_000, 7)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    known = {k: v for v, k in rules}
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(pages, rules).collect()}
+    for i, _ in urls:
+        key = f"site{i % 30_000}.org/p{i % 7}/"
+        assert got[i] == ((key, known[key]) if key in known else (None, "allow"))
+    # a cascade that takes every key for listed: the text decides
+    monkeypatch.setattr(url_filter.Cascade, "listed", lambda self, keys: np.ones(len(keys), bool))
+    few = url_filter.judge(pages.limit(5), rules[:1]).collect()
+    assert [r["rule"] for r in few] == [rules[0][1] if r["host"] == "www.site0.org" and r["path"].startswith("/p0/") else None for r in few]
+
+
 def test_cascade_is_exact(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)  # many false positives: many levels
     universe = spark.range(20000).select(F.concat(F.lit("k"), "id").alias("key"))
