@@ -103,21 +103,22 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def validate(df: DataFrame, name: str, not_null: Sequence[str], keys: Sequence[str],
-             counted: DataFrame | None = None) -> DataFrame:
+             counted: DataFrame | None = None, compact: bool | None = None) -> DataFrame:
     """Check one table against its declaration: its NOT NULL columns (S8) and key.
 
     One row for each declared column with its NULL count, and one for the key
     (``a,b``) with the number of key values that more than one row holds.
     NULLs are counted in one pass without a shuffle (``counted``: the same
     table read by its footers, else ``df``); the key goes through
-    ``duplicate_keys``.
+    ``duplicate_keys`` (``compact`` as there: tiles are not worth their passes
+    on a code table).
     """
     source = df if counted is None else counted
     n = [f"__n{i}" for i in range(len(not_null))]
     nulls = source.agg(F.count(F.lit(1)).alias("__all"), F.lit(0).cast("long").alias("__twice"),
                        *[(F.count(F.lit(1)) - F.count(F.col(c))).alias(x) for c, x in zip(not_null, n)])
     zero = F.lit(0).cast("long")
-    twice = duplicate_keys(df, keys, "__rows").agg(F.count(F.lit(1)).alias("__twice")).select(
+    twice = duplicate_keys(df, keys, "__rows", compact).agg(F.count(F.lit(1)).alias("__twice")).select(
         zero.alias("__all"), "__twice", *[zero.alias(x) for x in n])
     one = nulls.unionByName(twice).agg(*[F.max(c).alias(c) for c in ("__all", "__twice", *n)])
 
