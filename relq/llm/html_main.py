@@ -30,6 +30,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -59,7 +60,11 @@ FRAME_SHARE, PROSE = 10, 10  # words in a frame for one outside; least words of
 PRIOR_WORDS = 20.0
 LARGEST = 3.0
 LEAST, LARGEST_TAG, LEAST_WORD = 0.1, 1.0, 0.5  # containers say more than a single tag
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|[^<]+|<", re.S)
+# Possessive parts throughout: what is read once is not read again.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|[^<]++|<(/?)([A-Za-z][^\s/>]*+)|<", re.S)
+# What may stand behind a tag's name; quotes only count where a value begins, and
+# a value whose quote is never closed goes on to the end of the page.
+_ATTRIBUTES = re.compile(r"(?:[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|(?![\"'])[^\s>]*+))?+|=)*+")
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Za-z]+")
 
@@ -73,73 +78,114 @@ def containers(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(own))
 
 
+class Container:
+    """A container around tokens, in the one that it stands in."""
+
+    __slots__ = ("outer", "place", "names", "depth", "value", "positive", "chain", "can", "nearest", "said")
+
+    def __init__(self, outer: Container | None, place: int, names: tuple[str, ...]):
+        self.outer, self.place, self.names = outer, place, names
+        self.depth = 1 + (outer.depth if outer else 0)
+
+
 def tokens(page: str):
-    """(kind, text or tag, containers, hidden) of each token: kind is ``text``,
-    ``block`` (a tag at which a block ends) or ``tag`` (any other tag);
-    containers are (place in the page, names), the outermost first."""
-    stack: list[tuple[str, tuple[tuple[int, tuple[str, ...]], ...], bool]] = []
+    """(kind, text or tag, container, hidden) of each token: kind is ``text``,
+    ``block`` (a tag at which a block ends) or ``tag`` (any other tag); the
+    container is the innermost one, or None.  Time is linear in the page."""
+    # open elements: tag, container, hidden, place in the stack of the innermost block element
+    stack: list[tuple[str, Container | None, bool, int]] = []
+    opened: dict[str, int] = {}
     at = 0
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            opened[stack.pop()[0]] -= 1
+
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
-        closing, tag, attributes = m[1], m[2], m[3]
-        held, hidden = (stack[-1][1], stack[-1][2]) if stack else ((), False)
+        closing, tag = m[1], m[2]
         if tag is None:
             if not m[0].startswith(("<!", "<?")):
-                yield "text", m[0], held, hidden
+                yield "text", m[0], *(stack[-1][1:3] if stack else (None, False))
             continue
+        begin, at = at, _ATTRIBUTES.match(page, at).end()
+        attributes, at = page[begin:at], at + 1
         tag = tag.lower()
-        kind = "block" if tag in BLOCK_TAGS else "tag"
+        kind, hidden = "block" if tag in BLOCK_TAGS else "tag", stack[-1][2] if stack else False
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
+            if opened.get(tag):
+                depth = len(stack) - 1
+                while stack[depth][0] != tag:
+                    depth -= 1
+                close(depth)
         else:
             # inline elements left open in a paragraph end with it
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSED_BY_SIBLING and tag in CLOSED_BY_SIBLING[stack[i][0]]:
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCK_TAGS:
-                    break
-            held, hidden = (stack[-1][1], stack[-1][2]) if stack else ((), False)
+            block = stack[-1][3] if stack else -1
+            if block >= 0 and tag in CLOSED_BY_SIBLING.get(stack[block][0], ()):
+                close(block)
+            _, held, hidden, block = stack[-1] if stack else ("", None, False, -1)
             if tag not in VOID_TAGS and not attributes.rstrip().endswith("/"):
                 own = containers(tag, attributes)
-                stack.append((tag, (*held, (at, own)) if own else held, hidden or tag in HIDDEN_TAGS))
+                stack.append((tag, Container(held, at, own) if own else held, hidden or tag in HIDDEN_TAGS, len(stack) if tag in BLOCK_TAGS else block))
+                opened[tag] = opened.get(tag, 0) + 1
             if tag in RAW_TAGS:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*+>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
-                stack.pop()
-        yield kind, f"{tag}/" if tag in KNOWN_TAGS else "tag/", (stack[-1][1] if stack else ()), hidden
+                if stack and stack[-1][0] == tag:
+                    close(len(stack) - 1)
+        yield kind, f"{tag}/" if tag in KNOWN_TAGS else "tag/", stack[-1][1] if stack else None, hidden
+
 
+def _outwards(held: Container | None):
+    while held is not None:
+        yield held
+        held = held.outer
 
-def _marked(held) -> bool:
+
+def _marked(held: Container | None, known: dict[Container | None, bool]) -> bool:
     """Whether the nearest container marks content; one that says both (an
     ``article`` with a comment's class) leaves it to those around it."""
-    both = False
-    for _, names in reversed(held):
-        content = names[0][1:-1] in CONTENT_TAGS
-        if not content or len(names) == 1:
-            return content
-        both = True
-    return both
+    passed = []
+    for one in _outwards(held):
+        if one in known:
+            break
+        passed.append(one)
+    for one in reversed(passed):
+        content = one.names[0][1:-1] in CONTENT_TAGS
+        if content and len(one.names) > 1:
+            known[one] = known[one.outer] if one.outer is not None else True
+        else:
+            known[one] = content
+    return known[held] if held is not None else False
 
 
 def counts(page: str) -> dict[tuple[str, bool], int]:
     """Words and tags, all in all and by container, inside and outside of the
     marked content; nothing for a page that marks none."""
     out: dict[tuple[str, bool], int] = {}
+    known: dict[Container | None, bool] = {}
+    keys: dict[Container | None, frozenset[str]] = {None: frozenset(["word"])}
     marked = False
     for kind, text, held, hidden in tokens(page):
         if hidden:
             continue
-        marked |= any(h[1:-1] in CONTENT_TAGS for _, names in held for h in names)
-        inside = _marked(held)
+        inside = _marked(held, known)
+        if held not in keys:
+            passed = []
+            for one in _outwards(held):
+                if one in keys:
+                    break
+                passed.append(one)
+            for one in reversed(passed):
+                # classes of a content element say nothing about containers
+                content = one.names[0][1:-1] in CONTENT_TAGS
+                keys[one] = keys[one.outer].union(one.names[:1] if content else one.names)
+                marked |= content
         if kind == "text":
             n = len(text.split())
             if n:
-                # classes of a content element say nothing about containers
-                for key in {"word", *(h for _, names in held for h in (names[:1] if names[0][1:-1] in CONTENT_TAGS else names))}:
+                for key in keys[held]:
                     out[key, inside] = out.get((key, inside), 0) + n
         else:
             out[text, inside] = out.get((text, inside), 0) + 1
@@ -159,56 +205,93 @@ def weights(found: dict[tuple[str, bool], int]) -> dict[str, float]:
     return out
 
 
+class _Against:
+    """A container that speaks against content, in the next such one outside of
+    it (up to one that speaks for content)."""
+
+    __slots__ = ("place", "outer", "inner", "prose", "within", "listed")
+
+    def __init__(self, place: int, outer: _Against | None):
+        self.place, self.outer, self.inner, self.prose, self.within, self.listed = place, outer, [], 0, 0, False
+
+
+def _valued(held: Container, weight: dict[str, float], done: set[int]) -> None:
+    """What a container and those around it say."""
+    passed = []
+    for one in _outwards(held):
+        if one.place in done:
+            break
+        passed.append(one)
+    for one in reversed(passed):
+        outer = one.outer
+        done.add(one.place)
+        one.value = sum(weight[h] for h in one.names)
+        one.positive, one.chain, one.can = (outer.positive, outer.chain, outer.can) if outer else (None, None, True)
+        if one.value > LEAST:
+            one.positive, one.chain, one.can = one, None, True
+        elif one.value < -LEAST:
+            one.chain, one.can = _Against(one.place, one.chain), one.can and FRAMES.issuperset(one.names)
+
+
 def frames(found: list, weight: dict[str, float]) -> frozenset[int]:
     """Places of the containers that speak against content but stand around
     nearly all of the page, from outside in: every container that speaks for
     content is inside, and there is ``FRAME_SHARE`` times as much prose (blocks
     of ``PROSE`` words) inside as there are words that stand in none."""
-    block, texts, size = 0, [], {}
-    chains: dict[tuple, tuple[int, ...] | None] = {}  # by containers: those against, None if one can't be a frame
-    allowed: set[int] | None = None
+    block, texts, size, done = 0, [], {}, set()
+    first: Container | None = None  # that speaks for content
+    shared, depth = 0, 0  # containers that stand around all of those, and least depth since the first
     for kind, text, held, hidden in found:
-        if kind == "block":
-            block += 1
+        block += kind == "block"
+        depth = min(depth, held.depth if held else 0)
         if hidden:
             continue
-        if held not in chains:
-            can, own = True, []
-            for at in range(len(held) - 1, -1, -1):
-                place, names = held[at]
-                value = sum(weight[h] for h in names)
-                if value > LEAST:
-                    outer = {place for place, _ in held[:at]}
-                    allowed = outer if allowed is None else allowed & outer
-                    break
-                if value < -LEAST:
-                    own.append(place)
-                    can &= FRAMES.issuperset(names)
-            chains[held] = tuple(reversed(own)) if can else None
+        if held is not None:
+            if held.place not in done:
+                _valued(held, weight, done)
+            if held.positive is not None:
+                if first is None:
+                    first, shared, depth = held.positive, held.positive.depth - 1, held.depth
+                shared = min(shared, depth, held.positive.depth - 1)
         if kind == "text":
             n = len(text.split())
-            texts.append((block, chains[held], n))
+            texts.append((block, held, n))
             size[block] = size.get(block, 0) + n
-    prose: dict[tuple[int, ...], int] = {}
-    free = 0
-    for block, chain, n in texts:
-        if chain == ():
-            free += n
-        elif chain is not None and size[block] >= PROSE:
-            prose[chain] = prose.get(chain, 0) + n
+    outside, links = 0, []
+    for block, held, n in texts:
+        if held is None or held.can and held.chain is None:
+            outside += n
+        elif held.can and size[block] >= PROSE:
+            link = held.chain
+            link.prose += n
+            while link is not None and not link.listed:
+                link.listed = True
+                links.append(link)
+                link = link.outer
+    links.sort(key=lambda x: -x.place)  # inner ones begin behind those around them
+    for link in links:
+        link.within += link.prose
+        if link.outer is not None:
+            link.outer.within += link.within
+            link.outer.inner.append(link)
+    allowed = None
+    if first is not None:
+        allowed = {one.place for one in _outwards(first) if one.depth <= shared}
+    # the largest of the outermost ones, as long as it is large enough
+    heap = [(-x.within, x.place, x) for x in links if x.outer is None]
+    heapify(heap)
     around: set[int] = set()
-    while True:
-        outside, within = free, {}
-        for chain, n in prose.items():
-            first = next((place for place in chain if place not in around), None)
-            if first is None:
-                outside += n
-            elif allowed is None or first in allowed:
-                within[first] = within.get(first, 0) + n
-        most = max(within, key=within.__getitem__, default=None)
-        if most is None or within[most] <= FRAME_SHARE * outside:
-            return frozenset(around)
-        around.add(most)
+    while heap:
+        within, place, link = heappop(heap)
+        if allowed is not None and place not in allowed:
+            continue
+        if -within <= FRAME_SHARE * outside:
+            break
+        around.add(place)
+        outside += link.prose
+        for x in link.inner:
+            heappush(heap, (-x.within, x.place, x))
+    return frozenset(around)
 
 
 def main_text(page: str, weight: dict[str, float]) -> str:
@@ -218,17 +301,25 @@ def main_text(page: str, weight: dict[str, float]) -> str:
     block, was_against = 0, False
     found = list(tokens(page))
     around = frames(found, weight)
-    stands: dict[tuple, tuple[bool, float]] = {}  # by containers: against, what they say otherwise
+    seen: set[int] = set()
     for kind, text, held, hidden in found:
-        if kind == "block":
-            block += 1
+        block += kind == "block"
         if hidden:
             continue
-        if held not in stands:
-            values = [sum(weight[h] for h in names) for place, names in held if place not in around]
-            nearest = next((v for v in reversed(values) if abs(v) > LEAST), 0.0)
-            stands[held] = nearest < 0, sum(v for v in values if v > 0)
-        against, said = stands[held]
+        against, said = False, 0.0
+        if held is not None:
+            if held.place not in seen:
+                passed = []
+                for one in _outwards(held):
+                    if one.place in seen:
+                        break
+                    passed.append(one)
+                for one in reversed(passed):
+                    seen.add(one.place)
+                    value = 0.0 if one.place in around else one.value
+                    one.nearest = value if abs(value) > LEAST else one.outer.nearest if one.outer else 0.0
+                    one.said = (one.outer.said if one.outer else 0.0) + max(value, 0.0)
+            against, said = held.nearest < 0, held.said
         if kind == "text" or text == "br/":
             pieces.append((block, text if kind == "text" else " ", against))
         if against:  # its words are left out; the whole container counts about as one bad tag

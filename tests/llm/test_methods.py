@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import duckdb
 import numpy as np
@@ -497,3 +498,83 @@ def test_pipeline_equals_brute_force(spark):
         have[r["doc_id"]] = have.get(r["doc_id"], 0) + r["length"]
     assert have == total
     assert len({r["sequence_id"] for r in packed}) <= -(-sum(total.values()) // 4096) + 1
+
+
+def test_word_encoder_equals_the_library():
+    """Every word of the vocabulary, every plain character between others, and mixtures."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as f:
+        text = f.read()
+    reference, encoder = Tokenizer.from_str(text), packing.WordEncoder(text)
+    back = {c: b for c, b in packing.byte_letters().items()}
+    words = []
+    for token in json.loads(text)["model"]["vocab"]:
+        raw = bytes(back[c] for c in token.removesuffix("</w>") if c in back)
+        words.append(raw.decode(errors="ignore"))
+    rng = random.Random(12)
+    signs = [*"abXYZ ,.'!?\n\t09éßİΩ数_-", "'s", "'LL", "'ve", "''", "<|endoftext|>", "\x1c", "\xa0", "\x85", "don't", "ı", "ﬁ", "é", "̀", "ǅ", "²", "½"]
+    texts = [" ".join(words[i:i + 50]) for i in range(0, len(words), 50)] + words[::7]
+    texts += [f"a{chr(c)}b {chr(c)}{chr(c)}1'{chr(c)} '{chr(c)}s" for c in range(0x2FF)]
+    texts += ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(6000)] + ["", " ", "'", "'r", "'re", "x'", "'l'l", "''s", "1's", "'tis 'veto 'llama"]
+    got = [x for i in range(0, len(texts), 500) for x in encoder.encode(texts[i:i + 500])]
+    want = [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+    wrong = [t for t, g, w in zip(texts, got, want) if np.frombuffer(g, "<u4").tolist() != w]
+    assert not wrong, wrong[:3]
+
+
+def test_br_is_white_space():
+    page = "<article><p>one two<br>three<br/>four <b>fi</b>ve</p><p>six<BR>\n seven</p></article>"
+    assert html_main.main_text(page, html_main.weights({})) == "one two three four five\nsix seven"
+
+
+@pytest.mark.parametrize("page", [
+    "<div class=nav>" * 60_000 + "x", "<article>" * 100_000 + "some words here", '<a href="x ' * 90_000, "<a b='" + "<b " * 300_000,
+    "</p>" * 250_000, "<b>" * 250_000 + "<p>x" * 1000, '<a "\'' * 200_000, "<b>" * 100_000 + "</i>" * 100_000,
+    ("<div class=nav><p>" + "w " * 12) * 20_000, "<" * 1_000_000, "<!--" * 250_000, "<a" * 500_000], ids=range(12))
+def test_a_bad_page_of_a_megabyte_takes_linear_time(page):
+    weight = html_main.weights({})
+    started = time.process_time()
+    html_main.main_text(page, weight)
+    html_main.counts(page)
+    assert time.process_time() - started < 5
+
+
+def test_a_quote_that_is_never_closed_ends_the_page():
+    weight = html_main.weights({})
+    assert html_main.main_text("<article><p>one two</p><p class='x>three</p></article>", weight) == "one two"
+    assert html_main.main_text("<article><p \">one two</p><p =x a=b'c>three</p></article>", weight) == "one two\nthree"
+
+
+def best_sum(gains):
+    """The largest sum of a run, by trying all."""
+    return max((sum(gains[a:b]) for a in range(len(gains)) for b in range(a + 1, len(gains) + 1)), default=0.0)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.one_of(st.integers(1, 6), st.sampled_from(["b", "i", "td", "zz"])), max_size=25))
+def test_the_scan_finds_the_best_run(items):
+    """Words and tags without containers: the region is a run of the largest sum."""
+    weight = html_main.weights({}) | {"word": 0.7, "b/": -0.9, "i/": -1.0, "td/": -0.4, "tag/": -0.8}
+    page, gains, words = "", [], []
+    for n, x in enumerate(items):
+        if isinstance(x, int):
+            if words and words[-1]:  # neighbouring texts would be one token
+                page += "<wbr>"
+                gains.append(weight["tag/"])
+                words.append([])
+            words.append([f"<{n}x{k}>".strip("<>") for k in range(x)])
+            page += " ".join(f"|{w}|" for w in words[-1])
+            gains.append(weight["word"] * x)
+        else:
+            page += f"</{x}>"
+            gains.append(weight[f"{x}/" if x in html_main.KNOWN_TAGS else "tag/"])
+            words.append([])
+    got, best = html_main.main_text(page, weight), best_sum(gains)
+    inside = [i for i, own in enumerate(words) if own and all(f"|{w}|" in got for w in own)]
+    if best <= 1e-9:
+        assert got == ""
+    else:
+        assert abs(sum(gains[inside[0]:inside[-1] + 1]) - best) < 1e-6
