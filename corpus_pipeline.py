@@ -11,6 +11,12 @@ read again.
 4. suffix dedup: 400-byte strings that repeat are taken out of the texts;
 5. packing: tokenized documents in sequences of at most 4096 tokens.
 
+Every stage takes and keeps any further columns, whatever their names (the last
+returns pieces).  A null or empty text goes in stage 1, which finds no letter in
+it; repeated rows are copies like any others and meet in stages 2 and 3; ties are
+decided by the smallest id, a null id last; very long texts are read whole; an
+empty table gives an empty result.
+
 Stages 1, 3 and 4 learn or look for links over all of their own input.  There
 is no SQL for the whole: a trained network and packing are not expressible.
 """
