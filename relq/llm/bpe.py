@@ -13,7 +13,9 @@ runs meet are matched by the pattern as a whole.  The memo changes no result.
 
 Defined results: a null or empty text has no ids and decodes to no bytes;
 repeated rows are encoded each for itself; a byte outside the vocabulary
-(none in a full byte-level one) raises KeyError.
+(none in a full byte-level one) raises KeyError; an empty table gives no rows;
+columns other than id and text are ignored, whatever their names.  Texts of any
+length are encoded as a whole.
 """
 
 from __future__ import annotations

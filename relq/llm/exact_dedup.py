@@ -13,7 +13,10 @@ a hot text costs one row for each input task, never one for each copy.
 
 Defined results: a null text is the empty text; of equal texts the row with
 the smallest id stays (a null id comes last; rows that share id and text: the
-first in the staged order), so exactly one row of a group is kept.
+first in the staged order), so exactly one row of a group is kept; an empty
+table gives no rows; other columns are ignored by ``dedup`` and kept by
+``deduplicated``, whatever their names.  A text of any length is one record; one
+beyond the memory bound is compared alone.
 """
 
 from __future__ import annotations

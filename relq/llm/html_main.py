@@ -21,7 +21,9 @@ name) reach the driver.
 
 Defined results: a null or empty page, and one without visible words, gives
 the empty text; a page cut off in the middle is read as far as it goes;
-repeated rows are extracted each for itself.  White space inside a block is
+repeated rows are extracted each for itself; an empty table gives no rows; other
+columns are ignored, whatever their names; pages of any length are read whole, in
+linear time, and a quote that is never closed reaches to the page's end.  White space inside a block is
 one space (``br`` is white space); blocks are joined by one line feed.
 """
 

@@ -19,7 +19,9 @@ whole texts.
 Defined results: a null text and one without a letter is ``und`` with score 0
 (as is every text if there is nothing to learn from); repeated rows are
 predicted each for itself; a tie goes to the alphabetically first language.
-Language, source and id are never inputs.
+Language, source and id are never inputs.  An empty table gives no rows; other
+columns are ignored by ``predict`` and kept by ``accepted``, whatever their names.
+All bytes of a text are read, in windows, however long it is.
 """
 
 from __future__ import annotations

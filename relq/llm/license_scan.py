@@ -29,7 +29,10 @@ and prefixes hold the corpus's rarest template words.
 Besides, base phrases are found word by word in every text.
 
 Defined results: a null, empty or word-less text has no words, places, labels
-and score 0; repeated rows are scanned each for itself; ties don't arise.
+and score 0; repeated rows are scanned each for itself; ties don't arise; an
+empty table gives no rows; columns other than id and text are ignored, whatever
+their names.  Whole texts are scanned, however long; spans are bounded by the
+notice.
 """
 
 from __future__ import annotations

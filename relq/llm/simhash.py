@@ -9,7 +9,9 @@ Weights are integers, so equal texts have equal fingerprints.
 
 Defined results: a null or word-less text has the all-zero fingerprint;
 repeated rows are fingerprinted each for itself; the fingerprint of a text
-never depends on other rows.
+never depends on other rows; an empty table gives no rows; columns other than
+id and text are ignored, whatever their names.  A text of any length is one
+fingerprint; its words are arrays of about 60 times its bytes while it is read.
 
 ``near_pairs`` finds all fingerprints within a Hamming radius k by permuted
 block tables: with the bits cut into k + 2 blocks, two fingerprints within

@@ -19,13 +19,17 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a new temporary folder if unset."""
+    """The session's ``spark.checkpoint.dir``.  Unset, a new temporary folder in
+    local mode, as in tests; on a cluster that is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        # executors elsewhere could not see a folder of this machine
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
     folder = tempfile.mkdtemp(prefix="relq-shared-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -27,7 +27,11 @@ by ranges of the fingerprint, once for each task, and equal ones meet.
 Strings of an anchor's group that have one hash are compared byte by byte before
 anything is removed; above ``HOT``, 128 bits of two hashes decide.  Defined
 results: a null text is empty; texts below 400
-bytes lose nothing; rows that share id and text are copies like any others.
+bytes lose nothing; rows that share id and text are copies like any others; an
+empty table gives no rows; other columns are ignored by ``remove_repeats`` and
+``remaining`` and kept by ``without_repeats``, whatever their names.  A text is
+read as a whole; its working arrays are about 130 times its bytes, so a single
+text of more than some 8 MB needs more memory than a task of the check has.
 """
 
 from __future__ import annotations

@@ -22,7 +22,8 @@ in 70,000 of the distinct keys that are not listed.
 Defined results: a null url, or one without ``://``, has an empty host and
 path and no candidate keys; no rule fits it and it is allowed.  Repeated rows
 are judged each for itself.  Of the fitting rules the longest wins (of equally
-long ones the alphabetically first).
+long ones the alphabetically first).  An empty table gives no rows, an empty list
+allows all; columns other than id and url are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -160,3 +160,28 @@ def test_pages(spark):
     assert texts[1] == ("x", 1) and texts[2] == texts[3] == texts[4] == texts[5] == ("", 0)
     assert texts[None][0] == "\n".join(["word word word"] * 20000)
     assert html_main.extract(pages.limit(0)).count() == 0
+
+
+def test_pipeline_runs_on_edge_tables(spark, docs, no_docs, tmp_path):
+    """Written and read again between stages: clashing columns, nulls, long texts, repeats; and no rows."""
+    import corpus_pipeline
+
+    docs.write.parquet(f"{tmp_path}/some/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/some").collect()
+    ids = [r["doc_id"] for r in got if r["piece"] == 0]
+    assert {2, 3, 4}.isdisjoint(ids) and ids.count(17) == 1 and ids.count(9) + ids.count(10) == 1 and {1, 12, 19} <= set(ids)
+    assert sum(i in (6, 7, 8) for i in ids) == 1 and {13, 14}.isdisjoint(ids)  # near copies of 12
+    no_docs.write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_a_shared_folder_is_asked_for_off_local_mode(monkeypatch):
+    from types import SimpleNamespace
+
+    from relq.llm import staging
+
+    none = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: none)))
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(session)
