@@ -9,9 +9,9 @@ by built-in functions and joins only: the spans around each word of a
 template's prefix (below), or around the rarest word of its name, are counted
 in full.
 
-``similar_blocks`` takes single lines for spans, however long they are; it is
-the rule of ``oracle_sql`` and misses notices that are wrapped.  Both rules
-give the same on texts whose notices stand on one line each.  Its filters:
+``similar_blocks`` takes single lines for spans, however long they are, and misses
+notices that are wrapped.  Both rules give the same on texts whose notices stand
+on one line each.  Its filters:
 
 * template words are ordered by how many texts of the corpus hold them, rare
   ones first, counted over all rows;
@@ -198,11 +198,17 @@ def scan(df: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold:
 
 
 def oracle_sql() -> str:
-    """The result of the scan by lines as SQL that pairs every line with every template."""
+    """The query's rule as SQL that tries every span of every text that holds
+    enough of a template's words at all."""
     def strings(values) -> str:
         return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
-    listed = ", ".join(f"('{name}', {strings(sorted(set(t.split())))})" for name, t in TEMPLATES)
+    def entry(name: str, text: str) -> str:
+        own = sorted(set(text.split()))
+        called = name_of(text)
+        return f"('{name}', {strings(own)}, {math.ceil(THRESHOLD * len(own) - 1e-9)}, {width(text)}, '{f' {called} ' if called else ''}')"
+
+    listed = ", ".join(entry(*t) for t in TEMPLATES)
     places = ", ".join(
         "list_filter(range(0, len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(phrase.split())) + f") AS at{n}"
         for n, phrase in enumerate(BASE))
@@ -211,12 +217,14 @@ def oracle_sql() -> str:
     cut = SEPARATORS
     return rf"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
-t(label, own) AS (VALUES {listed}),
-lines AS (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM d),
-held AS (SELECT doc_id, list_distinct(string_split_regex(line, '{cut}')) AS w FROM lines),
-m AS (SELECT doc_id, label, len(list_intersect(w, own)) / len(own) AS score FROM held, t WHERE len(list_intersect(w, own)) >= ceil({THRESHOLD} * len(own) - 1e-9)),
+t(label, own, need, width, name) AS (VALUES {listed}),
+cut AS MATERIALIZED (SELECT doc_id, string_split_regex(body, '{cut}') AS w FROM d),
+near AS (SELECT doc_id, w, label, own, need, width, name FROM cut, t WHERE len(list_intersect(w, own)) >= need),
+spans AS (SELECT doc_id, label, own, need, name, w[i:i + width - 1] AS span FROM (SELECT *, unnest(range(1, greatest(len(w) - width + 1, 1) + 1)) AS i FROM near)),
+m AS (SELECT doc_id, label, len(list_intersect(span, own)) / len(own) AS score FROM spans
+  WHERE len(list_intersect(span, own)) >= need AND contains(' ' || array_to_string(span, ' ') || ' ', name)),
 method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score FROM m GROUP BY doc_id),
-words AS (SELECT doc_id, list_filter(string_split_regex(body, '{cut}'), lambda x: x <> '') AS w FROM d),
+words AS (SELECT doc_id, list_filter(w, lambda x: x <> '') AS w FROM cut),
 p AS (SELECT doc_id, len(w) AS n_words, {places} FROM words),
 b AS (SELECT doc_id, n_words, {every} AS every_at, list_filter([{own}], lambda x: x IS NOT NULL) AS own FROM p)
 SELECT doc_id, n_words, len(every_at) AS n_base, list_min(every_at) AS first_word, list_max(every_at) AS last_word,
