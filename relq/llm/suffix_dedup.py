@@ -29,9 +29,8 @@ anything is removed; above ``HOT``, 128 bits of two hashes decide.  Defined
 results: a null text is empty; texts below 400
 bytes lose nothing; rows that share id and text are copies like any others; an
 empty table gives no rows; other columns are ignored by ``remove_repeats`` and
-``remaining`` and kept by ``without_repeats``, whatever their names.  A text is
-read as a whole; its working arrays are about 130 times its bytes, so a single
-text of more than some 8 MB needs more memory than a task of the check has.
+``remaining`` and kept by ``without_repeats``, whatever their names.  Very
+long texts are worked through in overlapping pieces.
 """
 
 from __future__ import annotations
@@ -94,6 +93,18 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.stack([start, own, place]), place, gram
 
 
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """A run of texts, or a very long text in pieces: bytes, offsets and what
+    comes before the piece.  Pieces overlap by one byte less than a string, and a
+    string's anchor lies within it, so each start is in one piece with its anchor."""
+    if len(offsets) != 2 or len(data) <= 2 * _SLICE:
+        yield data, offsets, 0
+        return
+    for at in range(0, len(data) - LENGTH + 1, _SLICE):
+        own = data[at:at + _SLICE + LENGTH - 1]
+        yield own, np.array([0, len(own)]), at
+
+
 _SKETCH = "rid long, doc_id long, body long, n_bytes long, whole string, leader long, grams array<long>"
 
 
@@ -103,11 +114,14 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     leaders: dict[bytes, int] = {}  # of this task's distinct texts
     for part in slices(batches, "text", _SLICE):
         data, offsets = column_bytes(part.column("text"))
-        (start, own, place), _, gram = anchors(data, offsets)
-        new = np.ones(len(place), bool)
-        new[1:] = (place[1:] != place[:-1]) | (own[1:] != own[:-1])
-        cut = np.searchsorted(own[new], np.arange(part.num_rows + 1))
-        hashes, raw = gram[place[new]].view(np.int64) if len(place) else np.zeros(0, np.int64), data.tobytes()
+        hashes, counts = [], np.zeros(part.num_rows, np.int64)
+        for own_data, own_offsets, _ in _pieces(data, offsets):
+            (_, own, place), _, gram = anchors(own_data, own_offsets)
+            new = np.ones(len(place), bool)
+            new[1:] = (place[1:] != place[:-1]) | (own[1:] != own[:-1])
+            hashes.append(gram[place[new]].view(np.int64) if len(place) else np.zeros(0, np.int64))
+            counts += np.bincount(own[new], minlength=part.num_rows)
+        hashes, cut, raw = np.concatenate(hashes), np.concatenate([[0], np.cumsum(counts)]), data.tobytes()
         whole, leader, grams = [], [], []
         for i, rid in enumerate(part.column("rid").to_pylist()):
             digest = hashlib.sha256(raw[offsets[i]:offsets[i + 1]])
@@ -299,29 +313,32 @@ class _Runs:
 
 
 def _runs(ranges: int):
+    def add_piece(out: _Runs, data: np.ndarray, offsets: np.ndarray, before: int, cid: list[int], common: list[set[int]], hot: list[set[int]]) -> None:
+        (start, own, place), _, gram = anchors(data, offsets)
+        if not len(start):
+            return
+        cut = np.concatenate([[0], np.flatnonzero((place[1:] != place[:-1]) | (own[1:] != own[:-1])) + 1, [len(start)]])
+        first, last, at, row = start[cut[:-1]], start[cut[1:] - 1], place[cut[:-1]], own[cut[:-1]]
+        hashes, raw, prefix = gram[at].view(np.int64).tolist(), data.tobytes(), None
+        for h, task, a, z, p, r, base in zip(hashes, _range(gram[at], ranges).tolist(), first.tolist(), last.tolist(), at.tolist(), row.tolist(), (offsets[row] - before).tolist()):
+            if h in common[r]:
+                out.add(task, raw[a:p], raw[p:z + LENGTH], cid[r], a - base)
+            elif h in hot[r]:
+                prefix = prefix_hash(data) if prefix is None else prefix
+                begin = np.arange(a, z + 1)
+                one = span_hash(prefix, begin, begin + LENGTH)
+                # a second, independent half: hashes of the string's four quarters
+                two = sum((span_hash(prefix, begin + q, begin + q + LENGTH // 4) * np.uint64(2 * q + 1) for q in range(0, LENGTH, LENGTH // 4)), np.zeros(len(begin), np.uint64))
+                out.add_hot(np.stack([one, mix(two * _TWIN)], 1), cid[r], begin - base)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop()
         out = _Runs(ranges)
         for part in slices(batches, "text", _SLICE):
-            data, offsets = column_bytes(part.column("text"))
-            (start, own, place), _, gram = anchors(data, offsets)
-            if not len(start):
-                continue
-            cut = np.concatenate([[0], np.flatnonzero((place[1:] != place[:-1]) | (own[1:] != own[:-1])) + 1, [len(start)]])
-            first, last, at, row = start[cut[:-1]], start[cut[1:] - 1], place[cut[:-1]], own[cut[:-1]]
             cid = part.column("cid").to_pylist()
             common, hot = ([set(x) if x else set() for x in part.column(c).to_pylist()] for c in ("common", "hot"))
-            hashes, raw, prefix = gram[at].view(np.int64).tolist(), data.tobytes(), None
-            for h, task, a, z, p, r, base in zip(hashes, _range(gram[at], ranges).tolist(), first.tolist(), last.tolist(), at.tolist(), row.tolist(), offsets[row].tolist()):
-                if h in common[r]:
-                    out.add(task, raw[a:p], raw[p:z + LENGTH], cid[r], a - base)
-                elif h in hot[r]:
-                    prefix = prefix_hash(data) if prefix is None else prefix
-                    begin = np.arange(a, z + 1)
-                    one = span_hash(prefix, begin, begin + LENGTH)
-                    # a second, independent half: hashes of the string's four quarters
-                    two = sum((span_hash(prefix, begin + q, begin + q + LENGTH // 4) * np.uint64(2 * q + 1) for q in range(0, LENGTH, LENGTH // 4)), np.zeros(len(begin), np.uint64))
-                    out.add_hot(np.stack([one, mix(two * _TWIN)], 1), cid[r], begin - base)
+            for piece in _pieces(*column_bytes(part.column("text"))):
+                add_piece(out, *piece, cid, common, hot)
             if out.held > RUN_BYTES:
                 yield from out.flush()
         yield from out.flush()

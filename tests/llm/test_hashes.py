@@ -91,3 +91,24 @@ def test_remaining_text(spark):
     got = suffix_dedup.remaining(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], r["text"]) for r in got), key=str) == sorted(want, key=str)
     assert sum(r["n_removed"] > 0 for r in got) == 4
+
+
+def test_a_very_long_text_in_pieces(spark):
+    """Whatever the pieces, the same strings go: of texts longer than several of them."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(20_000)]
+    text = " ".join(rng.choices(words, k=500_000))  # about 3 MB
+    passage = text[1_000_000:1_003_000]
+    rows = [(1, text + passage + " end"), (2, "start " + passage), (3, text[:600]), (4, "other words " * 3)]
+    got = {r["doc_id"]: r for r in suffix_dedup.remaining(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["text"] == text[600:1_000_000] + text[1_003_000:] + " end" and got[1]["n_spans"] == 3
+    assert got[2]["text"] == "start " and got[3]["text"] == "" and got[4]["n_removed"] == len(rows[3][1]) * (len(rows[3][1]) > 800)
+
+
+def test_pieces_have_every_start_once():
+    rng = np.random.default_rng(4)
+    data = rng.integers(97, 103, 3 * suffix_dedup._SLICE + 1234).astype(np.uint8)
+    offsets = np.array([0, len(data)])
+    whole = suffix_dedup.anchors(data, offsets)[0]
+    parts = [(s + before, p + before) for d, o, before in suffix_dedup._pieces(data, offsets) for s, _, p in [suffix_dedup.anchors(d, o)[0]]]
+    assert np.array_equal(np.concatenate([s for s, _ in parts]), whole[0]) and np.array_equal(np.concatenate([p for _, p in parts]), whole[2])
