@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from relq.operators.joins import aggregated_join
 
-from .arrays import slices
+from .arrays import byte_letters, slices
 from .memory import only, tidy, trim
 from .staging import staged
 
@@ -65,14 +65,6 @@ _PLAIN_CHUNK = re.compile(r"\s*\S+|\s+")
 _ODD_SPACE = re.compile(r"[^\S \n\t]")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that byte-level vocabularies write for bytes: printable
-    Latin-1 characters stand for themselves, the others follow from U+0100."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
-
-
 class _Runs:
     """Runs of values one behind the other: run k is flat[at[k]:at[k + 1]]."""
 

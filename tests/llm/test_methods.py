@@ -578,3 +578,62 @@ def test_the_scan_finds_the_best_run(items):
         assert got == ""
     else:
         assert abs(sum(gains[inside[0]:inside[-1] + 1]) - best) < 1e-6
+
+
+def test_packing_reaches_its_bound_and_stays_near_the_least(spark):
+    rng = random.Random(13)
+    lengths = [min(4096, int(rng.lognormvariate(6.4, 1.2)) + 1) for _ in range(20_000)]
+    pieces = spark.createDataFrame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    got = packing.pack(pieces, 3).collect()
+    filled = {}
+    for r in got:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in filled.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 4096
+    groups = {k >> 36: 0 for k in filled}
+    for k, own in filled.items():
+        groups[k >> 36] += sum(n for _, n in own)
+    for g, tokens in groups.items():
+        assert sum(k >> 36 == g for k in filled) <= -(-tokens // 4096) + 2
+    # the bound is reached
+    open_ = packing.OpenSequences(4096, packing.OPEN_LIMIT)
+    at_bound = 0
+    for a in range(0, len(lengths), packing.RUN_ROWS):
+        for n in sorted(lengths[a:a + packing.RUN_ROWS], reverse=True):
+            open_.place(n)
+            at_bound += open_.count == packing.OPEN_LIMIT
+    assert at_bound > 100
+
+
+def test_runs_do_not_depend_on_batches():
+    rows = pa.table({"pack_group": [1] * 7 + [2] * 3 + [3] * 9, "n": list(range(19))})
+    want = [(1, [0, 1, 2, 3]), (1, [4, 5, 6]), (2, [7, 8, 9]), (3, [10, 11, 12, 13]), (3, [14, 15, 16, 17]), (3, [18])]
+    for size in (1, 2, 5, 19):
+        got = [(g, t.column("n").to_pylist()[a:b]) for t, runs in packing._in_runs(iter(rows.to_batches(size)), 4) for g, a, b in runs]
+        assert got == want
+
+
+def test_license_query_equals_its_sql_on_wrapped_and_damaged_notices(spark, tmp_path):
+    rng = random.Random(14)
+    vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()}) + ["other", "words"]
+    texts = [t for _, t in WRAPPED] + [None, "", " ", "released under the MIT license", "Released under the Apache License", "Licensed under CC BY 4.0", "x " * 200 + WRAPPED[0][1]]
+    for _ in range(150):
+        words = []
+        for _ in range(rng.randint(0, 3)):
+            words += rng.choices(vocabulary, k=rng.randint(0, 10))
+            words += [w for w in rng.choice(license_scan.TEMPLATES)[1].split() if rng.random() < 0.92]
+        texts.append(rng.choice(["", " ", "* "]) + rng.choice([" ", "\n", ", "]).join(words) + rng.choice(["", ".", " \n"]))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.REGISTRY["op5_license_scan"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.SQL["op5_license_scan"])
+    at = [[d[0] for d in want.description].index(c) for c in got.columns]
+    rows = sorted(map(tuple, got.collect()))
+    assert rows == sorted(tuple(r[i] for i in at) for r in want.fetchall())
+    assert sum(r[got.columns.index("labels")] != r[got.columns.index("base_labels")] for r in rows) > 20
+    assert any(0 < r[got.columns.index("score")] < 1 for r in rows)
