@@ -15,7 +15,10 @@ ASCII white space); a shorter text is one shingle.  Two texts are linked when
 3. The full sets of a cluster meet, and links are confirmed on them; pairs
    already connected are skipped.  A tree of confirmed links leaves the task.
 
-A bucket or cluster above ``BLOCK`` classes goes through rounds first: all of its
+A class leaves its buckets above ``BLOCK`` classes if it has ``COLD`` others: bands
+agree independently, so these find its links nearly as surely as all (a common
+line or passage makes a few such buckets for each of its texts).  A bucket or
+cluster that is still above ``BLOCK`` goes through rounds: all of its
 members are compared with one of them, the pivot, wherever they are; members
 that nothing outside of the pivot's surroundings can be linked with any more
 (by the triangle inequality of the Jaccard distance) leave the group, and the
@@ -23,7 +26,8 @@ next round's pivot is one of the rest.  A round's work and rows are linear in
 the group.  What is left after ``ROUNDS`` is cut into blocks, and each pair of
 blocks is one task's work: nothing is capped, and no task holds more than two
 blocks.  A pair exactly at 0.85 shares no band with a probability of
-``(1 - 0.85 ** ROWS) ** BANDS`` (6e-11; at 0.8: 1e-7), and its estimate is off
+``(1 - 0.85 ** ROWS) ** BANDS`` (6e-11; at 0.8: 1e-7; with ``COLD`` bands 7e-10
+and 6e-7), and its estimate is off
 by ``MARGIN`` (over six and five standard deviations) with one below 1e-8;
 more similar pairs far less often.
 
@@ -62,6 +66,7 @@ SHARE, OF = 85, 100  # linked: OF * both >= SHARE * either
 MARGIN = 0.17  # estimates this far below the share are still looked at
 BLOCK = 512
 ROUNDS = 4
+COLD = 36  # bands in buckets of at most BLOCK classes that are enough
 LOOSE = 0.1  # estimates from which a member goes into its pivot's cluster
 _HASHES = BANDS * ROWS
 _rng = np.random.default_rng(20240229)
@@ -271,6 +276,21 @@ def _against_pivots(pool: DataFrame, sizes: DataFrame, by: str, judge, drop) ->
     return rest.unionByName(now), edges
 
 
+def _without_common_buckets(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``members`` without the rows of large buckets that their class can spare:
+    with ``COLD`` bands in other buckets, those find its links (see the module
+    text).  What a common line or passage brings together goes this way; near
+    copies share all of their buckets and stay.  Also the sizes of what is left
+    of the large buckets."""
+    large = staged(sizes.where(F.col("members") > BLOCK).select("group"), "common")
+    if large.isEmpty():
+        return members, sizes
+    hot = staged(key_probe(members, ["group"], large, ["group"], "left_semi"), "hot")
+    tied = hot.groupBy("cid").agg(F.count("*").alias("n")).where(F.col("n") > BANDS - COLD).select("cid")
+    left = staged(key_probe(hot, ["cid"], tied, ["cid"], "left_semi"), "tied")
+    return key_probe(members, ["group"], large, ["group"], "left_anti").unionByName(left), left.groupBy("group").agg(F.count("*").alias("members"))
+
+
 def _judge_estimates(own: pa.Array, other: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(len(x), -1) for x in (own, other))
     value = estimates(a, b) if len(a) else np.zeros(0)
@@ -380,8 +400,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     buckets = classes.select("cid", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = aggregated_join(buckets, shared.select("bucket"), "bucket").join(classes.select("cid", "signature"), "cid")
-    members = members.select(F.col("bucket").alias("group"), "cid", "signature")
-    pool, near = _against_pivots(members, shared.select(F.col("bucket").alias("group"), F.col("n").alias("members")), "signature", _judge_estimates, _by_estimate(share))
+    members, sizes = _without_common_buckets(members.select(F.col("bucket").alias("group"), "cid", "signature"), shared.select(F.col("bucket").alias("group"), F.col("n").alias("members")))
+    pool, near = _against_pivots(members, sizes, "signature", _judge_estimates, _by_estimate(share))
     tree = _tasks(blocked(pool, "group", "cid").select("task", "side", "cid", "signature")).mapInArrow(_estimated(share), "u long, v long")
     clusters = connected_components(functools.reduce(DataFrame.union, near, tree))
 
