@@ -115,6 +115,31 @@ def scan_ordered(spark, d):
     return TB.scan_ordered(t(spark, d, "customer"), ["c_nationkey", "c_custkey"])
 
 
+@query
+def snapshot_load(spark, d):
+    """All years are loaded, then one of them again with fewer rows; the totals of what is stored."""
+    orders = t(spark, d, "orders").withColumn("basis_year", F.date_format("o_orderdate", "yyyy"))
+    path = TB.scratch(spark, "snapshots")
+    TB.load_snapshots(orders, path, "basis_year", ["o_orderkey"])
+    corrected = P.where(orders, P.all_of(P.eq("basis_year", "1997"), P.ne("o_orderstatus", "P")))
+    TB.load_snapshots(corrected, path, "basis_year", ["o_orderkey"])
+    stored = spark.read.schema(orders.schema).parquet(path)
+    return A.group_agg(stored, ["basis_year"], [A.count_rows("n_orders"), money_total("o_totalprice", "total_price")])
+
+
+@query
+def result_sink(spark, d):
+    """A result is written; the rows seen on the way and the rows stored."""
+    result = docs_labels(spark, d).select("doc_id", "lang", "quality")
+    path = TB.scratch(spark, "result")
+    seen = TB.write_result(result, path, keys=["quality"])
+    stored = spark.read.schema(result.schema).parquet(path)
+    return stored.agg(A.count_rows("rows_stored"), F.lit(seen["rows"]).cast("bigint").alias("rows_seen"),
+                      F.lit(seen["null_quality"]).cast("bigint").alias("nulls_seen"))
+
+
+SINKS = ["snapshot_load", "result_sink"]  # what they do is to write, so they run jobs when called
+
 ADHOC_PRESET = (
     "SELECT o_orderstatus, COUNT(*) AS n_orders, "
     "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price "

@@ -128,6 +128,11 @@ SQL: dict[str, str] = {
                   "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price "
                   "FROM orders GROUP BY o_orderstatus ORDER BY o_orderstatus"),
     "profile_table": _profile_sql(),
+    "snapshot_load": (f"SELECT {_yr('o_orderdate')} AS basis_year, COUNT(*) AS n_orders, "
+                      f"CAST({_money_sum('o_totalprice')} AS DOUBLE) AS total_price FROM orders "
+                      f"WHERE NOT ({_yr('o_orderdate')} = '1997' AND o_orderstatus = 'P') GROUP BY 1"),
+    "result_sink": ("SELECT COUNT(*) AS rows_stored, COUNT(*) AS rows_seen, COUNT(*) - COUNT(l.quality) AS nulls_seen "
+                    f"FROM {DOCS_LABELS}"),
     "profile_domain": _domain_sql(),
     "profile_snapshots": _snapshots_sql(),
     "check_not_null": _null_sql(),

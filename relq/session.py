@@ -8,6 +8,8 @@ partitions, broadcast thresholds, checkpoint folder).
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans joins and aggregations from runtime sizes:
@@ -73,6 +75,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+_temporary: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the whole cluster shares: ``spark.checkpoint.dir``.  Unset,
+    a new temporary folder in local mode; on a cluster that is refused."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    if not _temporary:
+        _temporary.append(tempfile.mkdtemp(prefix="relq-shared-"))
+    return _temporary[0]
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local benchmark (one JVM, ``cores`` threads)."""
     spark = (

@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relq.operators.checks import duplicate_keys
+from relq.session import shared_folder
 from relq.sources.schemas import DRIVER_SCHEMAS, HOUSING_SCHEMAS
 
 
@@ -166,6 +168,26 @@ def load_snapshots(df: DataFrame, path: str, date_col: str, keys: Sequence[str],
         remove(spark, incoming)
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark)}/relq-{name}-{uuid.uuid4().hex}"
+    _scratch.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clear() -> None:
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            remove(spark, path)
+        except Exception:  # the session has already ended: nothing left to ask
+            return
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared storage, if it is there."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

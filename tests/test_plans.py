@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relq.operators import joins as J
+from relq.plans.catalog import SINKS
 
 from support import SF_ORACLE, SF_SMALL, core_queries
 
@@ -84,8 +85,9 @@ def test_building_plans_runs_no_job(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("plans", "building plans")
     try:
-        for fn in core_queries().values():
-            fn(spark, SF_SMALL)
+        for name, fn in core_queries().items():
+            if name not in SINKS:
+                fn(spark, SF_SMALL)
         assert list(tracker.getJobIdsForGroup("plans")) == []
     finally:
         spark.sparkContext.setJobGroup("", "")
