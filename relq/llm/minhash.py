@@ -65,7 +65,7 @@ BANDS, ROWS, BITS = 40, 5, 4
 SHARE, OF = 85, 100  # linked: OF * both >= SHARE * either
 MARGIN = 0.17  # estimates this far below the share are still looked at
 BLOCK = 512
-ROUNDS = 4
+ROUNDS = 2
 COLD = 36  # bands in buckets of at most BLOCK classes that are enough
 LOOSE = 0.1  # estimates from which a member goes into its pivot's cluster
 _HASHES = BANDS * ROWS
@@ -243,7 +243,7 @@ def _against_pivots(pool: DataFrame, sizes: DataFrame, by: str, judge, drop) ->
     distance from the pivot and that of the nearest member that is not joined
     (null if there is none).
     """
-    large = staged(sizes.where(F.col("members") > BLOCK).select("group"), "large")
+    large = staged(sizes.where(F.col("members") > BLOCK).select("group"), "large", "uncompressed")
     if large.isEmpty():
         return pool, []
     carried = [c for c in pool.columns if c not in ("group", "cid")]
@@ -261,14 +261,14 @@ def _against_pivots(pool: DataFrame, sizes: DataFrame, by: str, judge, drop) ->
                 yield pa.record_batch({"group": part.column("group"), "cid": part.column("cid"), "pivot": part.column("pivot"), "joined": j, "distance": d, **{c: part.column(c) for c in carried}})
 
     rest = key_probe(pool, ["group"], large, ["group"], "left_anti")
-    now = staged(key_probe(pool, ["group"], large, ["group"], "left_semi"), "hot")
+    now = staged(key_probe(pool, ["group"], large, ["group"], "left_semi"), "hot", "uncompressed")
     edges: list[DataFrame] = []
     for number in range(ROUNDS):
         pivots = now.groupBy("group").agg(F.count("*").alias("members"), F.min_by(F.struct("cid", by), F.xxhash64("cid", F.lit(number))).alias("p"))
-        pivots = staged(pivots.where(F.col("members") > BLOCK).select("group", F.col("p.cid").alias("pivot"), F.col(f"p.{by}").alias("other")), "pivots")
+        pivots = staged(pivots.where(F.col("members") > BLOCK).select("group", F.col("p.cid").alias("pivot"), F.col(f"p.{by}").alias("other")), "pivots", "uncompressed")
         if pivots.isEmpty():
             break
-        found = staged(aggregated_join(now, pivots, "group", how="left").mapInArrow(judged, schema), "judged")
+        found = staged(aggregated_join(now, pivots, "group", how="left").mapInArrow(judged, schema), "judged", "uncompressed")
         edges.append(found.where("joined and cid <> pivot").select(F.col("pivot").alias("u"), F.col("cid").alias("v")))
         nearest = found.groupBy("group").agg(F.min(F.when(~F.col("joined"), F.col("distance"))).alias("nearest"))
         leaves = drop(F.col("joined"), F.col("distance"), F.col("nearest")) | (F.col("cid") == F.col("pivot"))
@@ -282,12 +282,12 @@ def _without_common_buckets(members: DataFrame, sizes: DataFrame) -> tuple[DataF
     text).  What a common line or passage brings together goes this way; near
     copies share all of their buckets and stay.  Also the sizes of what is left
     of the large buckets."""
-    large = staged(sizes.where(F.col("members") > BLOCK).select("group"), "common")
+    large = staged(sizes.where(F.col("members") > BLOCK).select("group"), "common", "uncompressed")
     if large.isEmpty():
         return members, sizes
-    hot = staged(key_probe(members, ["group"], large, ["group"], "left_semi"), "hot")
+    hot = staged(key_probe(members, ["group"], large, ["group"], "left_semi"), "hot", "uncompressed")
     tied = hot.groupBy("cid").agg(F.count("*").alias("n")).where(F.col("n") > BANDS - COLD).select("cid")
-    left = staged(key_probe(hot, ["cid"], tied, ["cid"], "left_semi"), "tied")
+    left = staged(key_probe(hot, ["cid"], tied, ["cid"], "left_semi"), "tied", "uncompressed")
     return key_probe(members, ["group"], large, ["group"], "left_anti").unionByName(left), left.groupBy("group").agg(F.count("*").alias("members"))
 
 

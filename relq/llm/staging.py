@@ -35,11 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table."""
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` to the shared folder and return the written table.
+
+    ``compression="uncompressed"`` spares small tables that are written often
+    the codec's buffers outside of the heap, which live until they are collected."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/relq-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
