@@ -64,7 +64,7 @@ SHINGLE = 5
 BANDS, ROWS, BITS = 40, 5, 4
 SHARE, OF = 85, 100  # linked: OF * both >= SHARE * either
 MARGIN = 0.17  # estimates this far below the share are still looked at
-BLOCK = 512
+BLOCK = 4096
 ROUNDS = 2
 COLD = 36  # bands in buckets of at most BLOCK classes that are enough
 LOOSE = 0.1  # estimates from which a member goes into its pivot's cluster
