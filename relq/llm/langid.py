@@ -203,7 +203,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     most = min(SAMPLE_ROWS, max(1, SAMPLE_TOTAL // max(1, len(found))))
     # whatever the bound by counts leaves, each language keeps its smallest
     bounds = [(r["lang"], max(min(1 << 62, int((1 << 62) * 2 * most / r["n"])), (-1 if r["least"] is None else r["least"]) + 1)) for r in found]
-    rows = rows.join(F.broadcast(df.sparkSession.createDataFrame(bounds, "lang string, below long")), "lang")
+    # as an Arrow table: one of Python rows would start further Python workers on each executor
+    bounds = pa.table({"lang": pa.array([x[0] for x in bounds], pa.string()), "below": pa.array([x[1] for x in bounds], pa.int64())})
+    rows = rows.join(F.broadcast(df.sparkSession.createDataFrame(bounds)), "lang")
     low = rows.where(F.length("text") > 0).withColumn("h", F.xxhash64("text")).where(F.pmod(F.xxhash64("h"), F.lit(1 << 62)) < F.col("below"))
     raw = F.encode("text", "utf-8")
     at = F.pmod(F.col("h"), F.greatest(F.octet_length("text") - SPAN + 1, F.lit(1))).cast("int") + 1

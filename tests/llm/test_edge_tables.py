@@ -145,6 +145,32 @@ def test_suffix_dedup(docs, no_docs):
     assert texts[2] is None and texts[6] == "" and texts[12].startswith("a start here") and texts[12].endswith("and an end") and len(texts[12]) < 40
 
 
+def test_without_repeats_takes_one_python_worker_a_task(spark, docs):
+    """A second one in a stage would stay with the executor, idle, for the stages that follow."""
+    left = suffix_dedup.without_repeats(docs)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and plan.split("Exchange")[0].count("MapInArrow") == 1
+    want = {(r["doc_id"], r["text"]) for r in suffix_dedup.remaining(docs).collect()}
+    assert {(r["doc_id"], r["text"]) for r in left.collect()} == want
+    # columns of any type
+    passage = "é" * 150 + "".join(chr(0x400 + i * 7 % 200) for i in range(120))
+    rows = [(1, None, "a" + passage + "b", [1, 2]), (2, 0.5, "c" + passage + "d", None), (3, 1.0, passage[2:] * 2, []), (3, 1.0, passage[2:] * 2, []), (None, 2.0, None, [3])]
+    typed = spark.createDataFrame(rows, "doc_id int, x double, text string, y array<long>")
+    left = suffix_dedup.without_repeats(typed)
+    assert left.dtypes == typed.dtypes
+    want = [(1, None, "ab", [1, 2]), (2, 0.5, "cd", None), (3, 1.0, "", []), (3, 1.0, "", []), (None, 2.0, None, [3])]
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, want))
+
+
+def test_language_bounds_start_no_python_workers(spark, docs, monkeypatch):
+    """Rows of Python objects would be pickled by workers of their own on each executor."""
+    from pyspark import SparkContext
+
+    want = langid.fit(docs).languages
+    monkeypatch.setattr(SparkContext, "parallelize", None)
+    assert langid.fit(docs).languages == want == ["en"]
+
+
 def test_pages(spark):
     rows = [(1, "http://Sub.Example.org/es/x?q", "<p>x"), (2, None, None), (3, "no scheme", ""), (3, "no scheme", ""),
             (None, "https://a.com", "<article>" + "<p>word word word</p>" * 20000 + "</article>"), (4, "ftp://example.org/en/1#f", "<script>if (a < b) {}"), (5, "x://com/de/", "<!-- only a comment")]
